@@ -1,0 +1,28 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parents[1]
+sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from tidemark.session import local_session
+
+    # a zone with daylight saving: results must not depend on it
+    session = local_session(
+        "tests",
+        cores=8,
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.session.timeZone": "America/New_York",
+            "spark.driver.memory": "4g",
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()

@@ -1,0 +1,124 @@
+from __future__ import annotations
+
+from datetime import UTC, datetime
+
+import pytest
+from build import ITEM, at, change, log, rows
+from pyspark.sql import functions as F
+
+from tidemark import operators as ops
+
+
+def latest(spark, *items):
+    """Latest table of (id, ts_ms)."""
+    return spark.createDataFrame(
+        [(k, "n", 0.0, at(ts)) for k, ts in items],
+        "id BIGINT, name STRING, bal DOUBLE, ts TIMESTAMP_NTZ",
+    )
+
+
+def test_mark_of_an_empty_table_lies_before_everything(spark):
+    mark = ops.high_watermark(latest(spark))
+    assert mark.collect()[0]["ts"] == datetime(1, 1, 1)
+    changes = log(spark, [change("c", 1, 1), change("c", 2, None)])
+    assert rows(ops.changed_keys(changes, ITEM, mark)) == [(1,)]
+
+
+def test_apply_to_an_empty_table_is_the_live_state(spark):
+    changes = log(spark, [change("c", 1, 10), change("d", 1, 20), change("c", 2, 5)])
+    assert rows(ops.apply_delta(latest(spark), changes, ITEM), "id") == [(2,)]
+
+
+@pytest.mark.parametrize("marks", ["one", "two"])
+def test_inserts_updates_and_deletes(spark, marks):
+    changes = log(
+        spark,
+        [
+            change("u", 1, 200, name="new"),
+            change("d", 2, 201),
+            change("c", 4, 202),
+            change("c", 5, 203),
+            change("d", 5, 204),
+        ],
+    )
+    table = latest(spark, (1, 100), (2, 100), (3, 100))
+    found = ops.apply_delta(table, changes, ITEM, marks=marks)
+    assert rows(found, "id", "name", "ts") == [
+        (1, "new", at(200)),
+        (3, "n", at(100)),
+        (4, "n", at(202)),
+    ]
+
+
+def test_a_second_run_changes_nothing(spark):
+    changes = log(spark, [change("u", 1, 200), change("d", 2, 300), change("c", 4, 150)])
+    once = ops.apply_delta(latest(spark, (1, 100), (2, 100)), changes, ITEM)
+    assert rows(ops.apply_delta(once, changes, ITEM)) == rows(once)
+
+
+def test_changes_at_or_below_the_mark_are_skipped(spark):
+    changes = log(spark, [change("u", 1, 100, name="tied"), change("u", 2, 99, name="late")])
+    table = latest(spark, (1, 100), (2, 50))
+    assert rows(ops.apply_delta(table, changes, ITEM)) == rows(table)
+
+
+def test_falling_mark(spark):
+    # the newest live row goes, and a late change lies between the old mark and the new
+    table = latest(spark, (1, 1000), (2, 1500))
+    changes = log(spark, [change("d", 2, 2000), change("u", 1, 1200, name="late")])
+    assert rows(ops.apply_delta(table, changes, ITEM), "id", "name") == [(1, "n")]
+    assert rows(ops.apply_delta(table, changes, ITEM, marks="two"), "id", "name") == [
+        (1, "late"),
+        (1, "n"),
+    ]
+
+
+def test_a_null_key_removes_nothing_and_is_not_removed(spark):
+    nothing = {"before": None, "after": None}
+    changes = log(spark, [change("d", 9, 500, **nothing), change("u", 1, 500, name="new")])
+    table = latest(spark, (1, 100), (2, 100)).unionByName(
+        latest(spark, (0, 100)).withColumn("id", F.lit(None).cast("bigint"))
+    )
+    assert rows(ops.apply_delta(table, changes, ITEM), "id", "name") == [
+        (1, "new"),
+        (2, "n"),
+        (None, "n"),
+    ]
+
+
+def test_a_null_operation_acts_as_a_delete(spark):
+    changes = log(spark, [change(None, 1, 200)])
+    assert ops.apply_delta(latest(spark, (1, 100)), changes, ITEM).count() == 0
+
+
+def test_filtering_before_ranking_equals_filtering_after(spark):
+    changes = log(
+        spark,
+        [
+            change("u", k, None if t == 3 else 100 * t + k, pos=t)
+            for k in range(20)
+            for t in range(9)
+        ],
+    )
+    for mark in (0, 405, 810):
+        after = ops.latest_state(changes, ITEM).where(f"ts > timestamp_ntz'{at(mark)}'")
+        assert rows(ops.changed_since(changes, ITEM, mark)) == rows(after)
+
+
+def test_kinds_of_mark(spark):
+    changes = log(spark, [change("c", 1, 1667712600000), change("c", 2, 1667716200000)])
+    at_the_first = at(1667712600000)
+    for mark in (
+        1667712600000,
+        at_the_first,
+        F.lit("2022-11-06 05:30:00").cast("timestamp_ntz"),
+        spark.createDataFrame([(at_the_first,)], "ts TIMESTAMP_NTZ"),
+    ):
+        assert rows(ops.changed_keys(changes, ITEM, mark)) == [(2,)]
+    with pytest.raises(ValueError, match="zone"):
+        ops.newer_than(changes, datetime.now(UTC))
+
+
+def test_marks_is_checked(spark):
+    with pytest.raises(ValueError, match="marks"):
+        ops.apply_delta(latest(spark), log(spark, []), ITEM, marks="three")

@@ -1,0 +1,54 @@
+from __future__ import annotations
+
+import random
+
+from build import ITEM, change, log
+
+from tidemark import operators as ops
+
+
+def ranks(df):
+    return sorted(
+        (r["id"] if r["id"] is not None else -1, r["row_num"], r["ts_ms"] or -1, r["pos"] or -1)
+        for r in df.selectExpr(
+            "coalesce(after, before).id AS id", "row_num", "ts_ms", "source.pos AS pos"
+        ).collect()
+    )
+
+
+def expected(changes):
+    found, by_key = [], {}
+    for c in changes:
+        record = c["after"] or c["before"] or {"id": None}
+        by_key.setdefault(record["id"], []).append(c)
+    for key, group in by_key.items():
+        group.sort(
+            key=lambda c: (c["ts_ms"] is not None, c["ts_ms"] or 0, c["source"]["pos"] or 0),
+            reverse=True,
+        )
+        found += [
+            (-1 if key is None else key, i, c["ts_ms"] or -1, c["source"]["pos"] or -1)
+            for i, c in enumerate(group, start=1)
+        ]
+    return sorted(found)
+
+
+def skewed_log():
+    """One key has a third of the log, another only copies of one change, one key is NULL."""
+    rng = random.Random(3)
+    changes = [change("u", 1, rng.randint(0, 50), pos=i) for i in range(400)]
+    changes += [change("u", 2, 77, pos=5) for _ in range(300)]
+    changes += [change("d", 0, i, pos=i, before=None, after=None) for i in range(150)]
+    changes += [change("c", rng.randint(3, 90), rng.choice([None, i]), pos=i) for i in range(350)]
+    rng.shuffle(changes)
+    return changes
+
+
+def test_slicing_hot_keys_gives_the_ranks_of_a_window(spark):
+    changes = skewed_log()
+    df = log(spark, changes).repartition(5)
+    assert ranks(ops.change_rank(df, ITEM)) == expected(changes)
+    assert ranks(ops.change_rank(df, ITEM, rows_per_task=40)) == expected(changes)
+    assert ranks(ops.change_rank(df, ITEM, rows_per_task=399)) == expected(changes)
+
+

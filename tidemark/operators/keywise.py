@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.envelope import change_record, change_ts, order_values
+from tidemark.functions.envelope import change_ts, order_values
 from tidemark.operators.latest import newest_changes
 from tidemark.schema import TableSpec
 
@@ -21,9 +21,9 @@ def keyed_state(changes: DataFrame, spec: TableSpec) -> DataFrame:
 
     ``seq`` holds what decides between changes of equal time.
     """
-    seq = F.struct(*(c.alias(f"s{i}") for i, c in enumerate(order_values(spec))))
+    seq = F.struct(*(F.col(f"__seq{i}").alias(f"s{i}") for i in range(len(order_values(spec)))))
     return newest_changes(changes, spec).select(
-        change_record().alias("record"), "op", change_ts().alias("ts"), seq.alias("seq")
+        "record", "op", change_ts().alias("ts"), seq.alias("seq")
     )
 
 

@@ -9,11 +9,11 @@ from tidemark.functions.envelope import (
     EPOCH,
     MILLISECOND,
     Mark,
-    change_order,
     change_record,
     change_ts,
     key_columns,
     mark_millis,
+    order_values,
 )
 from tidemark.schema import DELETE, TableSpec
 
@@ -24,16 +24,29 @@ def with_record(changes: DataFrame) -> DataFrame:
 
 
 def newest_changes(changes: DataFrame, spec: TableSpec) -> DataFrame:
-    """The newest envelope of every key, whole.
+    """The newest change of every key: ``record``, ``op``, ``ts_ms``, its key and its order.
+
+    Key and order columns are ``__key0``.. and ``__seq0``..; the result stays partitioned by
+    the key, for joins on it that follow.
 
     ``row_number = 1`` is planned as a group limit before and after the shuffle, so a map
     task sends at most one row per key: a key with a third of the log costs no more to
-    shuffle than any other. The fields of ``source`` and ``transaction`` that no caller reads
-    are pruned from the scan.
+    shuffle than any other. The record is formed first, so one image is sorted and sent, not
+    two; the fields of ``source`` and ``transaction`` that do not decide are not read.
     """
-    newest = Window.partitionBy(*key_columns(spec)).orderBy(*change_order(spec))
+    keys = {f"__key{i}": c for i, c in enumerate(key_columns(spec))}
+    seqs = {f"__seq{i}": c for i, c in enumerate(order_values(spec))}
+    ranked = changes.select(
+        change_record().alias("record"),
+        "op",
+        "ts_ms",
+        *(c.alias(name) for name, c in {**keys, **seqs}.items()),
+    )
+    newest = Window.partitionBy(*keys).orderBy(
+        *(F.desc_nulls_last(c) for c in ("ts_ms", *seqs))
+    )
     return (
-        changes.withColumn("__rank", F.row_number().over(newest))
+        ranked.withColumn("__rank", F.row_number().over(newest))
         .where(F.col("__rank") == 1)
         .drop("__rank")
     )
@@ -48,9 +61,7 @@ def latest_state(changes: DataFrame, spec: TableSpec, since: Mark | None = None)
     """
     if since is not None:
         changes = changes.where(F.col("ts_ms") > mark_millis(since))
-    return newest_changes(changes, spec).select(
-        change_record().alias("record"), "op", change_ts().alias("ts")
-    )
+    return newest_changes(changes, spec).select("record", "op", change_ts().alias("ts"))
 
 
 def live_rows(state: DataFrame) -> DataFrame:

@@ -11,14 +11,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.functions.envelope import epoch_millis
 from tidemark.schema import (
     SOURCE_TYPE,
     TRANSACTION_TYPE,
     TableSpec,
-    envelope_schema,
     record_type,
 )
 
@@ -97,8 +95,24 @@ PART = LogTable("part", "p_partkey", "p_name", "p_retailprice")
 ORDERS = LogTable("orders", "o_orderkey", "o_orderstatus", "o_totalprice")
 
 
+# Columns the logs are made of. Given rather than inferred, which saves a pass over footers.
+SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+    "c_mktsegment STRING",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey BIGINT, p_name STRING, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+    "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+    "value DOUBLE, props STRING",
+}
+
+
 def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def base_records(spark: SparkSession, sf_dir: str, log: LogTable) -> DataFrame:
@@ -112,58 +126,52 @@ def change_log(
     spark: SparkSession, sf_dir: str, log: LogTable, events: Sequence[Event] = EVENTS
 ) -> DataFrame:
     """The envelopes of the given event kinds over the whole table."""
-    kinds = [
-        F.when(
-            F.expr(e.keys),
-            F.expr(
-                f"named_struct('op', '{e.op}', 'id', {e.id}, 'ts_ms', {e.ts_ms}, "
-                f"'pos', {e.position}, 'bal', {e.value or 'CAST(NULL AS DOUBLE)'})"
-            ),
-        )
+    kinds = ", ".join(
+        f"IF({e.keys}, named_struct('op', '{e.op}', 'id', {e.id}, 'ts_ms', {e.ts_ms}, 'pos', "
+        f"{e.position}, 'bal', {e.value or 'CAST(NULL AS DOUBLE)'}), NULL)"
         for e in events
-    ]
-    rows = (
-        base_records(spark, sf_dir, log)
-        .withColumnRenamed("id", "k")
-        .select("*", F.explode(F.array_compact(F.array(*kinds))).alias("e"))
     )
-    old = F.struct(F.col("e.id").alias("id"), "name", "bal")
-    new = F.struct(F.col("e.id").alias("id"), "name", F.col("e.bal").alias("bal"))
+    rows = given(spark, sf_dir, log.table).selectExpr(
+        f"{log.key} AS k", f"{log.label} AS name", f"{log.value} AS bal"
+    )
+    rows = rows.selectExpr("*", f"explode(array_compact(array({kinds}))) AS e")
     return _envelopes(
-        rows,
+        rows.selectExpr(
+            "IF(e.op IN ('u', 'd'), struct(e.id, name, bal), NULL) AS before",
+            "IF(e.op <> 'd', struct(e.id, name, e.bal), NULL) AS after",
+            "e.op",
+            "e.ts_ms",
+            "e.pos",
+            "CAST(k % 4 AS INT) AS partition",
+        ),
         log.spec,
-        before=F.when(F.col("e.op").isin("u", "d"), old),
-        after=F.when(F.col("e.op") != "d", new),
-        op=F.col("e.op"),
-        ts_ms=F.col("e.ts_ms"),
-        pos=F.col("e.pos"),
-        partition=F.expr("CAST(k % 4 AS INT)"),
     )
 
 
-def _envelopes(rows, spec, before, after, op, ts_ms, pos, partition) -> DataFrame:
+def _envelopes(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    """Complete (``before``, ``after``, ``op``, ``ts_ms``, ``pos``, ``partition``)."""
     known = {
-        "name": F.lit("shop"),
-        "db": F.lit("inventory"),
-        "table": F.lit(spec.name),
-        "ts_ms": ts_ms,
-        "file": F.lit("log.000001"),
-        "pos": pos,
-        "row": F.lit(0),
+        "name": "'shop'",
+        "db": "'inventory'",
+        "table": f"'{spec.name}'",
+        "ts_ms": "ts_ms",
+        "file": "'log.000001'",
+        "pos": "pos",
+        "row": "0",
     }
-    source = F.struct(
-        *(known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in SOURCE_TYPE)
+    source = ", ".join(
+        f"'{f.name}', CAST({known.get(f.name, 'NULL')} AS {f.dataType.simpleString()})"
+        for f in SOURCE_TYPE
+    )
+    return rows.selectExpr(
+        "before",
+        "after",
+        f"named_struct({source}) AS source",
+        "op",
+        "ts_ms",
+        f"CAST(NULL AS {TRANSACTION_TYPE.simpleString()}) AS transaction",
+        "partition",
     )
-    columns = {
-        "before": before.cast(spec.record),
-        "after": after.cast(spec.record),
-        "source": source,
-        "op": op,
-        "ts_ms": ts_ms,
-        "transaction": F.lit(None).cast(TRANSACTION_TYPE),
-        "partition": partition,
-    }
-    return rows.select(*(columns[f.name].alias(f.name) for f in envelope_schema(spec.record)))
 
 
 # Tables that are logs by themselves: every row is a change of the row its key names.
@@ -209,17 +217,22 @@ LINE = TableSpec(
 )
 
 
-def _row_changes(rows, spec, op, ts, pos) -> DataFrame:
-    image = F.struct(*spec.columns)
+def _row_changes(
+    rows: DataFrame, spec: TableSpec, op: str, ts: str, pos: str
+) -> DataFrame:
+    image = f"struct({', '.join(spec.columns)})"
     return _envelopes(
-        rows.withColumn("op", F.expr(op)),
+        rows.selectExpr("*", f"{op} AS op")
+        .withColumn("ts_ms", epoch_millis(ts))
+        .selectExpr(
+            f"IF(op = 'd', {image}, NULL) AS before",
+            f"IF(op <> 'd', {image}, NULL) AS after",
+            "op",
+            "ts_ms",
+            f"{pos} AS pos",
+            "0 AS partition",
+        ),
         spec,
-        before=F.when(F.col("op") == "d", image),
-        after=F.when(F.col("op") != "d", image),
-        op=F.col("op"),
-        ts_ms=epoch_millis(ts),
-        pos=F.col(pos),
-        partition=F.lit(0),
     )
 
 
@@ -237,6 +250,5 @@ def order_log(spark: SparkSession, sf_dir: str, spec: TableSpec) -> DataFrame:
 
 def line_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``lineitem`` as changes of order lines."""
-    return _row_changes(
-        given(spark, sf_dir, "lineitem"), LINE, "'c'", "l_shipdate", "l_partkey"
-    )
+    lines = given(spark, sf_dir, "lineitem")
+    return _row_changes(lines, LINE, "'c'", "l_shipdate", "l_partkey")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.schema import TableSpec, envelope_schema
 
@@ -49,7 +50,8 @@ def create_change_table(spark: SparkSession, table: str, spec: TableSpec, path:
     schema = envelope_schema(spec.record)
     if not spark.catalog.tableExists(table):
         # writing no rows makes the folder, on any file system
-        write_changes(spark.createDataFrame([], schema), path)
+        nothing = (F.lit(None).cast(f.dataType).alias(f.name) for f in schema)
+        write_changes(spark.range(0).select(*nothing), path)
         columns = ", ".join(
             f"`{f.name}` {f.dataType.simpleString()}" for f in schema
         )

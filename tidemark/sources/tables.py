@@ -14,4 +14,12 @@ def conform(table: DataFrame, spec: TableSpec) -> DataFrame:
     Row comparison is positional and exact, so a source whose driver reports FLOAT for a
     DOUBLE column, or another column order, has to be brought to the record type first.
     """
-    return table.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.record))
+    given = {f.name: f.dataType for f in table.schema}
+    return table.select(
+        *(
+            f.name
+            if given.get(f.name) == f.dataType
+            else F.col(f.name).cast(f.dataType).alias(f.name)
+            for f in spec.record
+        )
+    )

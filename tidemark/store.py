@@ -16,15 +16,15 @@ in place instead.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.envelope import FLOOR_TS, epoch_millis
-from tidemark.operators.delta import changed_since
-from tidemark.operators.keywise import keyed_state
-from tidemark.operators.latest import latest_state
+from tidemark.functions.envelope import FLOOR_TS, change_ts, epoch_millis
+from tidemark.operators.delta import newer_than
+from tidemark.operators.latest import newest_changes
 from tidemark.schema import DELETE, TableSpec
 from tidemark.sources.changes import create_namespace
 
@@ -77,7 +77,7 @@ class LatestStore:
         """Create the table from the log; does nothing, and says so, when it exists."""
         if self.exists():
             return False
-        self._publish_base(self._state(changes), epoch)
+        self._publish_base(self._rows(changes), epoch, self._ranked_in_buckets())
         return True
 
     def refresh(self, changes: DataFrame, epoch: str | None = None) -> None:
@@ -92,7 +92,9 @@ class LatestStore:
             return
         base = self.spark.table(held["base"])
         delta = self.spark.table(held["delta"]) if "delta" in held else None
-        fresh_table = self._write(self._arrivals(changes, base, delta, held), "fresh")
+        fresh_table = self._write(
+            self._arrivals(changes, base, delta, held), "fresh", self._ranked_in_buckets()
+        )
         fresh = self.spark.table(fresh_table)
         # the newest live arrival is the new mark; without one the mark may have fallen
         mark_ms, n_rows = fresh.agg(
@@ -104,38 +106,45 @@ class LatestStore:
             return
         spent, delta_table = [], fresh_table
         if delta is not None:
-            delta_table = self._write(fresh.unionByName(self._without(delta, fresh)), "delta")
+            delta_table = self._write(
+                fresh.unionByName(self._without(delta, fresh)), "delta", bucketed=True
+            )
             spent.append(fresh_table)
             n_rows = self.spark.table(delta_table).count()
         if n_rows > self.rewrite_share * int(held["base_rows"]):
             merged = self._without(base, self.spark.table(delta_table)).unionByName(
                 self.spark.table(delta_table)
             )
-            self._publish_base(merged, epoch, rebucket=False)
+            self._publish_base(merged, epoch, bucketed=True)
             spent.append(delta_table)
         else:
             self._publish(held["base"], int(held["base_rows"]), delta_table, mark_ms, epoch)
         self._retire(held, spent)
 
-    def _state(self, changes: DataFrame) -> DataFrame:
-        """Stored rows of a log: the record, ``ts``, and what a refresh has to know."""
-        if not self.keywise:
-            return self._stored(latest_state(changes, self.spec))
-        state = keyed_state(changes, self.spec)
-        return self._stored(state.dropna(subset=[f"record.{k}" for k in self.spec.key]))
+    def _rows(self, changes: DataFrame) -> DataFrame:
+        """Rows to store for a log: the record, ``ts``, and what a refresh has to know.
 
-    def _stored(self, state: DataFrame) -> DataFrame:
+        The key is the one the changes were ranked by, whose partitioning the rows still have.
+        """
+        newest = newest_changes(changes, self.spec)
+        keys = {k: F.col(f"__key{i}") for i, k in enumerate(self.spec.key)}
         bookkeeping = [F.col("op").alias(OP)]
         if self.keywise:
-            bookkeeping.append(F.col("seq").alias(SEQ))
-        return state.select("record.*", "ts", *bookkeeping)
+            newest = newest.dropna(subset=[f"__key{i}" for i in range(len(keys))])
+            seqs = [c for c in newest.columns if c.startswith("__seq")]
+            bookkeeping.append(F.struct(*seqs).alias(SEQ))
+        return newest.select(
+            *(keys.get(c, F.col("record")[c]).alias(c) for c in self.spec.columns),
+            change_ts().alias("ts"),
+            *bookkeeping,
+        )
 
     def _arrivals(
         self, changes: DataFrame, base: DataFrame, delta: DataFrame | None, held: dict[str, str]
     ) -> DataFrame:
         """Stored rows for the keys that these changes move on."""
         if not self.keywise:
-            return self._stored(changed_since(changes, self.spec, int(held["mark_ms"])))
+            return self._rows(newer_than(changes, int(held["mark_ms"])))
         key = list(self.spec.key)
 
         def place(rows: DataFrame, side: str) -> DataFrame:
@@ -143,7 +152,7 @@ class LatestStore:
 
         # the bucketed tables are joined one by one, so that neither is shuffled; the place
         # in the order is all that is read of them
-        arrived = self._state(changes).join(place(base, "__base"), key, "left")
+        arrived = self._rows(changes).join(place(base, "__base"), key, "left")
         last = F.col("__base")
         if delta is not None:
             arrived = arrived.join(place(delta, "__delta"), key, "left")
@@ -152,14 +161,19 @@ class LatestStore:
         return arrived.where(newer).drop("__base", "__delta")
 
     def _without(self, rows: DataFrame, changed: DataFrame) -> DataFrame:
+        """Rows whose key did not change. Merging buckets keeps them in their buckets."""
         key = list(self.spec.key)
-        return rows.join(changed.select(*key), key, "left_anti").select(*rows.columns)
+        changed = changed.select(*key).hint("merge")
+        return rows.join(changed, key, "left_anti").select(*rows.columns)
 
-    def _write(self, rows: DataFrame, kind: str, rebucket: bool = True) -> str:
-        """Write a new bucketed table under a name no earlier attempt can have used."""
+    def _write(self, rows: DataFrame, kind: str, bucketed: bool) -> str:
+        """Write a new bucketed table under a name no earlier attempt can have used.
+
+        ``bucketed`` says that the rows already come bucket by bucket; others are brought
+        together first, so that there is a file per bucket and not one per bucket and task.
+        """
         table = f"{self.name}__{kind}_{uuid.uuid4().hex[:12]}"
-        if rebucket:
-            # one file per bucket; the rows are already one per key
+        if not bucketed:
             rows = rows.repartition(self.buckets, *self.spec.key)
         (
             rows.write.format("parquet")
@@ -169,10 +183,14 @@ class LatestStore:
         )
         return table
 
-    def _publish_base(self, rows: DataFrame, epoch: str | None, rebucket: bool = True) -> None:
+    def _ranked_in_buckets(self) -> bool:
+        """Whether ranking by key already partitions rows the way the buckets do."""
+        return int(self.spark.conf.get("spark.sql.shuffle.partitions")) == self.buckets
+
+    def _publish_base(self, rows: DataFrame, epoch: str | None, bucketed: bool) -> None:
         if not self.keywise:
             rows = rows.where(F.col(OP) != DELETE)
-        table = self._write(rows, "base", rebucket)
+        table = self._write(rows, "base", bucketed)
         self._publish(table, self.spark.table(table).count(), None, None, epoch)
 
     def _publish(
@@ -213,15 +231,17 @@ class LatestStore:
             )
 
     def _retire(self, before: dict[str, str], spent: list[str]) -> None:
-        """Drop what the view before last was made of; running readers may use the last one."""
+        """Drop what the view before last was made of; running readers may use the last one.
+
+        Also drops what a failed refresh left behind. One refresh at a time may run.
+        """
         now = self.properties()
-        last = {before["base"], before.get("delta")}
-        current = {now["base"], now.get("delta")}
+        in_use = {p.get(part) for p in (before, now) for part in ("base", "delta")} - set(spent)
+        ours = re.compile(re.escape(self.spec.name) + "__(base|delta|fresh)_[0-9a-f]{12}")
         tables = self.spark.sql(f"SHOW TABLES IN {self.schema} LIKE '{self.spec.name}__*'")
-        for row in tables.select("tableName").collect():
-            table = f"{self.schema}.{row[0]}"
-            if table in spent or table not in last | current:
-                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        for (table,) in tables.select("tableName").collect():
+            if ours.fullmatch(table) and f"{self.schema}.{table}" not in in_use:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.schema}.{table}")
 
 
 def merge_into(state: DataFrame, target: str, spec: TableSpec) -> None:
