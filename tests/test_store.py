@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import random
+import uuid
+
+import pytest
+from build import ITEM, at, change, log, rows
+from test_arrival_orders import expected, history
+
+from tidemark import LatestStore
+from tidemark import operators as ops
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    def make(**options):
+        name = f"s{uuid.uuid4().hex[:8]}"
+        return LatestStore(spark, ITEM, name, location=str(tmp_path / name), **options)
+
+    return make
+
+
+def test_bootstrap_happens_once(spark, store):
+    table = store()
+    assert not table.exists()
+    assert table.bootstrap(log(spark, [change("c", 1, 10), change("c", 2, 10), change("d", 2, 20)]))
+    assert not table.bootstrap(log(spark, [change("c", 3, 10)]))
+    assert rows(table.read()) == [(1, "n", 0.0, at(10))]
+    assert table.read().columns == ["id", "name", "bal", "ts"]
+
+
+@pytest.mark.parametrize(("rewrite_share", "buckets"), [(0.0, 4), (0.3, 3), (100.0, 4)])
+def test_refreshes_equal_the_operator(spark, store, rewrite_share, buckets):
+    rng = random.Random(5)
+    changes = [c for k in range(80) for c in history(k, rng, ties=True)]
+    rng.shuffle(changes)  # late and tied changes too
+    batches = [changes[i::5] for i in range(5)]
+    table = store(rewrite_share=rewrite_share, buckets=buckets)
+    table.bootstrap(log(spark, batches[0]))
+    latest = ops.live(ops.latest_state(log(spark, batches[0]), ITEM))
+    for batch in batches[1:]:
+        table.refresh(log(spark, batch))
+        refreshed = ops.apply_delta(latest, log(spark, batch), ITEM)
+        latest = spark.createDataFrame(refreshed.collect(), latest.schema)
+        assert rows(table.read()) == rows(latest)
+        mark = ops.high_watermark(table.read()).first()["ts"]
+        assert at(int(table.properties()["mark_ms"])) == mark
+
+
+@pytest.mark.parametrize("rewrite_share", [0.0, 0.3, 100.0])
+def test_keywise_refreshes_miss_nothing(spark, store, rewrite_share):
+    rng = random.Random(6)
+    changes = [c for k in range(150) for c in history(k, rng, ties=True)]
+    rng.shuffle(changes)
+    table = store(keywise=True, rewrite_share=rewrite_share)
+    for i in range(4):
+        table.refresh(log(spark, changes[i::4]))
+        table.refresh(log(spark, changes[i::4]))  # a replay
+    assert rows(table.read()) == expected(changes)
+
+
+def test_the_mark_falls_when_the_newest_row_goes(spark, store):
+    table = store()
+    table.bootstrap(log(spark, [change("c", 1, 1000), change("c", 2, 1500)]))
+    table.refresh(log(spark, [change("d", 2, 2000), change("u", 1, 1200, name="late")]))
+    assert rows(table.read(), "id", "name") == [(1, "n")]
+    assert table.properties()["mark_ms"] == "1000"
+    table.refresh(log(spark, [change("u", 1, 1200, name="late")]))
+    assert rows(table.read(), "id", "name") == [(1, "late")]
+
+
+def test_a_named_batch_is_applied_once(spark, store):
+    table = store()
+    table.refresh(log(spark, [change("c", 1, 10)]), epoch="q/0")
+    table.refresh(log(spark, [change("c", 2, 20)]), epoch="q/0")
+    assert rows(table.read(), "id") == [(1,)]
+    table.refresh(log(spark, [change("c", 2, 20)]), epoch="q/1")
+    assert rows(table.read(), "id") == [(1,), (2,)]
+    table.refresh(log(spark, []), epoch="q/2")
+    assert table.properties()["epoch"] == "q/2"
+    assert rows(table.read(), "id") == [(1,), (2,)]
+
+
+def test_everything_deleted_and_reborn(spark, store):
+    table = store(rewrite_share=0.0)
+    table.bootstrap(log(spark, [change("c", 1, 10)]))
+    table.refresh(log(spark, [change("d", 1, 20)]))
+    assert table.read().count() == 0
+    table.refresh(log(spark, [change("c", 1, 30, name="again")]))
+    assert rows(table.read(), "id", "name") == [(1, "again")]
+
+
+def test_few_tables_are_kept(spark, store):
+    table = store(rewrite_share=0.5)
+    table.bootstrap(log(spark, [change("c", k, 10) for k in range(10)]))
+    # what an interrupted refresh leaves behind
+    log(spark, []).select("op").write.saveAsTable(f"{table.name}__fresh_0123456789ab")
+    for step in range(1, 8):
+        table.refresh(log(spark, [change("u", step, 10 + step, name="new")]))
+        parts = spark.sql(f"SHOW TABLES IN {table.schema} LIKE 'item__*'").count()
+        assert parts <= 4
+    assert table.read().where("name = 'new'").count() == 7
+    assert table.read().count() == 10
+
+
+def test_readers_are_not_disturbed_by_a_refresh(spark, store):
+    table = store()
+    table.bootstrap(log(spark, [change("c", 1, 10)]))
+    reader = table.read()
+    table.refresh(log(spark, [change("c", 2, 20)]))
+    assert rows(reader, "id") == [(1,)]

@@ -46,7 +46,7 @@ def change_rank(
 
 def _rank(keyed: DataFrame, spec: TableSpec) -> DataFrame:
     age = Window.partitionBy("__key").orderBy(*change_order(spec))
-    return keyed.withColumn("row_num", F.row_number().over(age))
+    return keyed.withColumn("row_num", F.row_number().over(age).cast("bigint"))
 
 
 def _rank_in_slices(keyed: DataFrame, spec: TableSpec, slices: int) -> DataFrame:
@@ -78,6 +78,6 @@ def _rank_in_slices(keyed: DataFrame, spec: TableSpec, slices: int) -> DataFrame
     return (
         placed.withColumn("__within", F.row_number().over(within))
         .join(before, ["__key", "__slice"])
-        .withColumn("row_num", (F.col("__within") + F.col("__before")).cast("int"))
+        .withColumn("row_num", F.col("__before") + F.col("__within"))
         .drop("__within", "__before", "__slice", "__salt")
     )

@@ -105,7 +105,8 @@ def _converged() -> str:
         t = log.table
         ctes += [_log(ON_TIME, log, f"{t}_log"), _state(f"{t}_state", f"{t}_log")]
         rows.append(
-            f"SELECT true AS result, '{t}' AS name, 0 AS num_missing, 0 AS num_stale, "
+            f"SELECT true AS result, '{t}' AS name, CAST(0 AS BIGINT) AS num_missing, "
+            f"CAST(0 AS BIGINT) AS num_stale, "
             f"count(*) AS num_total FROM {t}_state WHERE op <> 'd'"
         )
     return f"WITH {', '.join(ctes)} {' UNION ALL '.join(rows)}"
