@@ -16,7 +16,7 @@ from tidemark.plans.logs import BATCH_1, BATCH_2, CUSTOMER, EVENTS, ON_TIME, PAR
 from tidemark.schema import TableSpec, record_type
 from tidemark.session import fresh_dir
 from tidemark.sources import conform, create_namespace
-from tidemark.store import LatestStore
+from tidemark.store import LatestStore, buckets_for
 from tidemark.streaming.landing import AVAILABLE_NOW
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,13 @@ def _namespace(spark: SparkSession, purpose: str) -> str:
     return name
 
 
+def _store(spark: SparkSession, sf_dir: str, log: LogTable = CUSTOMER, **options) -> LatestStore:
+    """An empty store for the log's table, laid out for the size of that table."""
+    rows = logs.given(spark, sf_dir, log.table).count()
+    namespace = _namespace(spark, "latest")
+    return LatestStore(spark, log.spec, namespace, buckets=buckets_for(rows), **options)
+
+
 # Change logs: scan, catalog, landing, decoding.
 
 
@@ -450,7 +457,7 @@ def latest_keywise(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Create the stored table from the log; creating it again changes nothing."""
-    store = LatestStore(spark, SPEC, _namespace(spark, "latest"))
+    store = _store(spark, sf_dir)
     store.bootstrap(_log(spark, sf_dir))
     store.bootstrap(_log(spark, sf_dir, BATCH_1))
     return store.read()
@@ -460,7 +467,7 @@ def bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
 def store_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Refresh the stored table from the landed log."""
     changes = sources.read_changes(spark, _landed(_log(spark, sf_dir)), SPEC)
-    store = LatestStore(spark, SPEC, _namespace(spark, "latest"), rewrite_share=0.5)
+    store = _store(spark, sf_dir, rewrite_share=0.5)
     store.bootstrap(_log(spark, sf_dir, BATCH_1))
     store.refresh(changes)
     return store.read()
@@ -469,7 +476,7 @@ def store_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _streamed(spark: SparkSession, sf_dir: str, keywise: bool) -> DataFrame:
     """Land a batch, run the stream, land the next, run it again from its checkpoint."""
     path, progress = fresh_dir(spark, "log"), fresh_dir(spark, "progress")
-    store = LatestStore(spark, SPEC, _namespace(spark, "latest"), keywise=keywise)
+    store = _store(spark, sf_dir, keywise=keywise)
     for batch in (BATCH_1, BATCH_2):
         sources.write_changes(_log(spark, sf_dir, batch), path)
         changes = sources.read_changes(spark, path, SPEC, streaming=True)
@@ -546,8 +553,7 @@ def converge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The first try sees batch 1 only and must fail; the second sees the rest.
     """
-    schema = _namespace(spark, "latest")
-    tables = [(log, LatestStore(spark, log.spec, schema)) for log in (CUSTOMER, PART)]
+    tables = [(log, _store(spark, sf_dir, log)) for log in (CUSTOMER, PART)]
     arrivals = iter([tuple(e for e in ON_TIME if e.batch == b) for b in (1, 2)])
 
     def truth(log: LogTable) -> DataFrame:

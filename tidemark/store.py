@@ -30,6 +30,15 @@ from tidemark.sources.changes import create_namespace
 
 OP, SEQ = "__op", "__seq"
 
+ROWS_PER_BUCKET = 5_000_000
+# Spark's own bound, see spark.sql.sources.bucketing.maxBuckets
+MAX_BUCKETS = 100_000
+
+
+def buckets_for(rows: int) -> int:
+    """Buckets for a table that is to hold about so many rows."""
+    return min(max(-(-rows // ROWS_PER_BUCKET), 1), MAX_BUCKETS)
+
 
 class LatestStore:
     """The latest table of one spec as the view ``schema.name``.
@@ -37,6 +46,9 @@ class LatestStore:
     ``keywise`` selects the refresh: from the table's high-water mark (default), or key by
     key, which keeps deleted keys in the base and is safe for late and tied changes. Events
     that carry no key belong to no row, and the key-wise store leaves them out.
+
+    ``buckets`` fixes the layout and must stay the same for the life of the table; see
+    :func:`buckets_for`. It defaults to the session's number of shuffle partitions.
     """
 
     def __init__(
