@@ -10,7 +10,7 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from tidemark.session import local_session
 
     # a zone with daylight saving: results must not depend on it
@@ -21,6 +21,7 @@ def spark():
             "spark.sql.shuffle.partitions": "4",
             "spark.sql.session.timeZone": "America/New_York",
             "spark.driver.memory": "4g",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -423,8 +423,12 @@ def apply_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def apply_delta_noop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The latest table after two refreshes from the same log."""
-    return ops.apply_delta(_refreshed(spark, sf_dir), _log(spark, sf_dir), SPEC)
+    """The latest table after two refreshes from the same log, stored in between."""
+    path = fresh_dir(spark, "latest")
+    once = _refreshed(spark, sf_dir)
+    once.write.parquet(path)
+    stored = spark.read.schema(once.schema).parquet(path)
+    return ops.apply_delta(stored, _log(spark, sf_dir), SPEC)
 
 
 @query

@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a task that writes to a few partition directories keeps them open instead of sorting
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
     "spark.ui.enabled": "false",
 }
 
