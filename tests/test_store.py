@@ -109,3 +109,36 @@ def test_readers_are_not_disturbed_by_a_refresh(spark, store):
     reader = table.read()
     table.refresh(log(spark, [change("c", 2, 20)]))
     assert rows(reader, "id") == [(1,)]
+
+
+def test_a_failed_refresh_shows_nothing_and_can_be_repeated(spark, store, monkeypatch):
+    table = store(rewrite_share=9.0)
+    table.bootstrap(log(spark, [change("c", k, 10) for k in range(5)]))
+    before = rows(table.read())
+    batch = log(spark, [change("u", 1, 20, name="new"), change("d", 2, 21)])
+
+    def fail(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(table, "_publish", fail)
+        with pytest.raises(RuntimeError, match="lost"):
+            table.refresh(batch, epoch="q/1")
+    assert rows(table.read()) == before
+    table.refresh(batch, epoch="q/1")
+    assert rows(table.read(), "id", "name") == [(0, "n"), (1, "new"), (3, "n"), (4, "n")]
+    # base, delta and the view
+    assert spark.sql(f"SHOW TABLES IN {table.schema}").count() == 3
+
+
+def test_deleted_keys_are_forgotten_only_on_request(spark, store):
+    batches = [
+        [change("c", k, 10) for k in range(4)],
+        [change("d", 1, 100), change("u", 0, 5000)],
+        [change("u", 1, 50, name="late")],
+    ]
+    for keep, names in ((None, []), (10_000, []), (1000, ["late"])):
+        table = store(keywise=True, rewrite_share=0.0, keep_deleted_ms=keep)
+        for batch in batches:
+            table.refresh(log(spark, batch))
+        assert [r["name"] for r in table.read().where("id = 1").collect()] == names

@@ -11,8 +11,9 @@ from tidemark.session import shared_root
 
 # Most changes of one key that a single task ranks.
 ROWS_PER_TASK = 4_000_000
-# Most hot keys worth broadcasting; each has over ROWS_PER_TASK rows, so few can exist.
-BROADCAST_KEYS = 500_000
+# Most rows of bookkeeping (hot keys, parts of hot keys) worth broadcasting. Each stands for
+# about ROWS_PER_TASK changes, so there are few; beyond the bound they are joined as usual.
+BROADCAST_ROWS = 500_000
 
 
 def change_rank(
@@ -34,50 +35,55 @@ def change_rank(
     n_hot, n_rows = hot.agg(F.count("*"), F.coalesce(F.sum("__size"), F.lit(0))).first()
     if n_hot == 0:
         return _rank(keyed, spec).drop("__key")
-    hot_keys = hot.select("__key")
-    if n_hot <= BROADCAST_KEYS:
-        hot_keys = F.broadcast(hot_keys)
+    hot_keys = _small(hot.select("__key"), n_hot)
     cold = keyed.join(hot_keys, "__key", "left_anti")
     sliced = _rank_in_slices(
-        keyed.join(hot_keys, "__key", "left_semi"), spec, -(-n_rows // rows_per_task) + n_hot
+        keyed.join(hot_keys, "__key", "left_semi"), spec, -(-n_rows // rows_per_task), n_hot
     )
     return _rank(cold, spec).unionByName(sliced).drop("__key")
 
 
+def _small(rows: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(rows) if n <= BROADCAST_ROWS else rows
+
+
 def _rank(keyed: DataFrame, spec: TableSpec) -> DataFrame:
     age = Window.partitionBy("__key").orderBy(*change_order(spec))
     return keyed.withColumn("row_num", F.row_number().over(age).cast("bigint"))
 
 
-def _rank_in_slices(keyed: DataFrame, spec: TableSpec, slices: int) -> DataFrame:
-    """Rank within range partitions, then add the rows of the earlier slices of the key.
+def _rank_in_slices(keyed: DataFrame, spec: TableSpec, slices: int, n_keys: int) -> DataFrame:
+    """Number the rows of sorted range partitions, then start each key's count at one.
 
-    The checkpoint fixes which row is in which slice for both uses. The random last sort
-    column lets copies of one change spread over slices; which copy gets which of their
-    ranks makes no difference.
+    A part is what one partition holds of one key. A row's rank is its distance from the
+    start of its part, plus the sizes of the key's earlier parts. The checkpoint fixes the
+    numbers for both uses. The random last sort column lets copies of one change spread over
+    partitions; which copy gets which of their ranks makes no difference.
     """
     shared_root(keyed.sparkSession)
-    salted = keyed.withColumn("__salt", F.rand(seed=1))
-    order = [*change_order(spec), F.col("__salt")]
+    order = ["__key", *change_order(spec), "__salt"]
     placed = (
-        salted.repartitionByRange(int(slices), "__key", *order)
-        .withColumn("__slice", F.spark_partition_id())
+        keyed.withColumn("__salt", F.rand(seed=1))
+        .repartitionByRange(slices, *order)
+        .sortWithinPartitions(*order)
+        # the partition in the upper bits, the row within it in the lower 33
+        .withColumn("__at", F.monotonically_increasing_id())
+        .withColumn("__slice", F.shiftright("__at", 33))
         .checkpoint()
     )
-    within = Window.partitionBy("__key", "__slice").orderBy(*order)
     earlier = (
         Window.partitionBy("__key").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     )
-    before = (
-        placed.groupBy("__key", "__slice")
-        .agg(F.count("*").alias("__n"))
-        .select(
-            "__key", "__slice", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before")
-        )
+    parts = placed.groupBy("__key", "__slice").agg(
+        F.min("__at").alias("__start"), F.count("*").alias("__n")
+    )
+    parts = parts.select(
+        "__key",
+        "__slice",
+        (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__start") + 1).alias("__shift"),
     )
     return (
-        placed.withColumn("__within", F.row_number().over(within))
-        .join(before, ["__key", "__slice"])
-        .withColumn("row_num", F.col("__before") + F.col("__within"))
-        .drop("__within", "__before", "__slice", "__salt")
+        placed.join(_small(parts, slices + n_keys), ["__key", "__slice"])
+        .withColumn("row_num", F.col("__at") + F.col("__shift"))
+        .drop("__at", "__shift", "__slice", "__salt")
     )

@@ -54,7 +54,7 @@ class Event:
 
 
 EVENTS = (
-    Event(1, "r", "k = k", 0, 0),
+    Event(1, "r", "true", 0, 0),
     Event(1, "u", "k % 3 = 0", 60_000, 1, "bal + 100"),
     Event(1, "u", "k % 15 = 0", 60_000, 2, "bal + 200"),  # ties with the one before
     Event(2, "d", "k % 7 = 0", 120_000, 3, None),
@@ -217,9 +217,7 @@ LINE = TableSpec(
 )
 
 
-def _row_changes(
-    rows: DataFrame, spec: TableSpec, op: str, ts: str, pos: str
-) -> DataFrame:
+def _row_changes(rows: DataFrame, spec: TableSpec, op: str, ts: str, pos: str) -> DataFrame:
     image = f"struct({', '.join(spec.columns)})"
     return _envelopes(
         rows.selectExpr("*", f"{op} AS op")

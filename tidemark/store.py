@@ -6,7 +6,8 @@ So the latest table is a catalog view over immutable tables, all bucketed by key
 * a *base*: the state of every key when it was written;
 * a *delta*: the newest state of every key that changed since, deletes included.
 
-The view is ``base`` without the keys of ``delta``, plus the live rows of ``delta``. A refresh
+The view is ``base`` without the keys of ``delta``, plus the live rows of ``delta``; it
+lives in the session's catalog, which has to be a persistent one to outlive the session. A refresh
 writes a new delta, whose size follows the changes and not the table, and switches readers
 over by replacing the view. Once the delta passes a share of the base, base and delta are
 merged into a new base. Equal bucketing lets both the view and the merge join without a
@@ -49,6 +50,10 @@ class LatestStore:
 
     ``buckets`` fixes the layout and must stay the same for the life of the table; see
     :func:`buckets_for`. It defaults to the session's number of shuffle partitions.
+
+    ``keep_deleted_ms`` lets a merge of the key-wise store forget keys that were deleted so
+    long before the newest change. A change older than that, should one still arrive, would
+    then revive its row; by default nothing is forgotten.
     """
 
     def __init__(
@@ -60,11 +65,13 @@ class LatestStore:
         buckets: int | None = None,
         keywise: bool = False,
         rewrite_share: float = 0.1,
+        keep_deleted_ms: int | None = None,
     ) -> None:
         self.spark, self.spec, self.schema = spark, spec, schema
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.keywise = keywise
         self.rewrite_share = rewrite_share
+        self.keep_deleted_ms = keep_deleted_ms
         create_namespace(spark, schema, location)
 
     @property
@@ -127,7 +134,7 @@ class LatestStore:
             merged = self._without(base, self.spark.table(delta_table)).unionByName(
                 self.spark.table(delta_table)
             )
-            self._publish_base(merged, epoch, bucketed=True)
+            self._publish_base(merged, epoch, True, mark_ms)
             spent.append(delta_table)
         else:
             self._publish(held["base"], int(held["base_rows"]), delta_table, mark_ms, epoch)
@@ -199,9 +206,14 @@ class LatestStore:
         """Whether ranking by key already partitions rows the way the buckets do."""
         return int(self.spark.conf.get("spark.sql.shuffle.partitions")) == self.buckets
 
-    def _publish_base(self, rows: DataFrame, epoch: str | None, bucketed: bool) -> None:
+    def _publish_base(
+        self, rows: DataFrame, epoch: str | None, bucketed: bool, newest_ms: int | None = None
+    ) -> None:
         if not self.keywise:
             rows = rows.where(F.col(OP) != DELETE)
+        elif self.keep_deleted_ms is not None and newest_ms is not None:
+            remembered = epoch_millis("ts") >= newest_ms - self.keep_deleted_ms
+            rows = rows.where((F.col(OP) != DELETE) | remembered)
         table = self._write(rows, "base", bucketed)
         self._publish(table, self.spark.table(table).count(), None, None, epoch)
 
