@@ -83,3 +83,11 @@ def test_a_report_takes_one_shuffle(landed):
     by_row = [line for line in text.splitlines() if "Arguments: hashpartitioning(id" in line]
     assert len(by_row) == 1
     assert "Join" not in text
+
+
+def test_a_keywise_refresh_shuffles_each_side_once(landed, no_broadcast):
+    state = ops.keyed_state(landed, ITEM)
+    once = plan(state).count("Arguments: hashpartitioning")
+    text = plan(ops.apply_keywise(state, landed, ITEM))
+    # the state is derived here, which is a shuffle of its own; then one for each side
+    assert text.count("Arguments: hashpartitioning") == once + 2

@@ -21,39 +21,35 @@ def keyed_state(changes: DataFrame, spec: TableSpec) -> DataFrame:
 
     ``seq`` holds what decides between changes of equal time.
     """
-    seq = F.struct(*(F.col(f"__seq{i}").alias(f"s{i}") for i in range(len(order_values(spec)))))
-    return newest_changes(changes, spec).select(
-        "record", "op", change_ts().alias("ts"), seq.alias("seq")
-    )
-
-
-def supersedes(challenger: str, holder: str) -> Column:
-    """Whether a state row comes after another of its key. Structs compare NULL as least."""
+    return newest_changes(changes, spec).select(*_state_columns(spec))
 
-    def place(side: str) -> Column:
-        return F.struct(*(F.col(f"{side}.{c}").alias(c) for c in ("ts", "seq")))
 
-    return place(challenger) > place(holder)
+def _state_columns(spec: TableSpec) -> list[Column]:
+    seq = (F.col(f"__seq{i}").alias(f"s{i}") for i in range(len(order_values(spec))))
+    return [
+        F.col("record"),
+        F.col("op"),
+        change_ts().alias("ts"),
+        F.struct(*seq).alias("seq"),
+    ]
 
 
 def apply_keywise(state: DataFrame, changes: DataFrame, spec: TableSpec) -> DataFrame:
     """State brought up to date with ``changes``, in whatever order those arrive.
 
     Idempotent, so a replayed batch does no harm. The changes are reduced to one row per key
-    first; the join then meets each key at most once a side. Keys are compared as a struct,
-    where NULL equals NULL.
+    first, and stay where that put them for the join, which meets each key at most once a
+    side. Structs compare NULL as least, as the ranking does.
     """
-
-    def sided(rows: DataFrame, side: str) -> DataFrame:
-        key = F.struct(*(F.col("record")[k].alias(k) for k in spec.key))
-        return rows.select(key.alias("key"), F.struct(*STATE_COLUMNS).alias(side))
-
-    held = sided(state, "held")
-    arrived = sided(keyed_state(changes, spec), "arrived")
-    winner = F.when(
-        F.col("held").isNull() | (F.col("arrived").isNotNull() & supersedes("arrived", "held")),
-        F.col("arrived"),
-    ).otherwise(F.col("held"))
+    key = F.struct(*(F.col("record")[k].alias(k) for k in spec.key))
+    held = state.select(key.alias("__key"), F.struct(*STATE_COLUMNS).alias("held"))
+    arrived = newest_changes(changes, spec, whole_key=True).select(
+        "__key", F.struct(*_state_columns(spec)).alias("arrived")
+    )
+    stays = F.struct("held.ts", "held.seq") >= F.struct("arrived.ts", "arrived.seq")
+    winner = F.when(F.col("arrived").isNull() | stays, F.col("held")).otherwise(F.col("arrived"))
     return (
-        held.join(arrived, "key", "full_outer").select(winner.alias("winner")).select("winner.*")
+        held.join(arrived, "__key", "full_outer")
+        .select(winner.alias("winner"))
+        .select("winner.*")
     )
