@@ -67,13 +67,15 @@ def test_stored_tables_are_not_shuffled(spark, landed, tmp_path, no_broadcast):
             rewrite_share=9.0,
         )
         store.bootstrap(landed)
-        store.refresh(log(spark, [change("u", 1, 100, pos=100)]))
-        assert "Exchange" not in plan(store.read())
+        store.refresh(log(spark, [change("u", k, 100, pos=100) for k in range(10)]))
+        store.refresh(log(spark, [change("u", 1, 200, pos=200)]))
         held = store.properties()
-        base, delta = spark.table(held["base"]), spark.table(held["delta"])
-        assert "Exchange" not in plan(store._without(base, delta))
+        parts = [held["base"], *(d.split(":")[0] for d in held["deltas"].split())]
+        assert len(parts) == 3
+        assert "Exchange" not in plan(store.read())
+        assert "Exchange" not in plan(store._merged(parts))
         # only the new changes are shuffled, once
-        arrivals = plan(store._arrivals(landed, base, delta, held))
+        arrivals = plan(store._arrivals(landed, held))
         assert arrivals.count("Arguments: hashpartitioning") == 1
 
 

@@ -90,17 +90,22 @@ def test_everything_deleted_and_reborn(spark, store):
     assert rows(table.read(), "id", "name") == [(1, "again")]
 
 
-def test_few_tables_are_kept(spark, store):
-    table = store(rewrite_share=0.5)
-    table.bootstrap(log(spark, [change("c", k, 10) for k in range(10)]))
+def test_few_parts_are_kept_and_few_rows_rewritten(spark, store):
+    table = store(buckets=2, rewrite_share=0.5)
+    table.bootstrap(log(spark, [change("c", k, 10) for k in range(100)]))
     # what an interrupted refresh leaves behind
     log(spark, []).select("op").write.saveAsTable(f"{table.name}__fresh_0123456789ab")
-    for step in range(1, 8):
-        table.refresh(log(spark, [change("u", step, 10 + step, name="new")]))
+    sizes = []
+    for step in range(14):
+        table.refresh(log(spark, [change("u", step, 20 + step, name="new")]))
+        deltas = [int(d.split(":")[1]) for d in table.properties()["deltas"].split()]
+        assert all(older > 2 * newer for older, newer in zip(deltas, deltas[1:]))
+        sizes.append(deltas)
         parts = spark.sql(f"SHOW TABLES IN {table.schema} LIKE 'item__*'").count()
-        assert parts <= 4
-    assert table.read().where("name = 'new'").count() == 7
-    assert table.read().count() == 10
+        assert parts <= 2 * len(deltas) + 4
+    assert sizes[:6] == [[1], [2], [3], [3, 1], [5], [5, 1]]
+    assert table.read().where("name = 'new'").count() == 14
+    assert table.read().count() == 100
 
 
 def test_readers_are_not_disturbed_by_a_refresh(spark, store):

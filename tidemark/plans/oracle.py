@@ -211,6 +211,7 @@ ORACLE: dict[str, str] = {
     "latest_keywise": _LIVE_ROWS,
     "bootstrap": _LIVE_ROWS,
     "store_refresh": _REFRESHED,
+    "store_refresh_keywise": _LIVE_ROWS,
     "incremental_stream": _REFRESHED,
     "incremental_stream_keywise": _LIVE_ROWS,
     "source_total": f"{REFRESH} SELECT count(*) AS n FROM truth",

@@ -477,6 +477,16 @@ def store_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read()
 
 
+@query
+def store_refresh_keywise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refresh the key-wise store with one kind of change at a time, the latest kinds first."""
+    store = _store(spark, sf_dir, keywise=True, rewrite_share=0.5)
+    store.bootstrap(_log(spark, sf_dir, BATCH_1))
+    for event in sorted(BATCH_2, key=lambda e: e.ts, reverse=True):
+        store.refresh(_log(spark, sf_dir, [event]))
+    return store.read()
+
+
 def _streamed(spark: SparkSession, sf_dir: str, keywise: bool) -> DataFrame:
     """Land a batch, run the stream, land the next, run it again from its checkpoint."""
     path, progress = fresh_dir(spark, "log"), fresh_dir(spark, "progress")

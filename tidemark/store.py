@@ -4,15 +4,18 @@ A plain Parquet table cannot delete rows, and Spark will not overwrite a table i
 So the latest table is a catalog view over immutable tables, all bucketed by key:
 
 * a *base*: the state of every key when it was written;
-* a *delta*: the newest state of every key that changed since, deletes included.
-
-The view is ``base`` without the keys of ``delta``, plus the live rows of ``delta``; it
-lives in the session's catalog, which has to be a persistent one to outlive the session. A refresh
-writes a new delta, whose size follows the changes and not the table, and switches readers
-over by replacing the view. Once the delta passes a share of the base, base and delta are
-merged into a new base. Equal bucketing lets both the view and the merge join without a
-shuffle. Where an Iceberg or Delta catalog is at hand, :func:`merge_into` updates its table
-in place instead.
+* *deltas*: the newest state of every key that a refresh found changed, deletes included.
+
+The view takes each key from the newest part that has it, and leaves out deleted keys. A
+refresh writes one more delta, whose size follows the changes and not the table, and switches
+readers over by replacing the view. Deltas of like size are merged, so that there are few of
+them and a row is rewritten a few times, not once per refresh; when together they pass a share
+of the base, everything is merged into a new base. Equal bucketing lets both the view and the
+merges join without a shuffle. The view lives in the session's catalog, which has to be a
+persistent one to outlive the session.
+
+Where an Iceberg or Delta catalog is at hand, :func:`merge_into` updates its table in place
+instead.
 """
 
 from __future__ import annotations
@@ -31,6 +34,9 @@ from tidemark.sources.changes import create_namespace
 
 OP, SEQ = "__op", "__seq"
 
+# A delta is merged with the later ones once they hold a third of their common rows.
+MERGE_RATIO = 2
+
 ROWS_PER_BUCKET = 5_000_000
 # Spark's own bound, see spark.sql.sources.bucketing.maxBuckets
 MAX_BUCKETS = 100_000
@@ -109,36 +115,25 @@ class LatestStore:
         held = self.properties()
         if epoch is not None and held.get("epoch") == epoch:
             return
-        base = self.spark.table(held["base"])
-        delta = self.spark.table(held["delta"]) if "delta" in held else None
-        fresh_table = self._write(
-            self._arrivals(changes, base, delta, held), "fresh", self._ranked_in_buckets()
-        )
-        fresh = self.spark.table(fresh_table)
+        fresh = self._write(self._arrivals(changes, held), "fresh", self._ranked_in_buckets())
         # the newest live arrival is the new mark; without one the mark may have fallen
-        mark_ms, n_rows = fresh.agg(
-            epoch_millis(F.max(F.when(F.col(OP) != DELETE, F.col("ts")))), F.count("*")
-        ).first()
+        mark_ms, n_rows = (
+            self.spark.table(fresh)
+            .agg(epoch_millis(F.max(F.when(F.col(OP) != DELETE, F.col("ts")))), F.count("*"))
+            .first()
+        )
         if n_rows == 0:
             self._note_epoch(epoch)
-            self.spark.sql(f"DROP TABLE {fresh_table}")
+            self.spark.sql(f"DROP TABLE {fresh}")
             return
-        spent, delta_table = [], fresh_table
-        if delta is not None:
-            delta_table = self._write(
-                fresh.unionByName(self._without(delta, fresh)), "delta", bucketed=True
-            )
-            spent.append(fresh_table)
-            n_rows = self.spark.table(delta_table).count()
-        if n_rows > self.rewrite_share * int(held["base_rows"]):
-            merged = self._without(base, self.spark.table(delta_table)).unionByName(
-                self.spark.table(delta_table)
-            )
+        deltas = [*_deltas(held), (fresh, n_rows)]
+        base_rows = int(held["base_rows"])
+        if sum(rows for _, rows in deltas) > self.rewrite_share * base_rows:
+            merged = self._merged([held["base"], *(table for table, _ in deltas)])
             self._publish_base(merged, epoch, True, mark_ms)
-            spent.append(delta_table)
         else:
-            self._publish(held["base"], int(held["base_rows"]), delta_table, mark_ms, epoch)
-        self._retire(held, spent)
+            self._publish(held["base"], base_rows, self._tidied(deltas), mark_ms, epoch)
+        self._retire(held)
 
     def _rows(self, changes: DataFrame) -> DataFrame:
         """Rows to store for a log: the record, ``ts``, and what a refresh has to know.
@@ -158,32 +153,53 @@ class LatestStore:
             *bookkeeping,
         )
 
-    def _arrivals(
-        self, changes: DataFrame, base: DataFrame, delta: DataFrame | None, held: dict[str, str]
-    ) -> DataFrame:
+    def _arrivals(self, changes: DataFrame, held: dict[str, str]) -> DataFrame:
         """Stored rows for the keys that these changes move on."""
         if not self.keywise:
             return self._rows(newer_than(changes, int(held["mark_ms"])))
-        key = list(self.spec.key)
-
-        def place(rows: DataFrame, side: str) -> DataFrame:
-            return rows.select(*key, F.struct("ts", SEQ).alias(side))
-
-        # the bucketed tables are joined one by one, so that neither is shuffled; the place
-        # in the order is all that is read of them
-        arrived = self._rows(changes).join(place(base, "__base"), key, "left")
-        last = F.col("__base")
-        if delta is not None:
-            arrived = arrived.join(place(delta, "__delta"), key, "left")
-            last = F.coalesce(F.col("__delta"), last)
+        # the bucketed parts are joined one by one, so that none is shuffled; the place in
+        # the order is all that is read of them
+        key, places = list(self.spec.key), []
+        arrived = self._rows(changes)
+        for i, table in enumerate([held["base"], *(table for table, _ in _deltas(held))]):
+            place = self.spark.table(table).select(*key, F.struct("ts", SEQ).alias(f"__part{i}"))
+            arrived = arrived.join(place, key, "left")
+            places.insert(0, F.col(f"__part{i}"))
+        last = F.coalesce(*places)
         newer = last.isNull() | (F.struct("ts", SEQ) > last)
-        return arrived.where(newer).drop("__base", "__delta")
+        return arrived.where(newer).drop(*(f"__part{i}" for i in range(len(places))))
+
+    def _tidied(self, deltas: list[tuple[str, int]]) -> list[tuple[str, int]]:
+        """The deltas with the last of them merged, as far back as they are of like size."""
+        first, rows = len(deltas) - 1, deltas[-1][1]
+        while first and deltas[first - 1][1] <= MERGE_RATIO * rows:
+            first -= 1
+            rows += deltas[first][1]
+        if first == len(deltas) - 1:
+            return deltas
+        merged = self._write(self._merged([t for t, _ in deltas[first:]]), "delta", True)
+        return [*deltas[:first], (merged, self.spark.table(merged).count())]
+
+    def _newest_of(self, parts: list[str], columns: str = "p.*", hint: bool = False) -> list[str]:
+        """A query per part, for the rows of the keys that no later part has.
+
+        ``hint`` asks for merge joins, which keep the rows of a bucket together.
+        """
+        queries = []
+        for i, part in enumerate(parts):
+            later = {f"p{j}": table for j, table in enumerate(parts[i + 1 :], start=i + 1)}
+            keys = {
+                p: " AND ".join(f"p.`{k}` = {p}.`{k}`" for k in self.spec.key) for p in later
+            }
+            hinted = f"/*+ MERGE({', '.join(later)}) */ " if hint and later else ""
+            queries.append(
+                f"SELECT {hinted}{columns} FROM {part} p"
+                + "".join(f" LEFT ANTI JOIN {t} {p} ON {keys[p]}" for p, t in later.items())
+            )
+        return queries
 
-    def _without(self, rows: DataFrame, changed: DataFrame) -> DataFrame:
-        """Rows whose key did not change. Merging buckets keeps them in their buckets."""
-        key = list(self.spec.key)
-        changed = changed.select(*key).hint("merge")
-        return rows.join(changed, key, "left_anti").select(*rows.columns)
+    def _merged(self, parts: list[str]) -> DataFrame:
+        return self.spark.sql(" UNION ALL ".join(self._newest_of(parts, hint=True)))
 
     def _write(self, rows: DataFrame, kind: str, bucketed: bool) -> str:
         """Write a new bucketed table under a name no earlier attempt can have used.
@@ -215,32 +231,32 @@ class LatestStore:
             remembered = epoch_millis("ts") >= newest_ms - self.keep_deleted_ms
             rows = rows.where((F.col(OP) != DELETE) | remembered)
         table = self._write(rows, "base", bucketed)
-        self._publish(table, self.spark.table(table).count(), None, None, epoch)
+        self._publish(table, self.spark.table(table).count(), [], newest_ms, epoch)
 
     def _publish(
         self,
         base: str,
         base_rows: int,
-        delta: str | None,
+        deltas: list[tuple[str, int]],
         mark_ms: int | None,
         epoch: str | None,
     ) -> None:
-        """Point the view at ``base`` and ``delta``, and note the mark it stands at."""
-        columns = ", ".join(f"`{c}`" for c in (*self.spec.columns, "ts"))
-        query = f"SELECT {columns} FROM {base} b"
-        if delta:
-            keys = " AND ".join(f"b.`{k}` = d.`{k}`" for k in self.spec.key)
-            query += (
-                f" LEFT ANTI JOIN {delta} d ON {keys} WHERE b.`{OP}` <> '{DELETE}'"
-                f" UNION ALL SELECT {columns} FROM {delta}"
-            )
-        query += f" WHERE `{OP}` <> '{DELETE}'"
+        """Point the view at ``base`` and ``deltas``, and note the mark it stands at."""
+        columns = ", ".join(f"p.`{c}`" for c in (*self.spec.columns, "ts"))
+        parts = [base, *(table for table, _ in deltas)]
+        query = " UNION ALL ".join(
+            f"{part} WHERE p.`{OP}` <> '{DELETE}'" for part in self._newest_of(parts, columns)
+        )
         if mark_ms is None and not self.keywise:
             newest = F.coalesce(F.max("ts"), F.expr(FLOOR_TS))
             mark_ms = self.spark.sql(query).agg(epoch_millis(newest)).first()[0]
-        noted = {"base": base, "base_rows": base_rows, "delta": delta, "epoch": epoch}
-        if not self.keywise:
-            noted["mark_ms"] = mark_ms
+        noted = {
+            "base": base,
+            "base_rows": base_rows,
+            "deltas": " ".join(f"{table}:{rows}" for table, rows in deltas),
+            "epoch": epoch,
+            "mark_ms": None if self.keywise else mark_ms,
+        }
         properties = ", ".join(
             f"'tidemark.{k}' = '{v}'" for k, v in noted.items() if v is not None
         )
@@ -254,13 +270,16 @@ class LatestStore:
                 f"ALTER VIEW {self.name} SET TBLPROPERTIES ('tidemark.epoch' = '{epoch}')"
             )
 
-    def _retire(self, before: dict[str, str], spent: list[str]) -> None:
-        """Drop what the view before last was made of; running readers may use the last one.
+    def _retire(self, before: dict[str, str]) -> None:
+        """Drop what neither the view nor its predecessor, which may have readers, is made of.
 
-        Also drops what a failed refresh left behind. One refresh at a time may run.
+        That includes what a failed refresh left behind. One refresh at a time may run.
         """
-        now = self.properties()
-        in_use = {p.get(part) for p in (before, now) for part in ("base", "delta")} - set(spent)
+        in_use = {
+            table
+            for held in (before, self.properties())
+            for table in (held["base"], *(delta for delta, _ in _deltas(held)))
+        }
         ours = re.compile(re.escape(self.spec.name) + "__(base|delta|fresh)_[0-9a-f]{12}")
         tables = self.spark.sql(f"SHOW TABLES IN {self.schema} LIKE '{self.spec.name}__*'")
         for (table,) in tables.select("tableName").collect():
@@ -268,6 +287,12 @@ class LatestStore:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self.schema}.{table}")
 
 
+def _deltas(held: dict[str, str]) -> list[tuple[str, int]]:
+    """Delta tables and their row counts, oldest first, from the view's properties."""
+    noted = (delta.rsplit(":", 1) for delta in held["deltas"].split())
+    return [(table, int(rows)) for table, rows in noted]
+
+
 def merge_into(state: DataFrame, target: str, spec: TableSpec) -> None:
     """Apply changed keys (``record``, ``op``, ``ts``) to a table that supports row updates."""
     flat = state.select("record.*", "ts", F.col("op").alias(OP)).alias("new")
