@@ -130,10 +130,8 @@ def test_time_is_utc_whatever_the_session_zone(spark, ts_ms, wall_clock):
 
 def test_view_gives_the_latest_state(spark):
     changes = [change("c", k, 10 * k, pos=p, name=f"{k}/{p}") for k in (1, 2) for p in (1, 2)]
-    log(spark, changes).createOrReplaceTempView("some_changes")
     try:
-        # a permanent view cannot use a temporary one
-        spark.table("some_changes").write.saveAsTable("some_changes_table")
+        log(spark, changes).write.saveAsTable("some_changes_table")
         ops.create_latest_view(spark, "some_latest", "some_changes_table", ITEM)
         ops.create_latest_view(spark, "some_latest", "some_changes_table", ITEM)
         assert rows(spark.table("some_latest")) == rows(state(spark, changes))
