@@ -7,7 +7,7 @@ import pytest
 from build import ITEM, at, change, log, rows
 from test_arrival_orders import expected, history
 
-from tidemark import LatestStore
+from tidemark import LatestStore, TableSpec, record_type
 from tidemark import operators as ops
 
 
@@ -147,3 +147,33 @@ def test_deleted_keys_are_forgotten_only_on_request(spark, store):
         for batch in batches:
             table.refresh(log(spark, batch))
         assert [r["name"] for r in table.read().where("id = 1").collect()] == names
+
+
+@pytest.mark.parametrize("keywise", [False, True])
+def test_a_key_of_several_columns(spark, tmp_path, keywise):
+    spec = TableSpec("lines", record_type(v="long", b="string", a="long"), key=["a", "b"])
+
+    def line(op, a, b, v, ts):
+        row = {"a": a, "b": b, "v": v}
+        return {
+            **change(op, 0, ts),
+            "before": row if op == "d" else None,
+            "after": None if op == "d" else row,
+        }
+
+    table = LatestStore(
+        spark, spec, f"lines_{keywise}", str(tmp_path / "l"), keywise=keywise, rewrite_share=9.0
+    )
+    table.refresh(
+        log(spark, [line("c", a, b, 0, 10) for a in (1, 2, 3) for b in ("x", "y")], spec)
+    )
+    table.refresh(log(spark, [line("u", 1, "x", 5, 20), line("d", 2, "y", 0, 21)], spec))
+    table.refresh(log(spark, [line("c", 2, "y", 7, 30)], spec))
+    assert rows(table.read(), "a", "b", "v") == [
+        (1, "x", 5),
+        (1, "y", 0),
+        (2, "x", 0),
+        (2, "y", 7),
+        (3, "x", 0),
+        (3, "y", 0),
+    ]
