@@ -8,7 +8,7 @@ import pytest
 from build import rows
 from test_capture import TS, run_workload
 
-from tidemark import ADDRESSES, PRODUCTS, LatestStore, sources, streaming
+from tidemark import ADDRESSES, PRODUCTS, ChangeCatalog, LatestStore, sources, streaming
 from tidemark import operators as ops
 from tidemark.store import merge_into
 from tidemark.streaming.landing import AVAILABLE_NOW
@@ -83,3 +83,35 @@ def test_merge_needs_a_table_that_supports_row_updates(spark, tmp_path):
     state = ops.latest_state(ops.snapshot_events(table, PRODUCTS, TS), PRODUCTS)
     with pytest.raises(Exception, match="MERGE"):
         merge_into(state, "merging.products", PRODUCTS)
+
+
+def test_catalog_of_two_tables(spark, tmp_path):
+    tables = {
+        "addresses": spark.createDataFrame(
+            [(1, 5, "A St", "B", "C", "1", "LIVING")], ADDRESSES.record
+        ),
+        "products": spark.createDataFrame([(101, "scooter", "small", 3.14)], PRODUCTS.record),
+    }
+    specs = [ADDRESSES, PRODUCTS]
+    root = str(tmp_path / "changes")
+    names = ["by_name_cdc", "by_name_views", "by_name_latest"]
+    locations = {name: str(tmp_path / name) for name in names}
+    catalog = ChangeCatalog(spark, specs, root, *names, locations=locations, buckets=2)
+    catalog.create()  # before anything has landed
+    with pytest.raises(streaming.NotConverged):
+        catalog.converge(tables, max_tries=2, interval_s=0)
+    for spec in specs:
+        events = ops.snapshot_events(tables[spec.name], spec, TS, pos=0, partitions=3)
+        sources.write_changes(events, f"{root}/{spec.name}")
+    report = catalog.converge(tables, max_tries=1)
+    assert rows(report) == [(True, "addresses", 0, 0, 1), (True, "products", 0, 0, 1)]
+
+    events = []
+    tables["addresses"], _ = run_workload(spark, tables["addresses"], 10, events, TS + 1)
+    for captured in events:
+        sources.write_changes(captured, f"{root}/addresses")
+    catalog.create()  # changes nothing
+    assert not rows(catalog.report(tables), "result")[0][0]
+    assert rows(catalog.converge(tables, max_tries=1), "result") == [(True,), (True,)]
+    deleted = spark.table("by_name_views.addresses").where("op = 'd'")
+    assert rows(deleted, "record.type") == [("SHIPPING",)]

@@ -214,6 +214,7 @@ ORACLE: dict[str, str] = {
     "store_refresh_keywise": _LIVE_ROWS,
     "incremental_stream": _REFRESHED,
     "incremental_stream_keywise": _LIVE_ROWS,
+    "catalog_refresh": _report("result"),
     "source_total": f"{REFRESH} SELECT count(*) AS n FROM truth",
     "missing_rows": f"{REFRESH} {_MISSING.format(p='')}",
     "stale_rows": f"{REFRESH} {_STALE.format(p='')}",

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark import operators as ops
 from tidemark import functions as fn
 from tidemark import sources, streaming
+from tidemark.catalog import ChangeCatalog
 from tidemark.plans import logs
 from tidemark.plans.logs import BATCH_1, BATCH_2, CUSTOMER, EVENTS, ON_TIME, PART, Event, LogTable
 from tidemark.schema import TableSpec, record_type
@@ -512,6 +513,32 @@ def incremental_stream_keywise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir, keywise=True)
 
 
+@query
+def catalog_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both tables by name: set up after batch 1, refreshed after batch 2, then reported."""
+    root = fresh_dir(spark, "changes")
+    tables = [CUSTOMER, PART]
+
+    def land(events: Sequence[Event]) -> None:
+        for log in tables:
+            changes = logs.change_log(spark, sf_dir, log, events)
+            sources.write_changes(changes, f"{root}/{log.table}")
+
+    land(BATCH_1)
+    rows = max(logs.given(spark, sf_dir, log.table).count() for log in tables)
+    catalog = ChangeCatalog(
+        spark,
+        [log.spec for log in tables],
+        root,
+        *(_namespace(spark, purpose) for purpose in ("cdc", "views", "latest")),
+        buckets=buckets_for(rows),
+    )
+    catalog.create()
+    land(BATCH_2)
+    catalog.refresh()
+    return catalog.report({log.table: _truth(spark, sf_dir, log) for log in tables})
+
+
 # Reconciliation.
 
 
