@@ -17,6 +17,9 @@ ROOT = str(Path(__file__).resolve().parents[2])
 #: Bytes of text that a task turns into arrays at once; a longer text is a piece of its own.
 PIECE_BYTES = 2 << 20
 
+#: Words remembered by a task, and the longest word remembered.
+REMEMBERED, LONG = 400_000, 64
+
 ArrowFunction = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
@@ -65,3 +68,26 @@ def one_per_id(df: DataFrame, id_col: str) -> DataFrame:
     hashed = df.select(F.struct("*").alias("row"), F.col(id_col).alias("id"))
     best = hashed.groupBy("id").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
     return best.select("row.*")
+
+
+class Memory(dict):
+    """A table that computes what it lacks and starts afresh when full."""
+
+    def __init__(self, compute):
+        super().__init__()
+        self.compute = compute
+
+    def __missing__(self, key):
+        value = self.compute(key)
+        if len(self) >= REMEMBERED:
+            self.clear()
+        if len(key) <= LONG:
+            self[key] = value
+        return value
+
+
+def byte_letters() -> dict[int, str]:
+    """The printable stand-in of each byte: itself where printable, else from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}

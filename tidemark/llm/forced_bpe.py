@@ -22,10 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_map, pieces, utf8
+from tidemark.llm.common import Memory, arrow_map, byte_letters, pieces, utf8
 
-#: Words and fragments remembered by a task, and the longest word remembered.
-REMEMBERED, LONG = 400_000, 64
 #: Bytes up to which a fragment is merged without a queue.
 SHORT, NONE = 40, (1 << 62, 0)
 #: Beyond these characters the library's own tables decide what a letter is.
@@ -40,29 +38,6 @@ LATIN = re.compile(
 END = "</w>"
 
 
-def byte_letters() -> dict[int, str]:
-    """The printable stand-in of each byte: itself where printable, else from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in plain]
-    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
-
-
-class Memory(dict):
-    """A table that computes what it lacks and starts afresh when full."""
-
-    def __init__(self, compute):
-        super().__init__()
-        self.compute = compute
-
-    def __missing__(self, key):
-        value = self.compute(key)
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if len(key) <= LONG:
-            self[key] = value
-        return value
-
-
 class ForcedBpe:
     """Encoder and decoder of a vocabulary file."""
 

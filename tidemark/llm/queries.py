@@ -9,11 +9,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, forced_bpe, ppm_langid, simhash_vptree, suffix_dedup
+from tidemark.llm import (
+    decontaminate,
+    forced_bpe,
+    host_rules,
+    plane_store,
+    ppm_langid,
+    preference,
+    simhash_vptree,
+    suffix_dedup,
+    warc,
+    weak_quality,
+)
 from tidemark.llm.common import table
+from tidemark.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
-#: The vocabulary of op6 and of the pipeline; the file must be readable on every executor.
+#: The vocabularies; the files must be readable on every executor.
+BYTE_BPE = os.environ.get("TIDEMARK_BYTE_BPE", public_tokenizers.path("byte_bpe_50k.json"))
 WORD_BPE = os.environ.get("TIDEMARK_WORD_BPE", public_tokenizers.path("word_bpe_49k.json"))
 
 
@@ -24,6 +37,13 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, size and checksum of each document's ids, from a store written and read back."""
+    folder = fresh_dir(spark, "token-planes")
+    plane_store.write(table(spark, sf_dir, "documents"), folder, BYTE_BPE)
+    return plane_store.digests(spark, folder)
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without repeated 200-byte strings."""
     found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -32,11 +52,42 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdicts of each document; its source is its host."""
+    return host_rules.judge(table(spark, sf_dir, "documents")).drop("host_rate")
+
+
+def op5_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each answered conversation against the same with its partner's last answer."""
+    own = preference.conversations(table(spark, sf_dir, "conversations"))
+    found = preference.format_pairs(preference.partner_pairs(own))
+    return found.select(
+        "pair_id",
+        "n_common",
+        "prompt",
+        "chosen",
+        "rejected",
+        preference.mask_text("chosen_mask"),
+        preference.mask_text("rejected_mask"),
+    )
+
+
 def op6_forced_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and of the decoded text of each document."""
     return forced_bpe.round_trip(table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op7_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weak label, score and verdict of each document."""
+    return weak_quality.classify(table(spark, sf_dir, "documents"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identifiers and digests of the records derived from each page's response record."""
+    found = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+    return found.drop("metadata_record", "conversion_record")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of each document."""
     found = simhash_vptree.near_duplicates(table(spark, sf_dir, "documents"))
@@ -60,10 +111,18 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_decontaminate,
+        op2_planes,
         op3_suffix_dedup,
+        op4_host_rules,
+        op5_preference,
         op6_forced_bpe,
+        op7_weak_quality,
+        op8_warc,
         op9_simhash,
         op10_language,
     )
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_host_rules": host_rules.ORACLE,
+    "op5_preference": preference.ORACLE,
+}
