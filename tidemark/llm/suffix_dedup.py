@@ -355,7 +355,9 @@ def spans(rows: DataFrame, length: int, hot: int) -> DataFrame:
     by_hash = anchors.groupBy("h").agg(
         F.count("*").alias("items"), F.min("c").alias("c0"), F.max("c").alias("c1")
     )
-    shared = anchors.join(by_hash.where("items > 1"), "h")
+    # written, so that the join has plain shuffles on both sides and a hot anchor can be split
+    repeated = stage(by_hash.where("items > 1"), "repeated")
+    shared = anchors.join(repeated, "h")
     shared = stage(shared.withColumn("mixed", F.col("c0") != F.col("c1")).drop("items"), "shared")
     whole = shared.where("not mixed").select("rid", "lo", (F.col("hi") + length).alias("hi"))
 
@@ -367,7 +369,7 @@ def spans(rows: DataFrame, length: int, hot: int) -> DataFrame:
     copies = mixed.join(classes.where("n > 1").select("h", "c"), ["h", "c"], "left_semi")
     copies = copies.select("rid", "lo", (F.col("hi") + length).alias("hi"))
 
-    sizes = classes.groupBy("h").agg(F.count("*").alias("kinds"))
+    sizes = stage(classes.groupBy("h").agg(F.count("*").alias("kinds")), "kinds")
     asked = classes.join(sizes, "h").groupBy("rid").agg(
         F.collect_list(F.struct("h", "n", "lo", "hi", (F.col("kinds") > hot).alias("hot"))).alias("asked")
     )
