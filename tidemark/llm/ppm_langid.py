@@ -26,6 +26,7 @@ from tidemark.llm.common import arrow_map, pieces, utf8
 UNKNOWN = "und"
 #: Labelled rows of a language that the trees are fitted to.
 ROWS_PER_LANG = 2_000
+DRAWS = 1 << 40
 #: Contexts of each length that a language's tree holds, the most frequent first.
 CONTEXTS = 8_192
 ORDER = 3
@@ -83,14 +84,24 @@ def gram_counts(
 
 
 def bounded_sample(rows: DataFrame, per_lang: int, id_col: str, lang_col: str) -> DataFrame:
-    """At most ``per_lang`` rows of each language, drawn by a hash of the row."""
-    order = Window.partitionBy("lang").orderBy("draw", "id", "text")
+    """At most ``per_lang`` rows of each language, the least by a hash of the row.
+
+    Rows whose hash is too great to be among them are passed over before the shuffle, so that a
+    language with most of the rows moves no more than others.
+    """
     private = rows.select(
         F.col(lang_col).alias("lang"),
         F.col(id_col).alias("id"),
         F.col("text"),
-        F.xxhash64(F.col(id_col), F.col("text")).alias("draw"),
+        F.pmod(F.xxhash64(F.col(id_col), F.col("text")), F.lit(DRAWS)).alias("draw"),
     )
+    counted = private.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    # twice the share that is wanted, and some more for languages with few rows
+    bound = {r["lang"]: min(DRAWS, (2 * per_lang + 50) * DRAWS // r["n"] + 1) for r in counted}
+    bounds = F.create_map(*(F.lit(x) for pair in sorted(bound.items()) for x in pair))
+    if bound:
+        private = private.where(F.col("draw") < bounds[F.col("lang")])
+    order = Window.partitionBy("lang").orderBy("draw", "id", "text")
     ranked = private.withColumn("rank", F.row_number().over(order))
     return ranked.where(F.col("rank") <= per_lang).select("lang", "text")
 
