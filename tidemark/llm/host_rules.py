@@ -84,6 +84,14 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
+def beta_prior(mean: float | None, variance: float | None) -> tuple[float, float]:
+    """The beta distribution of the given moments; the uniform one where there is none."""
+    if mean is None or variance is None or not 1e-12 < variance < mean * (1 - mean):
+        return 1.0, 1.0
+    weight = mean * (1 - mean) / variance - 1
+    return mean * weight, (1 - mean) * weight
+
+
 def host_verdicts(judged: DataFrame, limit: float = LIMIT) -> DataFrame:
     """``host, n_docs, n_failed, rate, host_failed`` from rows with ``host`` and ``base_failed``.
 
@@ -94,16 +102,10 @@ def host_verdicts(judged: DataFrame, limit: float = LIMIT) -> DataFrame:
         F.count("*").alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed")
     )
     raw = F.col("n_failed") / F.col("n_docs")
-    spread = hosts.agg(F.avg(raw).alias("m"), F.var_samp(raw).alias("v"))
-    fits = (F.col("v") > 1e-12) & (F.col("v") < F.col("m") * (1 - F.col("m")))
-    weight = F.col("m") * (1 - F.col("m")) / F.col("v") - 1
-    prior = spread.select(
-        F.when(fits, F.col("m") * weight).otherwise(1.0).alias("a"),
-        F.when(fits, (1 - F.col("m")) * weight).otherwise(1.0).alias("b"),
-    )
-    # the prior is one row
-    rate = (F.col("n_failed") + F.col("a")) / (F.col("n_docs") + F.col("a") + F.col("b"))
-    rated = hosts.join(F.broadcast(prior)).withColumn("rate", rate)
+    spread = hosts.agg(F.avg(raw).alias("m"), F.var_samp(raw).alias("v")).first()
+    a, b = beta_prior(spread["m"], spread["v"])
+    rate = (F.col("n_failed") + a) / (F.col("n_docs") + a + b)
+    rated = hosts.withColumn("rate", rate)
     return rated.select(
         "host", "n_docs", "n_failed", "rate", (F.col("rate") > limit).alias("host_failed")
     )
