@@ -73,13 +73,13 @@ def one_per_id(df: DataFrame, id_col: str) -> DataFrame:
 class Memory(dict):
     """A table that computes what it lacks and starts afresh when full."""
 
-    def __init__(self, compute):
+    def __init__(self, compute, most: int = REMEMBERED):
         super().__init__()
-        self.compute = compute
+        self.compute, self.most = compute, most
 
     def __missing__(self, key):
         value = self.compute(key)
-        if len(self) >= REMEMBERED:
+        if len(self) >= self.most:
             self.clear()
         if len(key) <= LONG:
             self[key] = value

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import Memory, arrow_map, byte_letters, pieces, utf8
 
+#: Fragments and words that a worker remembers; they outlive its tasks.
+FRAGMENTS, WORDS = 50_000, 200_000
 #: Bytes up to which a fragment is merged without a queue.
 SHORT, NONE = 40, (1 << 62, 0)
 #: Beyond these characters the library's own tables decide what a letter is.
@@ -68,8 +70,8 @@ class ForcedBpe:
             if ended and pairs:
                 self.inner_last.add(pairs.pop())
             self.inner.update(pairs)
-        self.fragments = Memory(self._merge)
-        self.known = Memory(self._word)
+        self.fragments = Memory(self._merge, FRAGMENTS)
+        self.known = Memory(self._word, WORDS)
 
     def cuts(self, word: bytes) -> Iterator[tuple[bytes, bool]]:
         """The fragments of a word, and whether each ends it."""
