@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark import PRODUCTS, TableSpec, envelope_schema, record_type, sources
 from tidemark import operators as ops
+from tidemark.sources.messages import by_schema_id
 
 
 def test_log_round_trip(spark, tmp_path):
@@ -70,10 +71,55 @@ def test_decoding(spark):
     assert rows(sources.decode_envelope(binary, ITEM)) == rows(log(spark, changes))
     with pytest.raises(ValueError, match="format"):
         sources.decode_envelope(messages, ITEM, fmt="xml")
-    with pytest.raises(ValueError, match="avro_schema"):
+    with pytest.raises(ValueError, match="writer schemas"):
         sources.decode_envelope(messages, ITEM, fmt="avro")
 
 
+@pytest.mark.parametrize(
+    "value",
+    [
+        "{}",
+        '{"payload": {}}',
+        '{"op": "c", "ts_ms": 1}',
+        '{"after": {"id": 1}, "ts_ms": 1}',
+        '{"after": {"ID": 7}, "op": "c", "ts_ms": 1}',
+        '{"after": {"id": "x"}, "op": "c"}',
+        "not json",
+    ],
+)
+def test_messages_that_hold_no_change_fail(spark, value):
+    messages = spark.createDataFrame([(0, value)], "partition INT, value STRING")
+    with pytest.raises(Exception, match="no change of a row|MALFORMED|parse|FAILFAST"):
+        sources.decode_envelope(messages, ITEM).select("partition").collect()
+
+
+def test_payloads_are_routed_by_schema_id(spark):
+    payload = [(b"\0\0\0\0\x07seven",), (b"\0\0\0\x01\0later",)]
+    value = F.col("value")
+    decoders = {7: lambda body: body.cast("string"), 256: lambda body: F.upper(body.cast("string"))}
+    df = spark.createDataFrame(payload, "value BINARY")
+    found = df.select(by_schema_id(value, decoders).alias("x"))
+    assert sorted(r["x"] for r in found.collect()) == ["LATER", "seven"]
+    unknown = df.select(by_schema_id(value, {7: decoders[7]}).alias("x"))
+    with pytest.raises(Exception, match="no writer schema of id 256"):
+        unknown.collect()
+
+
+def test_log_files_are_ordered_by_number(spark):
+    changes = []
+    for name, number in (("old", 999_999), ("new", 1_000_000)):
+        c = change("u", 1, 10, pos=5, name=name)
+        changes.append({**c, "source": {**c["source"], "file": f"binlog.{number}"}})
+    for order in (changes, changes[::-1]):
+        state = ops.latest_state(log(spark, order), ITEM)
+        assert [r["record"]["name"] for r in state.collect()] == ["new"]
+        log(spark, order).createOrReplaceTempView("numbered")
+        spark.sql("CREATE SCHEMA IF NOT EXISTS numbering")
+        log(spark, order).write.mode("overwrite").saveAsTable("numbering.item_changes")
+        ops.create_latest_view(spark, "numbering.item", "numbering.item_changes", ITEM)
+        assert [r["record"]["name"] for r in spark.table("numbering.item").collect()] == ["new"]
+
+
 def test_conform_orders_and_casts(spark):
     table = spark.createDataFrame(
         [(3.25, "d", "n", 1, "extra")],

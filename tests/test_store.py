@@ -29,24 +29,62 @@ def test_bootstrap_happens_once(spark, store):
     assert table.read().columns == ["id", "name", "bal", "ts"]
 
 
-@pytest.mark.parametrize(("rewrite_share", "buckets"), [(0.0, 4), (0.3, 3), (100.0, 4)])
-def test_refreshes_equal_the_operator(spark, store, rewrite_share, buckets):
+def place(c):
+    return (c["ts_ms"], c["source"]["pos"])
+
+
+def refreshed_in_batches(batches, keep=None):
+    """What a store fed in batches holds: changes above the mark, never older than a delete."""
+    held, newest = {}, None
+    for number, batch in enumerate(batches):
+        live = [c["ts_ms"] for c in held.values() if c["op"] != "d"]
+        mark = max(live, default=-1) if number else -1
+        taken = [c for c in batch if c["ts_ms"] > mark]
+        if keep is not None and number:
+            taken = [c for c in taken if c["ts_ms"] >= newest - keep]
+        for c in sorted(taken, key=place):
+            k = (c["after"] or c["before"])["id"]
+            if k not in held or place(c) > place(held[k]):
+                held[k] = c
+                newest = max(newest or 0, c["ts_ms"])
+    found = (
+        (k, c["after"]["name"], c["after"]["bal"], at(c["ts_ms"]))
+        for k, c in held.items()
+        if c["op"] != "d"
+    )
+    return sorted(found, key=repr)
+
+
+@pytest.mark.parametrize("keep", [None, 3])
+@pytest.mark.parametrize(("rewrite_share", "buckets"), [(0.0, 4), (0.3, 3), (9.0, 4)])
+def test_refreshes_from_the_mark(spark, store, rewrite_share, buckets, keep):
     rng = random.Random(5)
-    changes = [c for k in range(80) for c in history(k, rng, ties=True)]
-    rng.shuffle(changes)  # late and tied changes too
+    changes = [c for k in range(60) for c in history(k, rng, ties=False)]
+    for pos, c in enumerate(changes):
+        c["source"]["pos"] = pos
+    rng.shuffle(changes)  # late changes too
     batches = [changes[i::5] for i in range(5)]
-    table = store(rewrite_share=rewrite_share, buckets=buckets)
-    table.bootstrap(log(spark, batches[0]))
-    latest = ops.live(ops.latest_state(log(spark, batches[0]), ITEM))
-    for batch in batches[1:]:
+    table = store(rewrite_share=rewrite_share, buckets=buckets, keep_deleted_ms=keep)
+    for i, batch in enumerate(batches, start=1):
         table.refresh(log(spark, batch))
-        refreshed = ops.apply_delta(latest, log(spark, batch), ITEM)
-        latest = spark.createDataFrame(refreshed.collect(), latest.schema)
-        assert rows(table.read()) == rows(latest)
+        assert rows(table.read()) == refreshed_in_batches(batches[:i], keep)
         mark = ops.high_watermark(table.read()).first()["ts"]
         assert at(int(table.properties()["mark_ms"])) == mark
 
 
+def test_an_update_older_than_the_delete_does_not_revive_the_row(spark, store):
+    batches = [
+        [change("c", 1, 1000), change("c", 2, 1500)],
+        [change("d", 1, 2000)],
+        [change("u", 1, 1800)],
+    ]
+    for share in (0.0, 9.0):
+        table = store(rewrite_share=share)
+        for batch in batches:
+            table.refresh(log(spark, batch))
+        assert rows(table.read(), "id") == [(2,)]
+
+
 @pytest.mark.parametrize("rewrite_share", [0.0, 0.3, 100.0])
 def test_keywise_refreshes_miss_nothing(spark, store, rewrite_share):
     rng = random.Random(6)
@@ -91,7 +129,7 @@ def test_everything_deleted_and_reborn(spark, store):
 
 
 def test_few_parts_are_kept_and_few_rows_rewritten(spark, store):
-    table = store(buckets=2, rewrite_share=0.5)
+    table = store(buckets=2, rewrite_share=0.5, retain_ms=0)
     table.bootstrap(log(spark, [change("c", k, 10) for k in range(100)]))
     # what an interrupted refresh leaves behind
     log(spark, []).select("op").write.saveAsTable(f"{table.name}__fresh_0123456789ab")
@@ -112,8 +150,33 @@ def test_readers_are_not_disturbed_by_a_refresh(spark, store):
     table = store()
     table.bootstrap(log(spark, [change("c", 1, 10)]))
     reader = table.read()
-    table.refresh(log(spark, [change("c", 2, 20)]))
+    for k in range(2, 12):
+        table.refresh(log(spark, [change("c", k, 10 * k)]))
     assert rows(reader, "id") == [(1,)]
+    assert table.read().count() == 11
+
+
+@pytest.mark.parametrize("options", [{"buckets": 7}, {"keywise": True}])
+def test_layout_and_mode_are_noted(spark, store, tmp_path, options):
+    table = store(buckets=4)
+    table.bootstrap(log(spark, [change("c", 1, 10)]))
+    assert LatestStore(spark, ITEM, table.schema).buckets == 4
+    with pytest.raises(ValueError, match="item"):
+        LatestStore(spark, ITEM, table.schema, **options)
+
+
+def test_deletes_do_not_scan_the_table_for_the_mark(spark, store, monkeypatch):
+    table = store(rewrite_share=9.0)
+    table.bootstrap(log(spark, [change("c", k, 10 + k) for k in range(5)]))
+    asked = []
+    publish = table._publish
+    monkeypatch.setattr(
+        table, "_publish", lambda *a: (asked.append(a[3]), publish(*a))
+    )
+    table.refresh(log(spark, [change("d", 1, 100)]))
+    table.refresh(log(spark, [change("d", 4, 101)]))
+    assert asked == [14, None]  # the second removes the row at the mark
+    assert table.properties()["mark_ms"] == "13"
 
 
 def test_a_failed_refresh_shows_nothing_and_can_be_repeated(spark, store, monkeypatch):
@@ -136,17 +199,18 @@ def test_a_failed_refresh_shows_nothing_and_can_be_repeated(spark, store, monkey
     assert spark.sql(f"SHOW TABLES IN {table.schema} LIKE 'item*'").count() == 3
 
 
-def test_deleted_keys_are_forgotten_only_on_request(spark, store):
+def test_forgetting_depends_on_time_alone(spark, store):
     batches = [
         [change("c", k, 10) for k in range(4)],
         [change("d", 1, 100), change("u", 0, 5000)],
-        [change("u", 1, 50, name="late")],
+        [change("u", 1, 50, name="late"), change("u", 2, 3999, name="cut"), change("u", 3, 4000)],
     ]
-    for keep, names in ((None, []), (10_000, []), (1000, ["late"])):
-        table = store(keywise=True, rewrite_share=0.0, keep_deleted_ms=keep)
-        for batch in batches:
-            table.refresh(log(spark, batch))
-        assert [r["name"] for r in table.read().where("id = 1").collect()] == names
+    for keep, second in ((None, "cut"), (10_000, "cut"), (1000, "n")):
+        for share in (0.0, 9.0):
+            table = store(keywise=True, rewrite_share=share, keep_deleted_ms=keep)
+            for batch in batches:
+                table.refresh(log(spark, batch))
+            assert rows(table.read(), "id", "name") == [(0, "n"), (2, second), (3, "n")]
 
 
 @pytest.mark.parametrize("keywise", [False, True])

@@ -9,9 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.operators.latest import create_latest_view
 from tidemark.operators.reconcile import reconcile
 from tidemark.schema import TableSpec
-from tidemark.sources.changes import create_change_table, create_namespace, sync_partitions
+from tidemark.sources.changes import (
+    create_change_table,
+    create_namespace,
+    read_changes,
+    sync_partitions,
+)
 from tidemark.store import LatestStore
 from tidemark.streaming.converge import INTERVAL_S, MAX_TRIES, converge
+from tidemark.streaming.landing import AVAILABLE_NOW
+from tidemark.streaming.refresh import incremental_stream
 
 
 class ChangeCatalog:
@@ -19,7 +26,8 @@ class ChangeCatalog:
 
     ``logs.<table>`` is the change log that the landing job writes to ``root/<table>``,
     ``views.<table>`` its latest state, deletes included, and ``latest.<table>`` the stored
-    table of live rows. Further options go to each :class:`LatestStore`.
+    table of live rows. ``root/_progress`` holds how far each log has been read. ``buckets``
+    may be given for each table by name. Further options go to each :class:`LatestStore`.
     """
 
     def __init__(
@@ -31,14 +39,21 @@ class ChangeCatalog:
         views: str = "views",
         latest: str = "latest",
         locations: Mapping[str, str] | None = None,
+        buckets: int | Mapping[str, int] | None = None,
         **store_options,
     ) -> None:
         self.spark, self.specs, self.root = spark, list(specs), root.rstrip("/")
         self.logs, self.views, self.latest = logs, views, latest
         for schema in (logs, views, latest):
             create_namespace(spark, schema, (locations or {}).get(schema))
+        sizes = buckets if isinstance(buckets, Mapping) else dict.fromkeys(
+            (spec.name for spec in self.specs), buckets
+        )
         self.stores = {
-            spec.name: LatestStore(spark, spec, latest, **store_options) for spec in self.specs
+            spec.name: LatestStore(
+                spark, spec, latest, buckets=sizes.get(spec.name), **store_options
+            )
+            for spec in self.specs
         }
 
     def changes(self, spec: TableSpec) -> DataFrame:
@@ -50,15 +65,27 @@ class ChangeCatalog:
             log = f"{self.logs}.{spec.name}"
             create_change_table(self.spark, log, spec, f"{self.root}/{spec.name}")
             create_latest_view(self.spark, f"{self.views}.{spec.name}", log, spec)
-            self.stores[spec.name].bootstrap(self.changes(spec))
+            if not self.stores[spec.name].exists():
+                self._advance(spec)
+                # nothing may have landed yet
+                self.stores[spec.name].bootstrap(self.changes(spec).limit(0))
 
     def refresh(self) -> None:
-        """Bring every latest table up to date with what has landed."""
+        """Bring every latest table up to date with what has landed; old files are not read."""
         for spec in self.specs:
             log = f"{self.logs}.{spec.name}"
             sync_partitions(self.spark, log)
             self.spark.catalog.refreshTable(log)
-            self.stores[spec.name].refresh(self.changes(spec))
+            self._advance(spec)
+
+    def _advance(self, spec: TableSpec) -> None:
+        log = read_changes(self.spark, f"{self.root}/{spec.name}", spec, streaming=True)
+        incremental_stream(
+            log,
+            self.stores[spec.name],
+            f"{self.root}/_progress/{spec.name}",
+            trigger=AVAILABLE_NOW,
+        ).awaitTermination()
 
     def report(self, source_tables: Mapping[str, DataFrame]) -> DataFrame:
         """Reconciliation of every latest table with its source."""

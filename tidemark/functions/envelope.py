@@ -17,6 +17,8 @@ MILLISECOND = "interval '0.001' second"
 # High-water mark of an empty table. Year 1, since Python cannot represent year 0.
 FLOOR_TS = "timestamp_ntz'0001-01-01 00:00:00'"
 
+LOG_FILE = "source.file"
+
 Mark = DataFrame | Column | datetime | int
 
 
@@ -47,7 +49,19 @@ def order_values(spec: TableSpec) -> list[Column]:
     The log position, then a hash of the change: the hash is reached only on a full tie, and
     then any order will do as long as it is the same on every run.
     """
-    return [*(F.col(c) for c in spec.tiebreak), F.xxhash64(change_record(), F.col("op"))]
+    return [F.expr(x) for x in order_expressions(spec)]
+
+
+def order_expressions(spec: TableSpec) -> list[str]:
+    """The same as SQL.
+
+    Log files are numbered, and a number outgrows its leading zeros: of two names the longer
+    is the later, so ``binlog.1000000`` follows ``binlog.999999``.
+    """
+    place = [
+        x for c in spec.tiebreak for x in ([f"length({c})", c] if c == LOG_FILE else [c])
+    ]
+    return [*place, "xxhash64(coalesce(after, before), op)"]
 
 
 def change_order(spec: TableSpec) -> list[Column]:

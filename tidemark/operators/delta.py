@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.envelope import FLOOR_TS, Mark, key_columns, mark_millis
 from tidemark.operators.latest import latest_state, live
-from tidemark.schema import TableSpec
+from tidemark.schema import DELETE, TableSpec
 
 
 def high_watermark(latest: DataFrame) -> DataFrame:
@@ -66,8 +66,12 @@ def apply_delta(
 ) -> DataFrame:
     """The latest table brought up to date with the changes after its high-water mark.
 
+    ``changes`` must be the whole log, or all of it from the mark on: a part of it may lack
+    the delete that outranks an update. (A store that is fed in parts remembers deletes.)
+
     Removes every key that changed and inserts the new rows of those that still live, in one
-    plan. ``marks="one"`` reads the mark once. ``marks="two"`` reads it again after the
+    plan. ``marks="one"`` reads the mark once, ranks the changes once and joins them to
+    ``latest``, which must hold each key once. ``marks="two"`` reads the mark again after the
     removal, as two separate statements would: if the newest rows were just deleted the mark
     falls, and late changes between the two marks are inserted beside the rows they should
     have replaced.
@@ -75,6 +79,17 @@ def apply_delta(
     if marks not in ("one", "two"):
         raise ValueError(f"marks must be 'one' or 'two', not {marks!r}")
     mark = high_watermark(latest)
-    survivors = delete_changed(latest, changed_keys(changes, spec, mark), spec)
-    insert_mark = mark if marks == "one" else high_watermark(survivors)
-    return insert_changed(survivors, changed_since(changes, spec, insert_mark), spec)
+    if marks == "two":
+        survivors = delete_changed(latest, changed_keys(changes, spec, mark), spec)
+        state = changed_since(changes, spec, high_watermark(survivors))
+        return insert_changed(survivors, state, spec)
+    columns = [*spec.columns, "ts"]
+    held = latest.select(*spec.key, F.struct(*columns).alias("__held"))
+    state = changed_since(changes, spec, mark).select(
+        *(F.col("record")[k].alias(k) for k in spec.key),
+        F.struct("record.*", "ts").alias("__new"),
+        F.coalesce(F.col("op") != DELETE, F.lit(False)).alias("__live"),
+    )
+    joined = held.join(state, list(spec.key), "full_outer")
+    joined = joined.where(F.coalesce("__live", F.lit(True)))
+    return joined.select(F.coalesce("__new", "__held").alias("row")).select("row.*")

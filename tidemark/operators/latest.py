@@ -13,6 +13,7 @@ from tidemark.functions.envelope import (
     change_ts,
     key_columns,
     mark_millis,
+    order_expressions,
     order_values,
 )
 from tidemark.schema import DELETE, TableSpec
@@ -93,7 +94,7 @@ def create_latest_view(spark: SparkSession, view: str, table: str, spec: TableSp
     )
     newest_first = ", ".join(
         f"{expr} DESC NULLS LAST"
-        for expr in ("ts_ms", *spec.tiebreak, "xxhash64(coalesce(after, before), op)")
+        for expr in ("ts_ms", *order_expressions(spec))
     )
     spark.sql(
         f"""CREATE OR REPLACE VIEW {view} AS

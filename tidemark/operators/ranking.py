@@ -9,61 +9,29 @@ from tidemark.functions.envelope import change_order, key_columns
 from tidemark.schema import TableSpec
 from tidemark.session import shared_root
 
-# Most changes of one key that a single task ranks.
-ROWS_PER_TASK = 4_000_000
-# Most rows of bookkeeping (hot keys, parts of hot keys) worth broadcasting. Each stands for
-# about ROWS_PER_TASK changes, so there are few; beyond the bound they are joined as usual.
-BROADCAST_ROWS = 500_000
 
-
-def change_rank(
-    changes: DataFrame, spec: TableSpec, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+def change_rank(changes: DataFrame, spec: TableSpec, slices: int | None = None) -> DataFrame:
     """The changes with ``row_num``, 1 for the newest of each key.
 
-    A window gathers a key in one task, which is fine until one key holds a good part of the
-    log. Keys with more than ``rows_per_task`` changes are ranked in slices instead. For the
-    newest change alone use ``latest_state``, which never ranks the rest.
-    """
-    # as a struct, a key with NULL in it still equals itself
-    keyed = changes.withColumn(
-        "__key", F.struct(*(c.alias(k) for k, c in zip(spec.key, key_columns(spec))))
-    )
-    sizes = keyed.groupBy("__key").agg(F.count("*").alias("__size"))
-    hot = sizes.where(F.col("__size") > rows_per_task)
-    # one row to the driver; the scan behind it reads only the key leaves
-    n_hot, n_rows = hot.agg(F.count("*"), F.coalesce(F.sum("__size"), F.lit(0))).first()
-    if n_hot == 0:
-        return _rank(keyed, spec).drop("__key")
-    hot_keys = _small(hot.select("__key"), n_hot)
-    cold = keyed.join(hot_keys, "__key", "left_anti")
-    sliced = _rank_in_slices(
-        keyed.join(hot_keys, "__key", "left_semi"), spec, -(-n_rows // rows_per_task), n_hot
-    )
-    return _rank(cold, spec).unionByName(sliced).drop("__key")
-
+    A window would gather a key in one task. Instead the changes are sorted over range
+    partitions, ``slices`` of them (default: the session's shuffle partitions), which may part
+    a key anywhere, so a key with a third of the log is a third of the work of all tasks. For
+    the newest change alone use ``latest_state``, which never ranks the rest.
 
-def _small(rows: DataFrame, n: int) -> DataFrame:
-    return F.broadcast(rows) if n <= BROADCAST_ROWS else rows
-
-
-def _rank(keyed: DataFrame, spec: TableSpec) -> DataFrame:
-    age = Window.partitionBy("__key").orderBy(*change_order(spec))
-    return keyed.withColumn("row_num", F.row_number().over(age).cast("bigint"))
-
-
-def _rank_in_slices(keyed: DataFrame, spec: TableSpec, slices: int, n_keys: int) -> DataFrame:
-    """Number the rows of sorted range partitions, then start each key's count at one.
-
-    A part is what one partition holds of one key. A row's rank is its distance from the
-    start of its part, plus the sizes of the key's earlier parts. The checkpoint fixes the
-    numbers for both uses. The random last sort column lets copies of one change spread over
-    partitions; which copy gets which of their ranks makes no difference.
+    A part is what one slice holds of one key. A row's rank is its distance from the start of
+    its part, plus the sizes of the key's earlier parts. The checkpoint fixes the numbers for
+    both uses. The random last sort column lets copies of one change spread over slices; which
+    copy gets which of their ranks makes no difference.
     """
-    shared_root(keyed.sparkSession)
+    spark = changes.sparkSession
+    shared_root(spark)
+    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # as a struct, a key with NULL in it still equals itself
+    key = F.struct(*(c.alias(k) for k, c in zip(spec.key, key_columns(spec))))
     order = ["__key", *change_order(spec), "__salt"]
     placed = (
-        keyed.withColumn("__salt", F.rand(seed=1))
+        changes.withColumn("__key", key)
+        .withColumn("__salt", F.rand(seed=1))
         .repartitionByRange(slices, *order)
         .sortWithinPartitions(*order)
         # the partition in the upper bits, the row within it in the lower 33
@@ -83,7 +51,7 @@ def _rank_in_slices(keyed: DataFrame, spec: TableSpec, slices: int, n_keys: int)
         (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__start") + 1).alias("__shift"),
     )
     return (
-        placed.join(_small(parts, slices + n_keys), ["__key", "__slice"])
+        placed.join(parts, ["__key", "__slice"])
         .withColumn("row_num", F.col("__at") + F.col("__shift"))
-        .drop("__at", "__shift", "__slice", "__salt")
+        .drop("__key", "__at", "__shift", "__slice", "__salt")
     )

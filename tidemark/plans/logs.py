@@ -21,8 +21,8 @@ from tidemark.schema import (
 )
 
 T0 = 1_704_067_200_000  # 2024-01-01 in epoch milliseconds
-# Distance of the event kinds in time and log position, and of new keys from old ones. Wider
-# than any key, so that kinds do not overlap however many rows a table has.
+# Distance of the event kinds in time and log position, and of new keys from old ones. Kinds of
+# different keys overlap once keys pass it; those of one key never do, which is all that counts.
 STRIDE = 1_000_000
 NEW_KEYS = 1_000_000_000_000
 
@@ -71,6 +71,13 @@ FALLING_MARK = tuple(
     for e in EVENTS
 )
 
+# Three batches: what the last one updates is in part deleted already, by later changes.
+LATE_DELETE = (
+    Event(1, "r", "true", 0, 0),
+    Event(2, "d", "k % 7 = 0", 120_000, 3, None),
+    Event(3, "u", "k % 7 = 0 OR k % 11 = 0", 90_000, 4, "bal + 300"),
+)
+
 
 @dataclass(frozen=True)
 class LogTable:

@@ -99,11 +99,12 @@ def _report(match: str) -> str:
     return f"WITH {ctes} {rows}"
 
 
-def _converged() -> str:
+def _agreed(events: Sequence[Event]) -> str:
+    """The report of tables that hold what their logs amount to."""
     ctes, rows = [], []
     for log in (CUSTOMER, PART):
         t = log.table
-        ctes += [_log(ON_TIME, log, f"{t}_log"), _state(f"{t}_state", f"{t}_log")]
+        ctes += [_log(events, log, f"{t}_log"), _state(f"{t}_state", f"{t}_log")]
         rows.append(
             f"SELECT true AS result, '{t}' AS name, CAST(0 AS BIGINT) AS num_missing, "
             f"CAST(0 AS BIGINT) AS num_stale, "
@@ -159,6 +160,8 @@ ORACLE: dict[str, str] = {
     ),
     "decode_envelope": f"{LOG} SELECT op, ts_ms, CASE WHEN has_after THEN id END AS id, "
     "CASE WHEN has_after THEN name END AS name, CASE WHEN has_after THEN bal END AS bal FROM log",
+    "decode_envelope_wrapped": f"{LOG} SELECT op, ts_ms, CASE WHEN has_after THEN id END AS id, "
+    "CASE WHEN has_after THEN name END AS name, CASE WHEN has_after THEN bal END AS bal FROM log",
     "source_scan": f"SELECT {', '.join(_SHOP_COLUMNS)} FROM customer",
     "source_dml": f"WITH {_MUTATED} SELECT * FROM mutated",
     "snapshot_events": f"SELECT 'r' AS op, CAST({logs.T0} AS BIGINT) AS ts_ms, "
@@ -185,6 +188,8 @@ ORACLE: dict[str, str] = {
     "latest_order_of_status": _newest(_ORDER_COLUMNS, "orders", "o_orderstatus", _NEWEST_ORDER),
     "order_rank_of_status": "SELECT o_orderstatus, o_orderkey, row_number() OVER "
     f"(PARTITION BY o_orderstatus ORDER BY {_NEWEST_ORDER}) AS row_num FROM orders",
+    "order_rank_in_slices": "SELECT o_orderstatus, o_orderkey, row_number() OVER "
+    f"(PARTITION BY o_orderstatus ORDER BY {_NEWEST_ORDER}) AS row_num FROM orders",
     "latest_line": _newest(
         f"l_orderkey, l_linenumber, {', '.join(logs.LINE_COLUMNS)}, l_shipdate AS ts",
         "lineitem",
@@ -214,7 +219,10 @@ ORACLE: dict[str, str] = {
     "store_refresh_keywise": _LIVE_ROWS,
     "incremental_stream": _REFRESHED,
     "incremental_stream_keywise": _LIVE_ROWS,
+    "incremental_stream_late_delete": f"WITH {_log(logs.LATE_DELETE)}, {_state('state', 'log')}, "
+    f"{_live('live', 'state')} SELECT id, name, bal, ts FROM live",
     "catalog_refresh": _report("result"),
+    "catalog_refresh_keywise": _agreed(EVENTS),
     "source_total": f"{REFRESH} SELECT count(*) AS n FROM truth",
     "missing_rows": f"{REFRESH} {_MISSING.format(p='')}",
     "stale_rows": f"{REFRESH} {_STALE.format(p='')}",
@@ -222,5 +230,5 @@ ORACLE: dict[str, str] = {
     "stale_count": f"{REFRESH} SELECT count(*) AS n FROM ({_STALE.format(p='')})",
     "reconcile": _report("result"),
     "report_csv": _report("match"),
-    "converge": _converged(),
+    "converge": _agreed(ON_TIME),
 }

@@ -166,6 +166,15 @@ def decode_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.decode_envelope(messages, SPEC).select("op", "ts_ms", "after.*")
 
 
+@query
+def decode_envelope_wrapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from messages that a converter has wrapped with their schema."""
+    messages = sources.encode_envelope(_log(spark, sf_dir), CUSTOMER.topic)
+    wrapped = F.concat(F.lit('{"schema":{"type":"struct"},"payload":'), "value", F.lit("}"))
+    decoded = sources.decode_envelope(messages.withColumn("value", wrapped), SPEC)
+    return decoded.select("op", "ts_ms", "after.*")
+
+
 # The source table and the changes it emits.
 
 SHOP = TableSpec(
@@ -358,6 +367,14 @@ def order_rank_of_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.select("after.o_orderstatus", "after.o_orderkey", "row_num")
 
 
+@query
+def order_rank_in_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over many small slices, most of them inside one status."""
+    spec = logs.ORDER_OF_STATUS
+    ranked = ops.change_rank(logs.order_log(spark, sf_dir, spec), spec, slices=50)
+    return ranked.select("after.o_orderstatus", "after.o_orderkey", "row_num")
+
+
 @query
 def latest_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest version of each order line: a key of two columns."""
@@ -513,9 +530,33 @@ def incremental_stream_keywise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _streamed(spark, sf_dir, keywise=True)
 
 
+@query
+def incremental_stream_late_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of three batches: the snapshot, deletes, and updates from before the deletes."""
+    path, progress = fresh_dir(spark, "log"), fresh_dir(spark, "progress")
+    store = _store(spark, sf_dir)
+    for event in logs.LATE_DELETE:
+        sources.write_changes(_log(spark, sf_dir, [event]), path)
+        changes = sources.read_changes(spark, path, SPEC, streaming=True)
+        streaming.incremental_stream(
+            changes, store, progress, trigger=AVAILABLE_NOW
+        ).awaitTermination()
+    return store.read()
+
+
 @query
 def catalog_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both tables by name: set up after batch 1, refreshed after batch 2, then reported."""
+    return _catalog_report(spark, sf_dir)
+
+
+@query
+def catalog_refresh_keywise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same key by key, which misses nothing."""
+    return _catalog_report(spark, sf_dir, keywise=True)
+
+
+def _catalog_report(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     root = fresh_dir(spark, "changes")
     tables = [CUSTOMER, PART]
 
@@ -525,13 +566,14 @@ def catalog_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
             sources.write_changes(changes, f"{root}/{log.table}")
 
     land(BATCH_1)
-    rows = max(logs.given(spark, sf_dir, log.table).count() for log in tables)
+    rows = {log.spec.name: logs.given(spark, sf_dir, log.table).count() for log in tables}
     catalog = ChangeCatalog(
         spark,
         [log.spec for log in tables],
         root,
         *(_namespace(spark, purpose) for purpose in ("cdc", "views", "latest")),
-        buckets=buckets_for(rows),
+        buckets={name: buckets_for(n) for name, n in rows.items()},
+        **options,
     )
     catalog.create()
     land(BATCH_2)

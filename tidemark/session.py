@@ -30,21 +30,22 @@ def local_session(name: str = "tidemark", cores: int | str = "*", **conf: str) -
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir`` of the session.
+    """The folder all executors can reach: ``spark.checkpoint.dir`` of the session, or the
+    checkpoint folder set on its context.
 
-    Where that is unset, a local session falls back to a temporary folder; on a cluster the
+    Where both are unset, a local session falls back to a temporary folder; on a cluster the
     setting is required, since a machine-local folder would be lost with its machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        context = spark.sparkContext
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = _local_roots.get(context.applicationId)
         if root is None:
             root = _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="tidemark-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,30 +33,82 @@ def payload_schema(spec: TableSpec) -> T.StructType:
     return T.StructType([f for f in envelope_schema(spec.record) if f.name != "partition"])
 
 
+def registry_id(value: Column) -> Column:
+    """The schema id in the header of a registry payload: four bytes, high byte first."""
+    return F.conv(F.hex(F.substring(value, 2, 4)), 16, 10).cast("long")
+
+
+def by_schema_id(value: Column, decoders: Mapping[int, Callable[[Column], Column]]) -> Column:
+    """Each payload through the decoder of its schema id; an unknown id fails the job."""
+    own, body = registry_id(value), F.substring(value, REGISTRY_HEADER_BYTES + 1, 2147483647)
+    unknown = F.raise_error(F.concat(F.lit("no writer schema of id "), own.cast("string")))
+    out = None
+    for number, decoder in decoders.items():
+        known = own == number
+        out = F.when(known, decoder(body)) if out is None else out.when(known, decoder(body))
+    if out is None:
+        raise ValueError("a registry payload needs the writer schemas by id")
+    return out.otherwise(unknown)
+
+
+def _of_another_table(spec: TableSpec) -> Column:
+    """Whether the image of a JSON message has fields, but none of the table."""
+    text = F.col("value").cast("string")
+    paths = ("$.payload.after", "$.after", "$.payload.before", "$.before")
+    names = F.json_object_keys(F.coalesce(*(F.get_json_object(text, p) for p in paths)))
+    known = F.arrays_overlap(names, F.array(*map(F.lit, spec.columns)))
+    return F.coalesce((F.size(names) > 0) & ~known, F.lit(False))
+
+
 def decode_envelope(
-    messages: DataFrame, spec: TableSpec, fmt: str = "json", avro_schema: str | None = None
+    messages: DataFrame,
+    spec: TableSpec,
+    fmt: str = "json",
+    avro_schemas: Mapping[int, str] | None = None,
 ) -> DataFrame:
     """Messages (``partition``, ``value``) to typed envelopes.
 
-    Null values (broker tombstones) are skipped. A payload that does not decode fails the
-    job instead of turning into an envelope of NULLs.
+    Null values (broker tombstones) are skipped. JSON may come bare or wrapped as
+    ``{"schema": .., "payload": ..}``. Avro payloads name their writer schema by an id, which
+    ``avro_schemas`` resolves. A payload that does not decode, an unknown id, a change without
+    operation, and one without a row - no image, or one with fields of another table - fail
+    the job instead of turning into an envelope of NULLs.
     """
     messages = messages.where(F.col("value").isNotNull())
-    value: Column = F.col("value")
+    value, payload = F.col("value"), payload_schema(spec)
     if fmt == "json":
-        decoded = F.from_json(value.cast("string"), payload_schema(spec), {"mode": "FAILFAST"})
+        wrapped = T.StructType([*payload.fields, T.StructField("payload", payload)])
+        decoded = F.from_json(value.cast("string"), wrapped, {"mode": "FAILFAST"})
     elif fmt == "avro":
         from pyspark.sql.avro.functions import from_avro  # needs the spark-avro package
 
-        if avro_schema is None:
-            raise ValueError("fmt='avro' needs the writer schema as avro_schema")
-        body = F.substring(value, REGISTRY_HEADER_BYTES + 1, 2147483647)
-        decoded = from_avro(body, avro_schema, {"mode": "FAILFAST"}).cast(payload_schema(spec))
+        decoders = {
+            number: lambda body, schema=schema: from_avro(
+                body, schema, {"mode": "FAILFAST"}
+            ).cast(payload)
+            for number, schema in (avro_schemas or {}).items()
+        }
+        decoded = by_schema_id(value, decoders)
     else:
         raise ValueError(f"unknown message format {fmt!r}")
-    return messages.select(
-        decoded.alias("envelope"), F.col("partition").cast("int").alias("partition")
-    ).select("envelope.*", "partition")
+    found = messages.select(
+        decoded.alias("m"), F.col("partition").cast("int").alias("partition"), "value"
+    )
+    if fmt == "json":
+        bare = F.struct(*(F.col(f"m.{x}").alias(x) for x in payload.names))
+        found = found.withColumn(
+            "m", F.when(F.col("m.payload").isNotNull(), F.col("m.payload")).otherwise(bare)
+        )
+    row = F.coalesce("m.after", "m.before")
+    broken = F.col("m.op").isNull() | row.isNull()
+    if fmt == "json":
+        empty = F.coalesce(*(row[c].cast("string") for c in spec.columns)).isNull()
+        broken = broken | F.when(empty, _of_another_table(spec)).otherwise(False)
+    start = F.substring(F.col("value").cast("string"), 1, 200)
+    complain = F.raise_error(F.concat(F.lit("no change of a row in message: "), start))
+    return found.where(F.when(broken, complain.cast("boolean")).otherwise(True)).select(
+        "m.*", "partition"
+    )
 
 
 def encode_envelope(changes: DataFrame, topic: str) -> DataFrame:

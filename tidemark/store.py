@@ -6,7 +6,8 @@ So the latest table is a catalog view over immutable tables, all bucketed by key
 * a *base*: the state of every key when it was written;
 * *deltas*: the newest state of every key that a refresh found changed, deletes included.
 
-The view takes each key from the newest part that has it, and leaves out deleted keys. A
+Deleted keys stay as rows that the view leaves out, so that an older change that arrives later
+does not revive them. The view takes each key from the newest part that has it. A
 refresh writes one more delta, whose size follows the changes and not the table, and switches
 readers over by replacing the view. Deltas of like size are merged, so that there are few of
 them and a row is rewritten a few times, not once per refresh; when together they pass a share
@@ -21,9 +22,10 @@ instead.
 from __future__ import annotations
 
 import re
+import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.envelope import FLOOR_TS, change_ts, epoch_millis
@@ -33,10 +35,14 @@ from tidemark.schema import DELETE, TableSpec
 from tidemark.sources.changes import create_namespace
 
 OP, SEQ = "__op", "__seq"
+RETIRED = "tidemark.retired"
 
 # A delta is merged with the later ones once they hold a third of their common rows.
 MERGE_RATIO = 2
 
+# How long replaced tables stay for their readers.
+RETAIN_MS = 3_600_000
+
 ROWS_PER_BUCKET = 5_000_000
 # Spark's own bound, see spark.sql.sources.bucketing.maxBuckets
 MAX_BUCKETS = 100_000
@@ -50,16 +56,21 @@ def buckets_for(rows: int) -> int:
 class LatestStore:
     """The latest table of one spec as the view ``schema.name``.
 
-    ``keywise`` selects the refresh: from the table's high-water mark (default), or key by
-    key, which keeps deleted keys in the base and is safe for late and tied changes. Events
-    that carry no key belong to no row, and the key-wise store leaves them out.
+    ``keywise`` selects the refresh: from the table's high-water mark (default), which skips
+    late changes, or key by key, which is safe for late and tied changes. Either way a change
+    older than the delete of its key, whenever that came, does not revive the row. Events that
+    carry no key belong to no row, and the key-wise store leaves them out.
+
+    ``buckets`` fixes the layout, see :func:`buckets_for`; it defaults to the session's number
+    of shuffle partitions. Layout and mode are noted with the table: another session takes
+    the buckets from there, and is refused if it asks for others or for the other mode.
 
-    ``buckets`` fixes the layout and must stay the same for the life of the table; see
-    :func:`buckets_for`. It defaults to the session's number of shuffle partitions.
+    ``keep_deleted_ms`` lets the store forget deleted keys. Changes that are older by more than
+    that than the newest change of all earlier refreshes are then skipped, whatever their key,
+    so a forgotten key cannot be told from a remembered one. By default nothing is forgotten.
 
-    ``keep_deleted_ms`` lets a merge of the key-wise store forget keys that were deleted so
-    long before the newest change. A change older than that, should one still arrive, would
-    then revive its row; by default nothing is forgotten.
+    A table that a refresh replaces is dropped by a refresh ``retain_ms`` later or more, so a
+    reader has that long to finish.
     """
 
     def __init__(
@@ -72,13 +83,22 @@ class LatestStore:
         keywise: bool = False,
         rewrite_share: float = 0.1,
         keep_deleted_ms: int | None = None,
+        retain_ms: int = RETAIN_MS,
     ) -> None:
         self.spark, self.spec, self.schema = spark, spec, schema
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.keywise = keywise
         self.rewrite_share = rewrite_share
         self.keep_deleted_ms = keep_deleted_ms
+        self.retain_ms = retain_ms
         create_namespace(spark, schema, location)
+        noted = self.properties() if self.exists() else {}
+        if noted.get("keywise", str(keywise)) != str(keywise):
+            raise ValueError(f"{self.name} was made with keywise={noted['keywise']}")
+        if buckets and noted.get("buckets", str(buckets)) != str(buckets):
+            raise ValueError(f"{self.name} has {noted['buckets']} buckets, not {buckets}")
+        self.buckets = int(
+            noted.get("buckets") or buckets or spark.conf.get("spark.sql.shuffle.partitions")
+        )
 
     @property
     def name(self) -> str:
@@ -102,7 +122,9 @@ class LatestStore:
         """Create the table from the log; does nothing, and says so, when it exists."""
         if self.exists():
             return False
-        self._publish_base(self._rows(changes), epoch, self._ranked_in_buckets())
+        table = self._write(self._rows(changes), "base", self._ranked_in_buckets())
+        rows, newest_ms = self._size_and_newest(table)
+        self._publish(table, rows, [], None, newest_ms, epoch)
         return True
 
     def refresh(self, changes: DataFrame, epoch: str | None = None) -> None:
@@ -116,25 +138,49 @@ class LatestStore:
         if epoch is not None and held.get("epoch") == epoch:
             return
         fresh = self._write(self._arrivals(changes, held), "fresh", self._ranked_in_buckets())
-        # the newest live arrival is the new mark; without one the mark may have fallen
-        mark_ms, n_rows = (
-            self.spark.table(fresh)
-            .agg(epoch_millis(F.max(F.when(F.col(OP) != DELETE, F.col("ts")))), F.count("*"))
-            .first()
-        )
+        n_rows, newest_ms = self._size_and_newest(fresh)
         if n_rows == 0:
             self._note_epoch(epoch)
             self.spark.sql(f"DROP TABLE {fresh}")
             return
+        mark_ms = None if self.keywise else self._mark_after(fresh, int(held["mark_ms"]))
+        newest_ms = max(newest_ms, int(held["newest_ms"]))
         deltas = [*_deltas(held), (fresh, n_rows)]
         base_rows = int(held["base_rows"])
         if sum(rows for _, rows in deltas) > self.rewrite_share * base_rows:
             merged = self._merged([held["base"], *(table for table, _ in deltas)])
-            self._publish_base(merged, epoch, True, mark_ms)
+            if self.keep_deleted_ms is not None:
+                # what is forgotten is older than any change that a later refresh takes
+                kept = epoch_millis("ts") >= newest_ms - self.keep_deleted_ms
+                merged = merged.where(~_deleted() | F.coalesce(kept, F.lit(False)))
+            table = self._write(merged, "base", True)
+            rows, _ = self._size_and_newest(table)
+            self._publish(table, rows, [], mark_ms, newest_ms, epoch)
         else:
-            self._publish(held["base"], base_rows, self._tidied(deltas), mark_ms, epoch)
+            self._publish(
+                held["base"], base_rows, self._tidied(deltas), mark_ms, newest_ms, epoch
+            )
         self._retire(held)
 
+    def _size_and_newest(self, table: str) -> tuple[int, int]:
+        """Rows of a part and the time of its newest change, deletes included."""
+        newest = epoch_millis(F.coalesce(F.max("ts"), F.expr(FLOOR_TS)))
+        return tuple(self.spark.table(table).agg(F.count("*"), newest).first())
+
+    def _mark_after(self, fresh: str, mark_ms: int) -> int | None:
+        """The mark once ``fresh`` is applied; None if the whole table has to tell.
+
+        The newest live arrival is the new mark. Without one the mark stands, unless the
+        arrivals remove a row that stands at it; only the rows at the mark are read for that.
+        """
+        arrived = self.spark.table(fresh)
+        newest = arrived.where(~_deleted()).agg(epoch_millis(F.max("ts"))).first()[0]
+        if newest is not None:
+            return newest
+        at_mark = self.read().where(F.col("ts") == change_ts(F.lit(mark_ms).cast("bigint")))
+        removed = at_mark.join(arrived, list(self.spec.key), "left_semi").limit(1).count()
+        return None if removed else mark_ms
+
     def _rows(self, changes: DataFrame) -> DataFrame:
         """Rows to store for a log: the record, ``ts``, and what a refresh has to know.
 
@@ -142,11 +188,10 @@ class LatestStore:
         """
         newest = newest_changes(changes, self.spec)
         keys = {k: F.col(f"__key{i}") for i, k in enumerate(self.spec.key)}
-        bookkeeping = [F.col("op").alias(OP)]
         if self.keywise:
             newest = newest.dropna(subset=[f"__key{i}" for i in range(len(keys))])
-            seqs = [c for c in newest.columns if c.startswith("__seq")]
-            bookkeeping.append(F.struct(*seqs).alias(SEQ))
+        seqs = [c for c in newest.columns if c.startswith("__seq")]
+        bookkeeping = [F.col("op").alias(OP), F.struct(*seqs).alias(SEQ)]
         return newest.select(
             *(keys.get(c, F.col("record")[c]).alias(c) for c in self.spec.columns),
             change_ts().alias("ts"),
@@ -155,16 +200,24 @@ class LatestStore:
 
     def _arrivals(self, changes: DataFrame, held: dict[str, str]) -> DataFrame:
         """Stored rows for the keys that these changes move on."""
+        if self.keep_deleted_ms is not None:
+            changes = newer_than(changes, int(held["newest_ms"]) - self.keep_deleted_ms - 1)
         if not self.keywise:
-            return self._rows(newer_than(changes, int(held["mark_ms"])))
+            changes = newer_than(changes, int(held["mark_ms"]))
         # the bucketed parts are joined one by one, so that none is shuffled; the place in
         # the order is all that is read of them
         key, places = list(self.spec.key), []
         arrived = self._rows(changes)
         for i, table in enumerate([held["base"], *(table for table, _ in _deltas(held))]):
-            place = self.spark.table(table).select(*key, F.struct("ts", SEQ).alias(f"__part{i}"))
+            part = self.spark.table(table)
+            if not self.keywise:
+                # live rows are not newer than the mark: only deletes can outrank an arrival
+                after = F.col("ts") > change_ts(F.lit(int(held["mark_ms"])).cast("bigint"))
+                part = part.where(_deleted() & after)
+            place = part.select(*key, F.struct("ts", SEQ).alias(f"__part{i}"))
             arrived = arrived.join(place, key, "left")
             places.insert(0, F.col(f"__part{i}"))
+        # later parts hold later places of a key
         last = F.coalesce(*places)
         newer = last.isNull() | (F.struct("ts", SEQ) > last)
         return arrived.where(newer).drop(*(f"__part{i}" for i in range(len(places))))
@@ -222,23 +275,13 @@ class LatestStore:
         """Whether ranking by key already partitions rows the way the buckets do."""
         return int(self.spark.conf.get("spark.sql.shuffle.partitions")) == self.buckets
 
-    def _publish_base(
-        self, rows: DataFrame, epoch: str | None, bucketed: bool, newest_ms: int | None = None
-    ) -> None:
-        if not self.keywise:
-            rows = rows.where(F.col(OP) != DELETE)
-        elif self.keep_deleted_ms is not None and newest_ms is not None:
-            remembered = epoch_millis("ts") >= newest_ms - self.keep_deleted_ms
-            rows = rows.where((F.col(OP) != DELETE) | remembered)
-        table = self._write(rows, "base", bucketed)
-        self._publish(table, self.spark.table(table).count(), [], newest_ms, epoch)
-
     def _publish(
         self,
         base: str,
         base_rows: int,
         deltas: list[tuple[str, int]],
         mark_ms: int | None,
+        newest_ms: int,
         epoch: str | None,
     ) -> None:
         """Point the view at ``base`` and ``deltas``, and note the mark it stands at."""
@@ -256,6 +299,9 @@ class LatestStore:
             "deltas": " ".join(f"{table}:{rows}" for table, rows in deltas),
             "epoch": epoch,
             "mark_ms": None if self.keywise else mark_ms,
+            "newest_ms": newest_ms,
+            "buckets": self.buckets,
+            "keywise": self.keywise,
         }
         properties = ", ".join(
             f"'tidemark.{k}' = '{v}'" for k, v in noted.items() if v is not None
@@ -271,20 +317,34 @@ class LatestStore:
             )
 
     def _retire(self, before: dict[str, str]) -> None:
-        """Drop what neither the view nor its predecessor, which may have readers, is made of.
+        """Mark what this refresh has replaced, and drop what was replaced long ago.
 
-        That includes what a failed refresh left behind. One refresh at a time may run.
+        Tables that were never part of the view are what a failed refresh left behind; they
+        have no readers and go at once. One refresh at a time may run.
         """
-        in_use = {
-            table
-            for held in (before, self.properties())
-            for table in (held["base"], *(delta for delta, _ in _deltas(held)))
-        }
+        now = int(time.time() * 1000)
+        in_use = set(_tables(self.properties()))
+        for table in set(_tables(before)) - in_use:
+            self.spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{RETIRED}' = '{now}')")
         ours = re.compile(re.escape(self.spec.name) + "__(base|delta|fresh)_[0-9a-f]{12}")
         tables = self.spark.sql(f"SHOW TABLES IN {self.schema} LIKE '{self.spec.name}__*'")
-        for (table,) in tables.select("tableName").collect():
-            if ours.fullmatch(table) and f"{self.schema}.{table}" not in in_use:
-                self.spark.sql(f"DROP TABLE IF EXISTS {self.schema}.{table}")
+        for (name,) in tables.select("tableName").collect():
+            table = f"{self.schema}.{name}"
+            if not ours.fullmatch(name) or table in in_use:
+                continue
+            noted = self.spark.sql(f"SHOW TBLPROPERTIES {table}").collect()
+            retired = next((int(r["value"]) for r in noted if r["key"] == RETIRED), 0)
+            if now - retired >= self.retain_ms:
+                self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
+def _deleted() -> Column:
+    """A NULL operation counts as a delete."""
+    return F.coalesce(F.col(OP) == DELETE, F.lit(True))
+
+
+def _tables(held: dict[str, str]) -> list[str]:
+    return [held["base"], *(table for table, _ in _deltas(held))]
 
 
 def _deltas(held: dict[str, str]) -> list[tuple[str, int]]:

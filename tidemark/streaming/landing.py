@@ -28,7 +28,7 @@ def land_changes(
     trigger: Mapping[str, object] = EVERY_MINUTE,
     compression: str = "gzip",
     fmt: str = "json",
-    avro_schema: str | None = None,
+    avro_schemas: Mapping[int, str] | None = None,
 ) -> StreamingQuery:
     """Append the changes of one table to ``path`` as ``partition=N`` Parquet files.
 
@@ -39,7 +39,7 @@ def land_changes(
     """
     of_table = messages.where(F.regexp_extract("topic", topic_pattern, 1) == spec.name)
     writer = (
-        decode_envelope(of_table, spec, fmt, avro_schema)
+        decode_envelope(of_table, spec, fmt, avro_schemas)
         .writeStream.format("parquet")
         .partitionBy("partition")
         .option("compression", compression)
