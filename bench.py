@@ -27,7 +27,9 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 
 HEADLINE = [
     "change_scan",
+    "compact_log",
     "land_changes",
+    "land_topics",
     "decode_envelope",
     "capture_changes",
     "workload",
@@ -39,6 +41,7 @@ HEADLINE = [
     "latest_order_of_customer",
     "latest_order_of_status",
     "order_rank_of_status",
+    "order_rank_in_slices",
     "latest_line",
     "changed_since",
     "changed_keys",
@@ -50,6 +53,8 @@ HEADLINE = [
     "store_refresh",
     "incremental_stream",
     "incremental_stream_keywise",
+    "incremental_stream_late_delete",
+    "catalog_refresh",
     "missing_rows",
     "reconcile",
     "converge",

@@ -179,3 +179,34 @@ def test_jdbc_reads_in_ranges(spark, bounds):
         assert set(ranged.values()) == {None}
     else:
         assert list(ranged.values()) == ["id", "8", "1", "900"]
+
+
+def test_jdbc_takes_the_key_or_asks(spark):
+    class Session:
+        reads: list[dict] = []
+
+        @property
+        def read(self):
+            return Recorder(table, spark.createDataFrame([(1, 9)], "lo BIGINT, hi BIGINT"), self.reads)
+
+    table = spark.createDataFrame([("n", 1, "d", 2.0)], "name STRING, id INT, description STRING, weight FLOAT")
+    session = Session()
+    sources.read_jdbc(session, "jdbc:x", "products", PRODUCTS)
+    assert session.reads[-1]["partitionColumn"] == "id"
+    with pytest.raises(ValueError, match="partition column"):
+        sources.read_jdbc(session, "jdbc:x", "products")
+    sources.read_jdbc(session, "jdbc:x", "products", num_partitions=1)
+    assert "partitionColumn" not in session.reads[-1]
+
+
+def test_compaction_leaves_few_files(spark, tmp_path):
+    changes = [change("u", k % 20, k, pos=k, partition=0 if k % 3 else 1) for k in range(600)]
+    path, target = str(tmp_path / "log"), str(tmp_path / "compact")
+    for i in range(6):
+        sources.write_changes(log(spark, changes[i::6]).repartition(5), path)
+    sources.compact_log(spark, path, ITEM, target, rows_per_file=200)
+    assert rows(sources.read_changes(spark, target, ITEM)) == rows(log(spark, changes))
+    files = [len(list((tmp_path / "compact" / f"partition={k}").glob("*.parquet"))) for k in (0, 1)]
+    assert files[0] <= 2 and files[1] == 1
+    sources.write_changes(log(spark, []), str(tmp_path / "none"))
+    sources.compact_log(spark, str(tmp_path / "none"), ITEM, str(tmp_path / "none2"))

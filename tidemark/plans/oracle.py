@@ -146,10 +146,15 @@ _LINE_ORDER = ", ".join(f"{c} DESC" for c in ["l_shipdate", *logs.LINE_COLUMNS])
 
 _FALLING = f"WITH {_log(logs.FALLING_MARK)}, {_refresh()}"
 
-ORACLE: dict[str, str] = {
-    "change_scan": f"{LOG} SELECT op, ts_ms, pos, part AS partition, "
+_SCANNED = (
+    f"{LOG} SELECT op, ts_ms, pos, part AS partition, "
     "CASE WHEN has_before THEN id END AS before_id, "
-    "CASE WHEN has_after THEN id END AS after_id FROM log",
+    "CASE WHEN has_after THEN id END AS after_id FROM log"
+)
+
+ORACLE: dict[str, str] = {
+    "change_scan": _SCANNED,
+    "compact_log": _SCANNED,
     "partition_sync": f"{LOG} SELECT part AS partition, count(*) AS n FROM log GROUP BY part",
     "land_changes": f"{LOG} {_LANDED}",
     "land_topics": f"WITH {_log(EVENTS, CUSTOMER, 'customer_log')}, "

@@ -78,8 +78,11 @@ def _store(spark: SparkSession, sf_dir: str, log: LogTable = CUSTOMER, **options
 @query
 def change_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the log as landed files and scan it."""
-    path = _landed(_log(spark, sf_dir))
-    return sources.read_changes(spark, path, SPEC).select(
+    return _scanned(sources.read_changes(spark, _landed(_log(spark, sf_dir)), SPEC))
+
+
+def _scanned(changes: DataFrame) -> DataFrame:
+    return changes.select(
         "op",
         "ts_ms",
         F.col("source.pos").alias("pos"),
@@ -89,6 +92,14 @@ def change_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def compact_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log after it was rewritten into fewer files."""
+    target = fresh_dir(spark, "compact")
+    sources.compact_log(spark, _landed(_log(spark, sf_dir)), SPEC, target)
+    return _scanned(sources.read_changes(spark, target, SPEC))
+
+
 @query
 def partition_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A catalog table created over an empty folder finds the partitions landed later."""

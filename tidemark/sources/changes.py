@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.schema import TableSpec, envelope_schema
 
+ROWS_PER_FILE = 2_000_000
+
 
 def read_changes(
     spark: SparkSession,
@@ -36,6 +38,32 @@ def write_changes(changes: DataFrame, path: str, mode: str = "append") -> None:
     )
 
 
+def compact_log(
+    spark: SparkSession,
+    path: str,
+    spec: TableSpec,
+    target: str,
+    rows_per_file: int = ROWS_PER_FILE,
+) -> None:
+    """Rewrite a log into the new folder ``target`` with about ``rows_per_file`` changes a file.
+
+    A landing job leaves a file per task, partition and batch. A partition of many changes is
+    spread over as many tasks as it gets files. Readers switch to the new folder when it is
+    complete: as a table by ``ALTER TABLE .. SET LOCATION`` and :func:`sync_partitions`.
+    """
+    changes = read_changes(spark, path, spec)
+    # a row for each partition of the broker's topic
+    sizes = changes.groupBy("partition").agg(F.count("*").alias("n")).collect()
+    files = {-1 if r["partition"] is None else r["partition"]: r["n"] for r in sizes}
+    pairs = [x for k, n in sorted(files.items()) for x in (k, -(-n // rows_per_file))]
+    slot = F.xxhash64("ts_ms", "source", "op", "after", "before")
+    if pairs:
+        wanted = F.create_map(*map(F.lit, pairs))[F.coalesce("partition", F.lit(-1))]
+        slot = F.pmod(slot, wanted)
+    dealt = changes.withColumn("__slot", slot).repartition("partition", "__slot").drop("__slot")
+    write_changes(dealt, target, mode="errorifexists")
+
+
 def create_namespace(spark: SparkSession, schema: str, location: str | None = None) -> None:
     """Create a schema, at a location if given, unless it exists."""
     where = f" LOCATION '{location}'" if location else ""

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import IntegralType
 
 from tidemark.schema import TableSpec
 from tidemark.sources.tables import conform
 
+DEFAULT_PARTITIONS = 16
+
 
 def read_jdbc(
     spark: SparkSession,
@@ -14,19 +17,25 @@ def read_jdbc(
     table: str,
     spec: TableSpec | None = None,
     partition_column: str | None = None,
-    num_partitions: int | None = None,
+    num_partitions: int = DEFAULT_PARTITIONS,
     fetch_size: int = 10_000,
     **options: str,
 ) -> DataFrame:
     """A table of a relational database, read in parallel over ranges of ``partition_column``.
 
     The range bounds are asked of the database; they only set the stride, so rows outside
-    them (inserted meanwhile) are still read. Without a partition column Spark opens a single
-    connection, which suits small tables only.
+    them (inserted meanwhile) are still read. The partition column defaults to the key of
+    ``spec`` where that is one whole number. Where there is none, ``num_partitions=1`` has to
+    be asked for: a single connection suits small tables only.
     """
+    if partition_column is None and spec is not None and len(spec.key) == 1:
+        if isinstance(spec.record[spec.key[0]].dataType, IntegralType):
+            partition_column = spec.key[0]
+    if partition_column is None and num_partitions != 1:
+        raise ValueError(f"{table}: name a partition column, or ask for num_partitions=1")
     base = {"url": url, "fetchsize": str(fetch_size), **options}
     reader = spark.read.format("jdbc").options(**base)
-    if partition_column and num_partitions:
+    if partition_column and num_partitions > 1:
         bounds = (
             spark.read.format("jdbc")
             .options(**base)
