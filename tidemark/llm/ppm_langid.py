@@ -124,30 +124,39 @@ class Trees:
 
 def grow(counts: list[tuple[str, int, int, int]], order: int = ORDER) -> Trees | None:
     """The trees from (language, size, gram, count) rows; None without any."""
-    langs = sorted({x[0] for x in counts})
-    if not langs:
+    if not counts:
         return None
-    seen = sorted({g for _, size, g, _ in counts if size == 1})
+    lang, size, gram, n = (np.array(x) for x in zip(*counts, strict=True))
+    langs, place = np.unique(lang, return_inverse=True)
+    return grow_arrays(langs.tolist(), place, size, gram.astype(np.int64), n, order)
+
+
+def grow_arrays(
+    langs: list[str],
+    lang: np.ndarray,
+    sizes: np.ndarray,
+    gram: np.ndarray,
+    n: np.ndarray,
+    order: int = ORDER,
+) -> Trees:
+    """The trees from columns; ``lang`` holds places in ``langs``."""
+    seen = np.unique(gram[sizes == 1])
     classes = np.zeros(256, np.int64)
     classes[seen] = np.arange(1, len(seen) + 1)
     width = len(seen) + 1
-    number = {lang: k for k, lang in enumerate(langs)}
     grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
     for size in range(1, order + 2):
-        rows = [(number[x[0]], x[2], x[3]) for x in counts if x[1] == size]
-        lang, gram, n = (np.array(x, np.int64) for x in zip(*rows, strict=True)) if rows else (
-            np.zeros(0, np.int64),
-        ) * 3
-        code = np.zeros(len(gram), np.int64)
+        own = sizes == size
+        code = np.zeros(int(own.sum()), np.int64)
         for k in range(size - 1, -1, -1):
-            code = code * width + classes[(gram >> (8 * k)) & 255]
-        grams[size] = lang, code, n
+            code = code * width + classes[(gram[own] >> (8 * k)) & 255]
+        grams[size] = lang[own], code, n[own]
 
     def bits(p: np.ndarray) -> np.ndarray:
-        return np.rint(-UNIT * np.log2(p)).astype(np.int64)
+        return np.rint(-UNIT * np.log2(p)).astype(np.int32)
 
     # costs of the empty context, then of longer ones from their suffixes
-    base = np.full((1, width, len(langs)), 8 * UNIT, np.int64)
+    base = np.full((1, width, len(langs)), 8 * UNIT, np.int32)
     contexts, tables = [np.zeros(1, np.int64)], []
     for size in range(1, order + 2):
         lang, code, n = grams[size]
@@ -164,7 +173,7 @@ def grow(counts: list[tuple[str, int, int, int]], order: int = ORDER) -> Trees |
         np.add.at(total, (place, lang), n)
         np.add.at(kinds, (place, lang), 1)
         known = kinds > 0
-        escape = np.where(known, bits(np.where(known, kinds / np.maximum(total + kinds, 1), 1)), 0)
+        escape = np.where(known, bits(np.where(known, kinds / np.maximum(total + kinds, 1), 1)), np.int32(0))
         table = below + escape[:, None, :]
         table[place, code % width, lang] = bits(n / (total + kinds)[place, lang])
         tables.append(table)
@@ -177,7 +186,7 @@ def grow(counts: list[tuple[str, int, int, int]], order: int = ORDER) -> Trees |
         if len(contexts[size]):
             hit = contexts[size][at] == suffix
             state[hit] = offsets[size] + at[hit]
-    cost = np.concatenate(tables).reshape(-1, len(langs)).astype(np.int32)
+    cost = np.concatenate(tables).reshape(-1, len(langs))
     return Trees(langs, classes, state, cost, order)
 
 
@@ -207,15 +216,21 @@ def fit(
     best = Window.partitionBy("lang", "size").orderBy(F.desc("total"), "context")
     kept = totals.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= contexts)
     rows = counts.join(kept, ["lang", "size", "context"]).select("lang", "size", "gram", "n")
-    found = [tuple(r) for r in rows.collect()]
+    found = rows.toArrow().combine_chunks()
+    if not found.num_rows:
+        return None
+    langs = sorted(found["lang"].unique().to_pylist())
+    lang = np.searchsorted(np.array(langs), found["lang"].to_numpy().astype(str))
+    size, gram, n = (found[x].to_numpy() for x in ("size", "gram", "n"))
     # a suffix is at least as frequent, but ties and text starts can part it from its context
-    union, held = [], {0}
-    for size in range(1, order + 2):
-        mask = 256 ** max(0, size - 2) - 1
-        own = [x for x in found if x[1] == size and (x[2] >> 8) & mask in held]
-        held = {x[2] >> 8 for x in own}
-        union += own
-    return grow(union, order)
+    kept_rows, held = [], np.zeros(1, np.int64)
+    for level in range(1, order + 2):
+        own = np.nonzero(size == level)[0]
+        own = own[np.isin((gram[own] >> 8) & (256 ** max(0, level - 2) - 1), held)]
+        held = np.unique(gram[own] >> 8)
+        kept_rows.append(own)
+    take = np.concatenate(kept_rows)
+    return grow_arrays(langs, lang[take], size[take], gram[take], n[take], order)
 
 
 def code_lengths(texts: list[bytes], trees: Trees) -> np.ndarray:
