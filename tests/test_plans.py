@@ -93,3 +93,9 @@ def test_a_keywise_refresh_shuffles_each_side_once(landed, no_broadcast):
     text = plan(ops.apply_keywise(state, landed, ITEM))
     # the state is derived here, which is a shuffle of its own; then one for each side
     assert text.count("Arguments: hashpartitioning") == once + 2
+
+
+def test_apply_delta_scans_the_changes_once(spark, landed, no_broadcast):
+    latest = spark.createDataFrame([], "id LONG, name STRING, bal DOUBLE, ts TIMESTAMP_NTZ")
+    text = plan(ops.apply_delta(latest, landed, ITEM))
+    assert len(re.findall(r"^\(\d+\) Scan parquet", text, re.M)) == 1
