@@ -15,7 +15,7 @@ from tidemark.session import fresh_dir
 
 ROOT = str(Path(__file__).resolve().parents[2])
 #: Bytes of text that a task turns into arrays at once; a longer text is a piece of its own.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 #: Words remembered by a task, and the longest word remembered.
 REMEMBERED, LONG = 400_000, 64

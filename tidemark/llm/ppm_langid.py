@@ -32,7 +32,7 @@ CONTEXTS = 8_192
 ORDER = 3
 UNIT = 65_536
 #: Bytes coded at once.
-STEP = 1 << 20
+STEP = 1 << 19
 LETTER = re.compile(r"[^\W\d_]")
 
 

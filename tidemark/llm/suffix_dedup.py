@@ -39,7 +39,7 @@ GRAM = 32
 #: Contexts of one anchor up to which they are sorted in one task.
 HOT = 4_096
 #: Bytes of contexts that a task sorts at once, if anchors allow.
-SORT_BYTES = 1 << 20
+SORT_BYTES = 1 << 19
 #: Depth of the multikey quicksort, in steps of eight bytes.
 SHALLOW = 3
 
