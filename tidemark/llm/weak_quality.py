@@ -2,15 +2,16 @@
 
 Heuristics vote good, bad or nothing on each text. Expectation-maximisation estimates how often
 each votes what on good and on bad texts, from the counts of all vote patterns of the corpus:
-there are at most ``3 ** 7`` patterns, however many documents, and all documents are counted. The
-posterior of a pattern is the soft label of its texts. A linear scorer over hashed words and word
-shapes learns from these labels on a bounded sample and scores every text.
+there are at most ``3 ** 10`` patterns, however many documents, and all documents are counted. The
+posterior of a pattern is the soft label of its texts. A linear scorer over hashed words, word
+shapes and echoes learns from these labels on a bounded sample and scores every text.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,19 @@ from tidemark.llm.common import Memory, arrow_map, utf8
 #: Rows that the scorer learns from, about; hashed features; passes over each task's rows.
 TRAIN_ROWS, WIDTH, PASSES, RATE = 20_000, 1 << 14, 3, 0.5
 BAD, GOOD, NONE = 0, 1, 2
-HEURISTICS = ("length", "symbols", "odd_words", "runs", "variety", "lines", "endings")
+HEURISTICS = (
+    "length",
+    "symbols",
+    "odd_words",
+    "runs",
+    "variety",
+    "echoes",
+    "capitals",
+    "marks",
+    "lines",
+    "endings",
+)
+CAPITALS = bytes(range(0x41, 0x5B))
 #: Words with a symbol or without a letter; runs of one punctuation mark.
 ODD = re.compile(rb"(?<!\S)(?=[^\sA-Za-z\x80-\xff]+(?!\S)|\S*[#*$%&|<>])\S+")
 RUN = re.compile(rb"([#*$%&|<>!?=_~-])\1\1")
@@ -38,11 +51,14 @@ def votes(text: bytes) -> tuple[int, ...]:
     words = text.split()
     n = len(words)
     if not n:
-        return (BAD,) + (NONE,) * (len(HEURISTICS) - 1)
+        return BAD, *(NONE,) * (len(HEURISTICS) - 1)
     symbols = sum(text.count(x) for x in (b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">"))
     odd = sum(1 for _ in ODD.finditer(text))
     runs = sum(1 for _ in RUN.finditer(text))
     kinds = len(set(words))
+    echoes = sum(map(eq, words, words[1:]))
+    capitals = len(text) - len(text.translate(None, CAPITALS))
+    marks = text.count(b"!!") + text.count(b"??")
     lines = [x.strip() for x in text.split(b"\n") if x.strip()]
     ended = sum(x.endswith((b".", b"!", b"?", b'"')) for x in lines)
     own = len(set(lines))
@@ -51,7 +67,10 @@ def votes(text: bytes) -> tuple[int, ...]:
         _vote(symbols > 0.05 * n, symbols <= 0.005 * n),
         _vote(odd > 0.05 * n, odd <= 0.01 * n),
         _vote(runs > 0.02 * n, runs <= 0.002 * n),
-        _vote(n >= 20 and kinds < 0.25 * n**0.9, kinds > 0.45 * n**0.9),
+        _vote(n >= 20 and kinds < 0.3 * n**0.9, kinds > 0.45 * n**0.9),
+        _vote(echoes > 0.2 * n, echoes <= 0.05 * n),
+        _vote(capitals > 0.3 * len(text), capitals <= 0.15 * len(text)),
+        _vote(marks > 0.1 * n, marks <= 0.01 * n),
         _vote(own < 0.8 * len(lines), own == len(lines) > 1),
         _vote(ended < 0.4 * len(lines), ended >= 0.8 * len(lines)),
     )
@@ -110,14 +129,22 @@ def _shape(word: bytes) -> bytes:
     return bytes(out)
 
 
+ECHO = xxhash.xxh64_intdigest(b"\1") % (WIDTH - 1) + 1
+
+
 def _slots(word: bytes) -> tuple[int, int]:
     digest = xxhash.xxh64_intdigest
     return digest(word.lower()) % (WIDTH - 1) + 1, digest(b"\0" + _shape(word)) % (WIDTH - 1) + 1
 
 
 def features(text: bytes, slots: Memory) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features and their values, of unit length; slot 0 is the constant."""
-    found = [x for w in text.split() for x in slots[w]]
+    """Hashed features and their values, of unit length; slot 0 is the constant.
+
+    A word, its shape, and whether it is the word before it again.
+    """
+    words = text.split()
+    found = [x for w in words for x in slots[w]]
+    found += [ECHO] * sum(map(eq, words, words[1:]))
     where, n = np.unique(np.array(found, np.int64), return_counts=True)
     value = np.log1p(n)
     value = value / max(1e-9, float(np.sqrt(value @ value)))
