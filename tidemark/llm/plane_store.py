@@ -19,6 +19,7 @@ committed as a whole:
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from array import array
@@ -56,16 +57,23 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models
 
         self.library = Tokenizer.from_file(path)
         self.special = [x.content for x in self.library.get_added_tokens_decoder().values()]
-        self.model = self.library.model
+        # the file's model once more, without a cache: pieces come here once
+        with open(path, encoding="utf-8") as file:
+            made = json.load(file)["model"]
+        merges = [tuple(x.split(" ") if isinstance(x, str) else x) for x in made["merges"]]
+        self.model = models.BPE(made["vocab"], merges, cache_capacity=0)
         self.letters = list(map(byte_letters().__getitem__, range(256)))
         self.known = Memory(self._piece)
 
     def _piece(self, piece: str) -> bytes:
-        shown = "".join(map(self.letters.__getitem__, piece.encode()))
+        if piece.isascii() and piece[1:].isalpha():  # letters stand for themselves
+            shown = self.letters[ord(piece[0])] + piece[1:]
+        else:
+            shown = "".join(map(self.letters.__getitem__, piece.encode()))
         return array("I", [x.id for x in self.model.tokenize(shown)]).tobytes()
 
     def __call__(self, text: str) -> bytes:
