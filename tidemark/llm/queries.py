@@ -123,6 +123,7 @@ QUERIES: dict[str, Query] = {
     )
 }
 ORACLE: dict[str, str] = {
+    "op3_suffix_dedup": suffix_dedup.ORACLE,
     "op4_host_rules": host_rules.ORACLE,
     "op5_preference": preference.ORACLE,
 }

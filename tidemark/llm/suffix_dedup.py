@@ -465,3 +465,34 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             column = F.length("kept").cast(field.dataType)
         columns.append(column.alias(field.name))
     return found.select(*columns)
+
+
+#: The query in SQL: every window of every text by its hash, texts as hexadecimal digits.
+ORACLE = """
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (
+    SELECT r, i, md5(substr(x, 2 * i + 1, 400)) AS h
+    FROM (SELECT r, x, unnest(range(0, len(x) // 2 - 199)) AS i FROM d WHERE len(x) >= 400)),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY h) AS n FROM w) WHERE n > 1),
+edge AS (
+    SELECT r, i,
+           CASE WHEN i <= lag(i) OVER (PARTITION BY r ORDER BY i) + 200 THEN 0 ELSE 1 END AS new
+    FROM again),
+run AS (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS k FROM edge),
+span AS (SELECT r, k, min(i) AS lo, max(i) + 200 AS hi FROM run GROUP BY r, k),
+gap AS (
+    SELECT r, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo), 0) AS lo, lo AS hi FROM span
+    UNION ALL SELECT r, max(hi), NULL FROM span GROUP BY r),
+kept AS (
+    SELECT d.r, string_agg(substr(x, CAST(2 * lo + 1 AS BIGINT),
+                                  CAST(2 * (coalesce(hi, len(x) // 2) - lo) AS BIGINT)),
+                           '' ORDER BY lo) AS x
+    FROM d JOIN gap USING (r) GROUP BY d.r),
+n AS (SELECT r, count(*) AS n_spans, sum(hi - lo) AS n_removed FROM span GROUP BY r)
+SELECT doc_id, CAST(len(d.x) // 2 AS BIGINT) AS n_bytes,
+       CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept.x, d.x))) AS kept_sha256
+FROM d LEFT JOIN n USING (r) LEFT JOIN kept USING (r)
+"""
