@@ -302,7 +302,8 @@ def components(edges: DataFrame) -> DataFrame:
             break
         seen = state
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # written, so that the join has plain shuffles on both sides and a hot star can be split
+        least = stage(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
         large = both.join(least, "u").where("v > u")
         large = stage(
             large.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "stars"
@@ -339,7 +340,8 @@ def near_duplicates(
     named = distinct.join(members, "fp", "left").select(
         "fp", F.coalesce("lowest", "first").alias("component_id")
     )
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    # written for the same reason: copies of one text may be a third of the rows
+    return rows.join(stage(named, "named"), "fp").select("doc_id", "fp", "component_id")
 
 
 def hexadecimal(fp: str = "fp"):
