@@ -31,7 +31,7 @@ DRAWS = 1 << 40
 CONTEXTS = 8_192
 ORDER = 3
 UNIT = 65_536
-#: Bytes coded at once.
+#: Bytes counted or coded at once; it divides the work and changes no result.
 STEP = 1 << 19
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -55,16 +55,7 @@ def gram_counts(
                 for row, text in enumerate(texts, first):
                     by_lang.setdefault(langs[row], []).append(text)
                 for lang, own in by_lang.items():
-                    data = np.frombuffer(b"".join(own), np.uint8).astype(np.int64)
-                    ends = np.cumsum([len(x) for x in own])
-                    room = np.repeat(ends, [len(x) for x in own]) - np.arange(len(data))
-                    gram = np.zeros(len(data), np.int64)
-                    for size in range(1, order + 2):
-                        at = len(data) - size + 1
-                        if at <= 0:
-                            break
-                        gram = gram[:at] * 256 + data[size - 1 :]
-                        found, n = np.unique(gram[room[:at] >= size], return_counts=True)
+                    for size, found, n in count_grams(own, order):
                         yield pa.RecordBatch.from_arrays(
                             [
                                 pa.array([lang] * len(found), pa.string()),
@@ -83,6 +74,43 @@ def gram_counts(
     return counted.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
 
 
+def strips(texts: list[bytes], before: int, after: int) -> Iterator[list[tuple[int, int, int, bytes]]]:
+    """The texts in strips of at most ``STEP`` bytes, some at once that are about as long together.
+
+    A strip is: the place of its text, how many bytes before it are at hand (0 or ``before``), its
+    length, and its bytes with those and up to ``after`` more behind it.
+    """
+    held, size = [], 0
+    for k, text in enumerate(texts):
+        for a in range(0, len(text), STEP):
+            known = before if a else 0
+            held.append((k, known, min(STEP, len(text) - a), text[a - known : a + STEP + after]))
+            size += len(held[-1][3])
+            if size >= STEP:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+def count_grams(texts: list[bytes], order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Size, byte strings as numbers, and counts; a string may come several times."""
+    for held in strips(texts, 0, order):
+        sizes = [len(x) for *_, x in held]
+        data = np.frombuffer(b"".join(x for *_, x in held), np.uint8).astype(np.int64)
+        room = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(data))
+        # strings are counted in the strip that they begin in
+        past = [len(x) - n for _, _, n, x in held]
+        begins = room > np.repeat(past, sizes)
+        gram = np.zeros(len(data), np.int64)
+        for size in range(1, order + 2):
+            at = len(data) - size + 1
+            if at <= 0:
+                break
+            gram = gram[:at] * 256 + data[size - 1 :]
+            yield size, *np.unique(gram[(room[:at] >= size) & begins[:at]], return_counts=True)
+
+
 def bounded_sample(rows: DataFrame, per_lang: int, id_col: str, lang_col: str) -> DataFrame:
     """At most ``per_lang`` rows of each language, the least by a hash of the row.
 
@@ -237,24 +265,24 @@ def code_lengths(texts: list[bytes], trees: Trees) -> np.ndarray:
     """Code length of each text in each language, in units of 1/65536 bit."""
     width, order = int(trees.classes.max()) + 1, trees.order
     out = np.zeros((len(texts), len(trees.langs)), np.int64)
-    sizes = np.array([len(x) for x in texts])
-    # a text begins in the context of `order` unseen bytes
-    joined = b"".join(b"\xff" * order + x for x in texts)
-    symbols = trees.classes[np.frombuffer(joined, np.uint8)]
-    starts = np.cumsum(sizes + order) - sizes
-    for k in range(order):
-        symbols[starts - order + k] = 0
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    places = np.arange(len(owner)) + order * (owner + 1)
-    for a in range(0, len(places), STEP):
-        at = places[a : a + STEP]
+    for held in strips(texts, order, 0):
+        sizes = np.array([n for _, _, n, _ in held])
+        # a text begins in the context of `order` unseen bytes
+        joined = b"".join(bytes(order - known) + x for _, known, _, x in held)
+        symbols = trees.classes[np.frombuffer(joined, np.uint8)]
+        starts = np.cumsum(sizes + order) - sizes
+        new = starts[[known < order for _, known, _, _ in held]]
+        for k in range(1, order + 1):
+            symbols[new - k] = 0
+        owner = np.repeat(np.arange(len(held)), sizes)
+        at = np.arange(len(owner)) + order * (owner + 1)
         context = np.zeros(len(at), np.int64)
         for k in range(order, 0, -1):
             context = context * width + symbols[at - k]
         cost = trees.cost[trees.state[context].astype(np.int64) * width + symbols[at]]
-        own = owner[a : a + STEP]
-        first = np.nonzero(np.diff(own, prepend=-1))[0]
-        out[own[first]] += np.add.reduceat(cost, first, axis=0, dtype=np.int64)
+        first = np.cumsum(sizes) - sizes
+        lengths = np.add.reduceat(cost, first, axis=0, dtype=np.int64)
+        np.add.at(out, [k for k, *_ in held], lengths)
     return out
 
 
