@@ -32,6 +32,8 @@ from tidemark.llm.common import arrow_map, pieces, utf8
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 16
 #: Items and bytes of text of a block, about.
 BLOCK_ITEMS, BLOCK_BYTES = 4_096, 16 << 20
+#: Windows whose fingerprints are held at once.
+WINDOWS = 4_096
 WORD = re.compile(r"\w+")
 
 
@@ -192,9 +194,10 @@ class Finder:
 
 
 def _ranges(places: list[int]) -> Iterator[tuple[int, int]]:
+    """First and last of runs of neighbours, at most ``WINDOWS`` in each."""
     first = last = None
     for x in places:
-        if last is not None and x != last + 1:
+        if last is not None and (x != last + 1 or x - first >= WINDOWS):
             yield first, last
             first = x
         first, last = x if first is None else first, x
@@ -205,8 +208,11 @@ def _ranges(places: list[int]) -> Iterator[tuple[int, int]]:
 def item_blocks(
     items: DataFrame, id_col: str = "item_id", text_col: str = "text", radius: int = RADIUS
 ) -> Iterator[Items]:
-    """The items in blocks of about ``BLOCK_ITEMS`` items and ``BLOCK_BYTES`` of text."""
-    own = items.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    """The items in blocks of about ``BLOCK_ITEMS`` items and ``BLOCK_BYTES`` of text.
+
+    Rows of equal id and text are one item, so that copies cannot crowd into one block.
+    """
+    own = items.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).distinct()
     size = own.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
     blocks = max(1, -(-size["n"] // BLOCK_ITEMS), -(-(size["b"] or 0) // BLOCK_BYTES))
     for k in range(blocks):
@@ -228,8 +234,9 @@ def leaks(
 
     For each document row and item the best window: the most alike, then the nearest, then the
     first. Words are runs of ``\\w``, lower-cased. A document shorter than an item is one window.
-    Null and empty texts, and items without words, leak nothing; null ids are passed on; rows of
-    equal id are judged one by one. Only the named columns are read.
+    Null and empty texts, and items without words, leak nothing; null ids are passed on; documents
+    of equal id are judged one by one, items of equal id and text once. Only the named columns are
+    read.
     """
     kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("text"))
     spark, out = docs.sparkSession, None
