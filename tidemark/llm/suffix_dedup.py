@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import arrow_map, pieces, stage
@@ -389,6 +389,22 @@ def spans(rows: DataFrame, length: int, hot: int) -> DataFrame:
     return whole.union(copies).union(edges)
 
 
+def merged(found: DataFrame) -> DataFrame:
+    """``rid, ranges``: the maximal ranges of each row, far fewer than its text has bytes.
+
+    A text of one byte over and over repeats at every place, so ranges are merged as they are
+    sorted, before any are collected.
+    """
+    order = Window.partitionBy("rid").orderBy("lo", "hi")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    new = F.coalesce(F.col("lo") > F.max("hi").over(earlier), F.lit(True)).cast("int")
+    placed = found.withColumn("new", new)
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = placed.withColumn("run", F.sum("new").over(so_far))
+    runs = placed.groupBy("rid", "run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return runs.groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+
+
 def cut(text: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, int]:
     """What is left of a text without the ranges, and the number of maximal runs cut."""
     left, at, runs = [], 0, 0
@@ -423,8 +439,7 @@ def remove_repeats(
     if length < 2 * GRAM or length < 8 * SHALLOW:
         raise ValueError(f"length must be at least {2 * GRAM}")
     rows = keep_rows(docs, id_col, text_col)
-    by_row = spans(rows, length, hot).groupBy("rid")
-    ranges = by_row.agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
+    ranges = merged(spans(rows, length, hot))
     joined = rows.join(ranges.hint("shuffle_hash"), "rid", "left").select("doc", "text", "ranges")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
