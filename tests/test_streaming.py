@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import dataclasses
 import glob
 import json
 import os
@@ -117,6 +118,34 @@ def test_landing_several_tables(spark, broker, tmp_path):
     assert rows(items, "after.id") == [(1,)]
 
 
+def test_a_stream_of_all_topics_is_read_once(spark, broker, tmp_path):
+    specs = [ITEM, dataclasses.replace(ITEM, name="other"), dataclasses.replace(ITEM, name="idle")]
+
+    def step():
+        running = streaming.land_topics(
+            broker.stream(), specs, str(tmp_path / "l"), str(tmp_path / "p"), trigger=AVAILABLE_NOW
+        )
+        for query in running.values():
+            query.awaitTermination()
+        read = {k: sum(p["numInputRows"] for p in q.recentProgress) for k, q in running.items()}
+        landed = {
+            s.name: sources.read_changes(spark, str(tmp_path / "l" / s.name), s) for s in specs[:2]
+        }
+        return read, {k: rows(x, "after.id") for k, x in landed.items()}
+
+    broker.send_changes([change("c", k, 10) for k in range(6)])
+    broker.send_changes([change("c", 7, 10)], topic="shop.inventory.other")
+    broker.send_changes([change("c", 8, 10)], topic="shop.inventory.unknown")
+    read, landed = step()
+    assert read == {"_messages": 8, "item": 6, "other": 1, "idle": 0}
+    assert landed == {"item": [(k,) for k in range(6)], "other": [(7,)]}
+    broker.send_changes([change("c", 9, 10)], topic="shop.inventory.other")
+    read, landed = step()
+    assert read == {"_messages": 1, "item": 0, "other": 1, "idle": 0}
+    assert landed == {"item": [(k,) for k in range(6)], "other": [(7,), (9,)]}
+    assert step()[1] == landed
+
+
 @pytest.mark.parametrize("keywise", [False, True])
 def test_refresh_stream_with_a_restart(spark, tmp_path, keywise):
     path, progress = str(tmp_path / "log"), str(tmp_path / "progress")

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.schema import TableSpec
@@ -16,6 +17,8 @@ TOPIC_PATTERN = r"^[^.]+\.[^.]+\.(.*)$"
 # Start what has arrived and stop, or keep running at an interval.
 AVAILABLE_NOW: Mapping[str, object] = {"availableNow": True}
 EVERY_MINUTE: Mapping[str, object] = {"processingTime": "60 seconds"}
+# Name of the query that reads a stream of all topics, and of its folder.
+ROUTER = "_messages"
 
 
 def land_changes(
@@ -50,22 +53,73 @@ def land_changes(
     return writer.trigger(**trigger).start(path)
 
 
+def route_topics(
+    messages: DataFrame,
+    specs: Iterable[TableSpec],
+    path: str,
+    checkpoint: str,
+    topic_pattern: str = TOPIC_PATTERN,
+    trigger: Mapping[str, object] = EVERY_MINUTE,
+) -> StreamingQuery:
+    """Copy the messages of the given tables into ``table=T`` folders, reading them once."""
+    table = F.regexp_extract("topic", topic_pattern, 1)
+    return (
+        messages.where(F.col("value").isNotNull() & table.isin([spec.name for spec in specs]))
+        .select("topic", "partition", "value", table.alias("table"))
+        .writeStream.format("parquet")
+        .partitionBy("table")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start(path)
+    )
+
+
 def land_topics(
     messages: DataFrame | Callable[[TableSpec], DataFrame],
     specs: Iterable[TableSpec],
     path: str,
     checkpoint: str,
+    topic_pattern: str = TOPIC_PATTERN,
+    trigger: Mapping[str, object] = EVERY_MINUTE,
     **options,
 ) -> dict[str, StreamingQuery]:
     """Land several tables, each below ``path`` by name, with a query of its own.
 
     Tables have different schemas, so they cannot share a file sink. Pass a function of the
-    spec to read each table's topic only; a single stream of all topics is read per table.
+    spec to read each table's topic only. A single stream of all topics is read once, whatever
+    the number of tables, by a query named ``ROUTER`` here: it parts the messages by table below
+    ``path/_messages``, and each table's query reads its own part. File sinks and their logs
+    make every step exact across restarts; files that all tables have read may be removed.
+    A trigger that stops when all is read waits for the router first.
     """
-    queries = {}
+    specs, queries = list(specs), {}
+    if not callable(messages):
+        routed = f"{path}/{ROUTER}"
+        router = route_topics(
+            messages, specs, routed, f"{checkpoint}/{ROUTER}", topic_pattern, trigger
+        )
+        queries[ROUTER] = router
+        if trigger.get("availableNow") or trigger.get("once"):
+            router.awaitTermination()
+        names = ("topic", "partition", "value")
+        schema = T.StructType([messages.schema[x] for x in names]).add("table", "string")
+        spark = messages.sparkSession
+
+        def of_table(spec: TableSpec) -> DataFrame:
+            # a filter on the folder's column, so no other table's files are opened
+            parts = spark.readStream.schema(schema).parquet(routed)
+            return parts.where(F.col("table") == spec.name).drop("table")
+
+    else:
+        of_table = messages
     for spec in specs:
-        stream = messages(spec) if callable(messages) else messages
         queries[spec.name] = land_changes(
-            stream, spec, f"{path}/{spec.name}", f"{checkpoint}/{spec.name}", **options
+            of_table(spec),
+            spec,
+            f"{path}/{spec.name}",
+            f"{checkpoint}/{spec.name}",
+            topic_pattern=topic_pattern,
+            trigger=trigger,
+            **options,
         )
     return queries
