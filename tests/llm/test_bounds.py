@@ -57,3 +57,21 @@ def test_ranges_are_merged(spark):
         places = {k for r, a, b in rows if r == rid for k in range(a, b)}
         assert {k for a, b in own[rid] for k in range(a, b)} == places
         assert all(b < a for (_, b), (a, _) in zip(own[rid], own[rid][1:], strict=False))
+
+
+def test_copies_within_a_text_are_combined():
+    """Every context is either kept or covered by the runs, and only copies are covered."""
+    rng = np.random.default_rng(8)
+    texts = [b"ab " * 400, bytes(rng.integers(97, 100, 900).astype(np.uint8)) * 2, b"x" * 500, b"short"]
+    texts.append(bytes(rng.integers(97, 120, 1500).astype(np.uint8)))
+    own, h, lo, hi = suffix_dedup.contexts(texts, 200)
+    c = np.array([hash(texts[k][a : b + 200]) for k, a, b in zip(own.tolist(), lo.tolist(), hi.tolist(), strict=True)])
+    at, n, runs = suffix_dedup.combine_copies(own, h, c, lo, hi, 200)
+    seen = Counter(zip(own.tolist(), h.tolist(), c.tolist(), strict=True))
+    assert {(int(own[k]), int(h[k]), int(c[k])): int(m) for k, m in zip(at, n, strict=True)} == seen
+    rest = sorted(set(range(len(own))) - set(at.tolist()))
+    want = {(int(own[k]), p) for k in rest for p in range(lo[k], hi[k] + 200)}
+    assert {(k, p) for k, a, b in zip(*(x.tolist() for x in runs), strict=True) for p in range(a, b + 200)} == want
+    assert len(at) < 40 and len(rest) > 500
+    empty = np.zeros(0, np.int64)
+    assert all(len(x) == 0 for x in suffix_dedup.combine_copies(*(empty,) * 5, 200)[:2])

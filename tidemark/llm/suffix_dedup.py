@@ -8,7 +8,9 @@ document or another. Windows of ``length`` bytes are judged, never across docume
    windows that share its anchor's hash. Neighbouring windows share an anchor; such a run with
    its bytes is a *context*. One in about eighty places is an anchor.
 2. *Copies.* Contexts of equal anchor and equal 64-bit digest are copies; all their windows
-   repeat. An anchor with one context only has no repeats.
+   repeat. Copies in one text are told at once, and one of them stands for all from there on, so
+   that a text of one phrase over and over adds one row to its anchor. An anchor with one context
+   only has no repeats.
 3. *Suffix arrays.* What is left are contexts that share an anchor but differ, at the edges of
    shared passages. Each task takes the contexts of some anchors, sorts the suffixes that begin
    at their windows - multikey quicksort down to a shallow depth, blind tries for the groups with
@@ -118,8 +120,33 @@ def keep_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return spark.table(name)
 
 
+def combine_copies(
+    own: np.ndarray, h: np.ndarray, c: np.ndarray, lo: np.ndarray, hi: np.ndarray, length: int
+) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
+    """Places of the first of equal contexts of a text, how many they are, and the others' runs.
+
+    Contexts come in order of text and place. The others repeat, whatever stands elsewhere: they
+    are given as text, first and last window of the runs that their bytes form.
+    """
+    order = np.lexsort((c, h, own))
+    keys = [x[order] for x in (own, h, c)]
+    new = np.append(True, np.logical_or.reduce([x[1:] != x[:-1] for x in keys]))[: len(order)]
+    firsts = np.nonzero(new)[0]
+    n = np.diff(np.append(firsts, len(order)))
+    others = np.sort(order[~new])
+    o, a, b = own[others], lo[others], hi[others]
+    parted = np.append(True, (o[1:] != o[:-1]) | (a[1:] > b[:-1] + length))[: len(others)]
+    starts = np.nonzero(parted)[0]
+    ends = np.append(starts[1:], len(others))[: len(starts)] - 1
+    return order[firsts], n, (o[starts], a[starts], b[ends])
+
+
 def find_contexts(rows: DataFrame, length: int) -> DataFrame:
-    """``h, c, rid, lo, hi``: all contexts, with the digest of their bytes."""
+    """``h, c, rid, lo, hi, n``: the different contexts of each text, and how often each is there.
+
+    ``c`` is the digest of a context's bytes. Rows without ``h`` are what its copies in the same
+    text cover.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
@@ -131,19 +158,23 @@ def find_contexts(rows: DataFrame, length: int) -> DataFrame:
                     digest(texts[k][a : b + length])
                     for k, a, b in zip(own.tolist(), lo.tolist(), hi.tolist(), strict=True)
                 ]
+                c = np.array(c, np.uint64).view(np.int64)
+                at, n, (o, a, b) = combine_copies(own, h, c, lo, hi, length)
+                none = pa.nulls(len(o), pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(h),
-                        pa.array(np.array(c, np.uint64).view(np.int64)),
-                        pa.array(rids[first + own], pa.int64()),
-                        pa.array(lo, pa.int32()),
-                        pa.array(hi, pa.int32()),
+                        pa.concat_arrays([pa.array(h[at], pa.int64()), none]),
+                        pa.concat_arrays([pa.array(c[at], pa.int64()), none]),
+                        pa.array(rids[first + np.append(own[at], o)], pa.int64()),
+                        pa.array(np.append(lo[at], a), pa.int32()),
+                        pa.array(np.append(hi[at], b), pa.int32()),
+                        pa.concat_arrays([pa.array(n, pa.int64()), none]),
                     ],
-                    ["h", "c", "rid", "lo", "hi"],
+                    ["h", "c", "rid", "lo", "hi", "n"],
                 )
 
     texts = rows.select("rid", "text").where(F.octet_length("text") >= length)
-    return arrow_map(texts, run, "h long, c long, rid long, lo int, hi int")
+    return arrow_map(texts, run, "h long, c long, rid long, lo int, hi int, n long")
 
 
 def sort_shallow(data: np.ndarray, starts: np.ndarray) -> Iterator[np.ndarray]:
@@ -351,9 +382,11 @@ def dealt_spans(bodies: DataFrame, length: int) -> DataFrame:
 
 def spans(rows: DataFrame, length: int, hot: int) -> DataFrame:
     """``rid, lo, hi``: byte ranges whose union is all that repeats in each row's text."""
-    anchors = stage(find_contexts(rows, length), "contexts")
+    found = stage(find_contexts(rows, length), "contexts")
+    within = found.where("h IS NULL").select("rid", "lo", (F.col("hi") + length).alias("hi"))
+    anchors = found.where("h IS NOT NULL")
     by_hash = anchors.groupBy("h").agg(
-        F.count("*").alias("items"), F.min("c").alias("c0"), F.max("c").alias("c1")
+        F.sum("n").alias("items"), F.min("c").alias("c0"), F.max("c").alias("c1")
     )
     # written, so that the join has plain shuffles on both sides and a hot anchor can be split
     repeated = stage(by_hash.where("items > 1"), "repeated")
@@ -363,7 +396,7 @@ def spans(rows: DataFrame, length: int, hot: int) -> DataFrame:
 
     mixed = shared.where("mixed")
     classes = mixed.groupBy("h", "c").agg(
-        F.count("*").alias("n"), F.min(F.struct("rid", "lo", "hi")).alias("at")
+        F.sum("n").alias("n"), F.min(F.struct("rid", "lo", "hi")).alias("at")
     )
     classes = stage(classes.select("h", "c", "n", "at.*"), "classes")
     copies = mixed.join(classes.where("n > 1").select("h", "c"), ["h", "c"], "left_semi")
@@ -373,9 +406,9 @@ def spans(rows: DataFrame, length: int, hot: int) -> DataFrame:
     asked = classes.join(sizes, "h").groupBy("rid").agg(
         F.collect_list(F.struct("h", "n", "lo", "hi", (F.col("kinds") > hot).alias("hot"))).alias("asked")
     )
-    found = rows.select("rid", "text").join(asked.hint("shuffle_hash"), "rid")
-    found = found.select("rid", "text", F.explode("asked").alias("x"))
-    bodies = found.select(
+    held = rows.select("rid", "text").join(asked.hint("shuffle_hash"), "rid")
+    held = held.select("rid", "text", F.explode("asked").alias("x"))
+    bodies = held.select(
         "rid",
         "x.h",
         "x.n",
@@ -386,7 +419,7 @@ def spans(rows: DataFrame, length: int, hot: int) -> DataFrame:
     bodies = stage(bodies, "bodies")
     edges = sorted_spans(bodies.where("not hot"), length)
     edges = edges.union(dealt_spans(bodies.where("hot"), length))
-    return whole.union(copies).union(edges)
+    return whole.union(within).union(copies).union(edges)
 
 
 def merged(found: DataFrame) -> DataFrame:
