@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
 import public_tokenizers
 import pytest
-from cases import TEXTS, documents
+from cases import TEXTS, documents, key
 
 import corpus_pipeline
 from tidemark.llm import (
@@ -80,3 +81,20 @@ def test_every_operator_has_its_query():
     numbers = sorted(int(x[2:].split("_")[0]) for x in QUERIES)
     assert numbers == list(range(1, 11))
     assert len(corpus_pipeline.STAGES) == 5
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Null ids and ids that several texts share do not take groups from each other."""
+    rng = np.random.default_rng(9)
+    own = [" ".join(f"w{x}" for x in rng.integers(0, 5000, 60)) for _ in range(6)]
+    rows = [
+        (5, own[0]), (5, own[1]), (5, own[1]),
+        (None, own[2]), (None, own[3]), (None, own[4]), (None, own[4]), (None, own[5]),
+        (7, own[5]), (3, own[5]), (None, None), (1, ""), (None, " "),
+    ]
+    docs = documents(spark, [(i, t, "en", "a") for i, t in rows])
+    found = simhash_vptree.keep_one(docs)
+    assert found.schema == docs.schema
+    kept = sorted(((r["doc_id"], r["text"]) for r in found.collect()), key=key)
+    want = [(5, own[0]), (5, own[1]), *((None, x) for x in own[2:5]), (3, own[5]), (1, "")]
+    assert kept == sorted(want, key=key)

@@ -63,13 +63,6 @@ def pieces(texts: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, lis
         yield first, piece
 
 
-def one_per_id(df: DataFrame, id_col: str) -> DataFrame:
-    """One row of each id; of several, the one that comes first by a hash of the whole row."""
-    hashed = df.select(F.struct("*").alias("row"), F.col(id_col).alias("id"))
-    best = hashed.groupBy("id").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
-    return best.select("row.*")
-
-
 class Memory(dict):
     """A table that computes what it lacks and starts afresh when full."""
 

@@ -15,15 +15,15 @@ fingerprint and are joined back to its component at the end.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_map, one_per_id, stage, utf8
+from tidemark.llm.common import arrow_map, stage, utf8
 
 #: Members of a shard aimed at, and the size up to which a task compares all with all.
 SHARD, BUCKET = 32_768, 1024
@@ -93,16 +93,29 @@ def fingerprints(
     text_col: str = "text",
     length: int = 3,
     seed: int = 42,
+    carried: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """``doc_id, fp``: the fingerprint of every row as a long; null texts count as empty."""
+    """``doc_id, fp``: the fingerprint of every row as a long; null texts count as empty.
+
+    ``carried`` names further longs that go along with each row.
+    """
+    more = carried or {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = simhashes(batch.column(1).to_pylist(), length, seed)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(fps), *batch.columns[2:]], ["doc_id", "fp", *names]
+            )
 
-    kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("text"))
-    return arrow_map(kept, run, "doc_id long, fp long")
+    names = list(more)
+    kept = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        utf8(text_col).alias("text"),
+        *(x.alias(name) for name, x in more.items()),
+    )
+    schema = ", ".join(f"{x} long" for x in ("doc_id", "fp", *names))
+    return arrow_map(kept, run, schema)
 
 
 def distances(points: np.ndarray, vantage: np.uint64) -> np.ndarray:
@@ -332,16 +345,23 @@ def near_duplicates(
     component has no other. An empty table gives an empty result. Other columns are not read.
     """
     rows = stage(fingerprints(docs, id_col, text_col, length, seed), "fingerprints")
+    return rows.join(named(rows, radius), "fp").select("doc_id", "fp", "component_id")
+
+
+def named(rows: DataFrame, radius: int = 3) -> DataFrame:
+    """``fp, root, component_id`` of each fingerprint of ``rows``; a component has one ``root``."""
     distinct = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     linked = components(fingerprint_links(distinct, radius))
     members = linked.join(distinct, "fp")
     lowest = members.groupBy("root").agg(F.min("first").alias("lowest"))
-    members = members.join(lowest, "root").select("fp", "lowest")
-    named = distinct.join(members, "fp", "left").select(
-        "fp", F.coalesce("lowest", "first").alias("component_id")
+    members = members.join(lowest, "root").select("fp", "root", "lowest")
+    found = distinct.join(members, "fp", "left").select(
+        "fp",
+        F.coalesce("root", "fp").alias("root"),
+        F.coalesce("lowest", "first").alias("component_id"),
     )
     # written for the same reason: copies of one text may be a third of the rows
-    return rows.join(stage(named, "named"), "fp").select("doc_id", "fp", "component_id")
+    return stage(found, "named")
 
 
 def hexadecimal(fp: str = "fp"):
@@ -349,12 +369,25 @@ def hexadecimal(fp: str = "fp"):
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without near-duplicates: of each component the one of its smallest id.
+    """The documents without near-duplicates: one row of each component.
 
-    Of rows that share this id one stays, and so does one of a component without any id.
+    It is the row of the smallest id, null ids last; of rows that share this id the one that
+    comes first by a hash of the whole row. Rows of equal id, or without any, that lie in
+    different components all stay.
     """
-    found = near_duplicates(docs, id_col, text_col)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    private = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("id"))
-    kept = private.join(kept, private["id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    return one_per_id(kept.select("doc.*"), id_col)
+    # written, so that a row has the same number whenever it is read
+    numbered = stage(
+        docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("at")),
+        "numbered",
+    )
+    own = numbered.select(
+        F.col(f"doc.{id_col}").alias("id"),
+        F.col(f"doc.{text_col}").alias("text"),
+        F.xxhash64("doc").alias("tie"),
+        "at",
+    )
+    carried = {x: F.col(x) for x in ("tie", "at")}
+    rows = stage(fingerprints(own, "id", "text", carried=carried), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie", "at"))
+    kept = rows.join(named(rows), "fp").groupBy("root").agg(first.alias("first"))
+    return numbered.join(kept.select("first.at"), "at", "left_semi").select("doc.*")
