@@ -26,8 +26,9 @@ class ChangeCatalog:
 
     ``logs.<table>`` is the change log that the landing job writes to ``root/<table>``,
     ``views.<table>`` its latest state, deletes included, and ``latest.<table>`` the stored
-    table of live rows. ``root/_progress`` holds how far each log has been read. ``buckets``
-    may be given for each table by name. Further options go to each :class:`LatestStore`.
+    table of live rows. ``root/_progress`` holds how far each latest table has read its log; a
+    table that is made anew reads it from the start. ``buckets`` may be given for each table by
+    name. Further options go to each :class:`LatestStore`.
     """
 
     def __init__(
@@ -80,10 +81,11 @@ class ChangeCatalog:
 
     def _advance(self, spec: TableSpec) -> None:
         log = read_changes(self.spark, f"{self.root}/{spec.name}", spec, streaming=True)
+        store = self.stores[spec.name]
         incremental_stream(
             log,
-            self.stores[spec.name],
-            f"{self.root}/_progress/{spec.name}",
+            store,
+            f"{self.root}/_progress/{store.name}.{store.identity()}",
             trigger=AVAILABLE_NOW,
         ).awaitTermination()
 

@@ -90,6 +90,7 @@ class LatestStore:
         self.rewrite_share = rewrite_share
         self.keep_deleted_ms = keep_deleted_ms
         self.retain_ms = retain_ms
+        self._next_id = uuid.uuid4().hex[:12]
         create_namespace(spark, schema, location)
         noted = self.properties() if self.exists() else {}
         if noted.get("keywise", str(keywise)) != str(keywise):
@@ -118,6 +119,15 @@ class LatestStore:
             if r["key"].startswith("tidemark.")
         }
 
+    def identity(self) -> str:
+        """Noted with the table, and never given to another, be it of the same name.
+
+        Of a missing table, the one it will have if this store makes it.
+        """
+        if not self.exists():
+            return self._next_id
+        return self.properties().get("id") or self._note("id", self._next_id)
+
     def bootstrap(self, changes: DataFrame, epoch: str | None = None) -> bool:
         """Create the table from the log; does nothing, and says so, when it exists."""
         if self.exists():
@@ -140,7 +150,8 @@ class LatestStore:
         fresh = self._write(self._arrivals(changes, held), "fresh", self._ranked_in_buckets())
         n_rows, newest_ms = self._size_and_newest(fresh)
         if n_rows == 0:
-            self._note_epoch(epoch)
+            if epoch is not None:
+                self._note("epoch", epoch)
             self.spark.sql(f"DROP TABLE {fresh}")
             return
         mark_ms = None if self.keywise else self._mark_after(fresh, int(held["mark_ms"]))
@@ -294,6 +305,7 @@ class LatestStore:
             newest = F.coalesce(F.max("ts"), F.expr(FLOOR_TS))
             mark_ms = self.spark.sql(query).agg(epoch_millis(newest)).first()[0]
         noted = {
+            "id": self.identity(),
             "base": base,
             "base_rows": base_rows,
             "deltas": " ".join(f"{table}:{rows}" for table, rows in deltas),
@@ -310,11 +322,11 @@ class LatestStore:
             f"CREATE OR REPLACE VIEW {self.name} TBLPROPERTIES ({properties}) AS {query}"
         )
 
-    def _note_epoch(self, epoch: str | None) -> None:
-        if epoch is not None:
-            self.spark.sql(
-                f"ALTER VIEW {self.name} SET TBLPROPERTIES ('tidemark.epoch' = '{epoch}')"
-            )
+        self._next_id = uuid.uuid4().hex[:12]
+
+    def _note(self, key: str, value: str) -> str:
+        self.spark.sql(f"ALTER VIEW {self.name} SET TBLPROPERTIES ('tidemark.{key}' = '{value}')")
+        return value
 
     def _retire(self, before: dict[str, str]) -> None:
         """Mark what this refresh has replaced, and drop what was replaced long ago.
