@@ -98,3 +98,12 @@ def test_one_row_of_each_group_stays(spark):
     kept = sorted(((r["doc_id"], r["text"]) for r in found.collect()), key=key)
     want = [(5, own[0]), (5, own[1]), *((None, x) for x in own[2:5]), (3, own[5]), (1, "")]
     assert kept == sorted(want, key=key)
+
+
+@pytest.mark.parametrize("lang", ["en", None])
+def test_letterless_texts_go_with_or_without_labels(spark, lang):
+    rows = [(i, t, lang, "a") for i, t in enumerate([None, "", " \n", "12 ½ $", "a word", "é"])]
+    docs = documents(spark, rows)
+    found = ppm_langid.known_language(docs, ppm_langid.fit(docs))
+    assert found.schema == docs.schema
+    assert sorted(r["doc_id"] for r in found.collect()) == [4, 5]

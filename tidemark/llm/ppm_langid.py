@@ -304,6 +304,13 @@ def judge(texts: list[bytes], trees: Trees | None) -> list[tuple[str, float, flo
     return out
 
 
+def is_told(texts: list[bytes], trees: Trees | None) -> list[bool]:
+    """Whether the language of each text is told; without trees, whether it could be."""
+    if trees is None:
+        return [has_letter(x) for x in texts]
+    return [x[0] != UNKNOWN for x in judge(texts, trees)]
+
+
 def predict(
     docs: DataFrame,
     trees: Trees | None,
@@ -347,17 +354,16 @@ def fold(id_col: str = "doc_id") -> Column:
 def known_language(docs: DataFrame, trees: Trees | None, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose language is told, all columns as they were.
 
-    Where nothing was learned no row is rejected.
+    Null texts and texts without letters are rejected in any case. Where nothing was learned, no
+    other row is.
     """
-    if trees is None:
-        return docs
     shared = docs.sparkSession.sparkContext.broadcast(trees)
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(place).cast(pa.binary())
-            found = [x for _, piece in pieces(texts) for x in judge(piece, shared.value)]
-            yield batch.filter(pa.array([x[0] != UNKNOWN for x in found], pa.bool_()))
+            told = [x for _, piece in pieces(texts) for x in is_told(piece, shared.value)]
+            yield batch.filter(pa.array(told, pa.bool_()))
 
     return arrow_map(docs, run, docs.schema)
