@@ -75,3 +75,38 @@ def test_copies_within_a_text_are_combined():
     assert len(at) < 40 and len(rest) > 500
     empty = np.zeros(0, np.int64)
     assert all(len(x) == 0 for x in suffix_dedup.combine_copies(*(empty,) * 5, 200)[:2])
+
+
+def test_cut_items_are_found():
+    """Items cut at one end to a similarity of just 0.8, many of them far off in bits."""
+    rng = np.random.default_rng(11)
+    far = 0
+    for _ in range(1500):
+        n = int(rng.integers(22, 60))
+        own = [f"w{x}" for x in rng.integers(0, 3000, n)]
+        cut = n - 4 - decontaminate.least_shared(n, n, 5, 0.8)
+        filler = [f"f{x}" for x in rng.integers(0, 3000, 100)]
+        item = decontaminate.Finder(decontaminate.prepare([(1, " ".join(own))]))
+        # the window that is shifted by the words cut off is the best
+        for text in (filler[:50] + own[cut:] + filler[50:], filler[:50] + own[: n - cut] + filler[50:]):
+            found = list(item.find(" ".join(text).encode()))
+            assert len(found) == 1 and found[0][4] >= 0.8
+            far += found[0][3] > 16
+    assert far > 0
+
+
+def test_windows_are_proposed_by_count():
+    rng = np.random.default_rng(12)
+    for _ in range(200):
+        own = [f"w{x}" for x in rng.integers(0, 40, int(rng.integers(1, 14)))]
+        finder = decontaminate.Finder(decontaminate.prepare([(1, " ".join(own))]))
+        n = int(rng.integers(1, 60))
+        size, length = min(n, len(own)), min(5, len(own))
+        if n < length:
+            continue
+        places = sorted(rng.choice(n - length + 1, int(rng.integers(1, n - length + 2)), replace=False).tolist())
+        want = [
+            s for s in range(n - size + 1)
+            if sum(s <= p <= s + size - length for p in places) >= finder.shared(0, size)
+        ]
+        assert finder.proposed(0, places, size, n).tolist() == want

@@ -2,13 +2,16 @@
 
 A document leaks an item of ``m`` words if one of its windows of ``m`` words is alike: the
 weighted Jaccard similarity of their five-word shingles (sum of the lesser counts over sum of the
-greater) is at least ``similarity``. A window that shares no shingle with an item has similarity
-0, so only windows about shared shingles are looked at. Their SimHash, over words, is looked up
-in a multi-index: the 64 bits in ``radius + 1`` blocks, of which at least one must be equal for
-fingerprints within the radius. Candidates within the radius are then compared exactly.
+greater) is at least ``similarity``. Shared shingles propose the windows: an exact inverted list
+gives their places, and a window is looked at if it holds as many as the similarity takes. The
+SimHash of those windows, over words, is looked up in a multi-index: the 64 bits in ``radius + 1``
+blocks, of which at least one must be equal for fingerprints within the radius. What is within
+the radius is then compared exactly.
 
-At 0.8 a window differs from its item in a word or two, which moves its fingerprint by some five
-bits; the radius of 16 leaves room for more than four standard deviations.
+SimHash only filters, and loses nothing: the radius follows from each item's own word sums. At
+similarity 0.8 all but ``n - c`` words of a window are the item's, where ``c`` is the least number
+of shingles shared; words cut off at an end, altered and moved ones are all among them. A bit can
+differ only where the item's sum is so close to zero that as many words can turn it.
 
 Items are broadcast in blocks of bounded size, one pass over the documents each; documents are
 never shuffled.
@@ -16,6 +19,7 @@ never shuffled.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -29,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import arrow_map, pieces, utf8
 
-SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 16
+SHINGLE, SIMILARITY = 5, 0.8
 #: Items and bytes of text of a block, about.
 BLOCK_ITEMS, BLOCK_BYTES = 4_096, 16 << 20
 #: Windows whose fingerprints are held at once.
@@ -64,6 +68,22 @@ def weighted_similarity(a: Counter, b: Counter) -> float:
     return least / (sum(a.values()) + sum(b.values()) - least)
 
 
+def least_shared(n: int, m: int, length: int, similarity: float) -> int:
+    """Shingles that windows of ``n`` and ``m`` words share at least if they are alike."""
+    both = max(0, n - length + 1) + max(0, m - length + 1)
+    return max(1, math.ceil(similarity * both / (1 + similarity) - 1e-9))
+
+
+def worst_distance(sums: np.ndarray, m: int, n: int, shared: int) -> int:
+    """Bits that differ at most between an item and a window that share so many shingles.
+
+    ``sums`` are the item's sums by bit, ``m`` and ``n`` the words of both. As many words as
+    shingles are common, as each begins with one; each other word moves a sum by one.
+    """
+    moved = max(0, m - shared) + max(0, n - shared)
+    return int(np.count_nonzero(np.where(sums > 0, sums <= moved, -sums < moved)))
+
+
 @dataclass(frozen=True)
 class Items:
     """A block of benchmark items, prepared for lookup."""
@@ -73,7 +93,6 @@ class Items:
     vocabulary: dict[str, int]
     #: By shingle length: sorted shingle keys, and for each key its items.
     keys: dict[int, tuple[np.ndarray, list[list[int]]]]
-    radius: int
 
 
 def shingle_keys(codes: np.ndarray, length: int) -> np.ndarray:
@@ -86,7 +105,7 @@ def shingle_keys(codes: np.ndarray, length: int) -> np.ndarray:
     return key
 
 
-def prepare(rows: list[tuple[int, str]], radius: int = RADIUS) -> Items:
+def prepare(rows: list[tuple[int, str]]) -> Items:
     """Items without words match nothing; those of fewer than five words are one shingle."""
     kept = [(i, own) for i, own in ((i, words(t or "")) for i, t in rows) if own]
     vocabulary: dict[str, int] = {}
@@ -103,7 +122,7 @@ def prepare(rows: list[tuple[int, str]], radius: int = RADIUS) -> Items:
     for length, by_key in found.items():
         order = sorted(by_key)
         keys[length] = np.array(order, np.uint64), [sorted(by_key[k]) for k in order]
-    return Items([i for i, _ in kept], [x for _, x in kept], vocabulary, keys, radius)
+    return Items([i for i, _ in kept], [x for _, x in kept], vocabulary, keys)
 
 
 class MultiIndex:
@@ -140,6 +159,7 @@ class Finder:
     def __init__(self, items: Items, similarity: float = SIMILARITY):
         self.items, self.similarity = items, similarity
         self.counts = [shingle_counts(x, min(SHINGLE, len(x))) for x in items.own]
+        self.sums = [word_bits(x).sum(axis=0) for x in items.own]
         self.fps = [window_fingerprints(x, len(x))[0] for x in items.own]
 
     def candidates(self, own: list[str]) -> dict[int, list[int]]:
@@ -164,6 +184,28 @@ class Finder:
                     out[item].append(int(places[j]))
         return out
 
+    def shared(self, item: int, size: int) -> int:
+        """Shingles of the item that a window of ``size`` words must hold."""
+        n = len(self.items.own[item])
+        return least_shared(size, n, min(SHINGLE, n), self.similarity)
+
+    def radius(self, item: int, size: int) -> int:
+        n = len(self.items.own[item])
+        return worst_distance(self.sums[item], n, size, self.shared(item, size))
+
+    def proposed(self, item: int, places: list[int], size: int, n: int) -> np.ndarray:
+        """First words of the windows of ``size`` of ``n`` words that hold enough shared shingles."""
+        at, least = np.array(places), self.shared(item, size)
+        if len(at) < least:
+            return np.zeros(0, np.int64)
+        width = size - min(SHINGLE, len(self.items.own[item])) + 1
+        # the count changes only where a place enters or leaves, so whole runs pass or fail
+        edges = np.unique(np.concatenate([at - width + 1, at + 1]).clip(0, n - size + 1))
+        count = np.searchsorted(at, edges + width) - np.searchsorted(at, edges)
+        ends = np.append(edges[1:], n - size + 1)
+        runs = [np.arange(a, b) for a, b in zip(edges[count >= least], ends[count >= least], strict=True)]
+        return np.concatenate([np.zeros(0, np.int64), *runs])
+
     def find(self, text: bytes) -> Iterator[tuple[int, int, int, int, float]]:
         """Item, first word, words, distance and similarity of the best window of each leak."""
         own = words(text.decode("utf-8", "replace"))
@@ -171,17 +213,22 @@ class Finder:
         hits = self.candidates(own)
         for item in hits:
             by_size[min(len(self.items.own[item]), len(own))].append(item)
-        for size, group in by_size.items():
-            starts = set()
-            for item in group:
-                for place in hits[item]:
-                    starts.update(range(max(0, place - size + 1), min(place, len(own) - size) + 1))
-            index = MultiIndex(np.array([self.fps[k] for k in group]), self.items.radius)
+        for size, held in by_size.items():
+            proposed = {k: self.proposed(k, hits[k], size, len(own)) for k in held}
+            group = [k for k in held if len(proposed[k])]
+            if not group:
+                continue
+            radius = max(self.radius(k, size) for k in group)
+            index = MultiIndex(np.array([self.fps[k] for k in group]), radius)
+            starts = np.unique(np.concatenate([proposed[k] for k in group])).tolist()
+            looked = {k: set(proposed[k].tolist()) for k in group}
             best: dict[int, tuple] = {}
-            for first, last in _ranges(sorted(starts)):
+            for first, last in _ranges(starts):
                 fps = window_fingerprints(own[first : last + size], size)
                 for w, k, distance in index.within(fps):
                     item, at = group[k], first + w
+                    if at not in looked[item]:
+                        continue
                     length = min(SHINGLE, len(self.items.own[item]))
                     alike = weighted_similarity(
                         shingle_counts(own[at : at + size], length), self.counts[item]
@@ -206,7 +253,7 @@ def _ranges(places: list[int]) -> Iterator[tuple[int, int]]:
 
 
 def item_blocks(
-    items: DataFrame, id_col: str = "item_id", text_col: str = "text", radius: int = RADIUS
+    items: DataFrame, id_col: str = "item_id", text_col: str = "text"
 ) -> Iterator[Items]:
     """The items in blocks of about ``BLOCK_ITEMS`` items and ``BLOCK_BYTES`` of text.
 
@@ -217,7 +264,7 @@ def item_blocks(
     blocks = max(1, -(-size["n"] // BLOCK_ITEMS), -(-(size["b"] or 0) // BLOCK_BYTES))
     for k in range(blocks):
         part = own.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k)
-        yield prepare([(r["id"], r["text"]) for r in part.sort("id", "text").collect()], radius)
+        yield prepare([(r["id"], r["text"]) for r in part.sort("id", "text").collect()])
 
 
 def leaks(
@@ -228,7 +275,6 @@ def leaks(
     item_id: str = "item_id",
     item_text: str = "text",
     similarity: float = SIMILARITY,
-    radius: int = RADIUS,
 ) -> DataFrame:
     """``doc_id, item_id, start_word, n_words, distance, similarity``: a row for each leak.
 
@@ -240,7 +286,7 @@ def leaks(
     """
     kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("text"))
     spark, out = docs.sparkSession, None
-    for block in item_blocks(items, item_id, item_text, radius):
+    for block in item_blocks(items, item_id, item_text):
         shared = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
