@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from tidemark.llm import decontaminate, ppm_langid, suffix_dedup
 
@@ -110,3 +111,40 @@ def test_windows_are_proposed_by_count():
             if sum(s <= p <= s + size - length for p in places) >= finder.shared(0, size)
         ]
         assert finder.proposed(0, places, size, n).tolist() == want
+
+
+def test_long_texts_in_strips(spark, monkeypatch):
+    """Each window is in one context, of the anchor that it has without strips."""
+    rng = np.random.default_rng(13)
+    texts = [bytes(rng.integers(97, 101, n).astype(np.uint8)) for n in (3000, 150, 0, 1199, 1200, 200)]
+    texts += [texts[0][500:1400] + b"xyz" * 300, b"a" * 2500]
+
+    def windows():
+        found = [x.tolist() for x in suffix_dedup.contexts(texts, 200)]
+        return sorted((k, p, h) for k, h, a, b in zip(*found, strict=True) for p in range(a, b + 1))
+
+    whole = windows()
+    assert [x[:2] for x in whole] == [(k, p) for k, t in enumerate(texts) for p in range(len(t) - 199)]
+    for strip in (1000, 37):
+        monkeypatch.setattr(suffix_dedup, "STRIP", strip)
+        assert windows() == whole
+
+
+def test_a_text_of_any_length_is_taken():
+    """Zeros take no memory until they are read; the whole text would need 28 bits and more."""
+    text = bytes((1 << 28) + 300)
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    def some(texts, length):
+        seen.append(len(texts[0]))
+        if len(seen) == 3:
+            raise Stop
+        return (np.zeros(0, np.int64),) * 4
+
+    with pytest.MonkeyPatch.context() as patch, pytest.raises(Stop):
+        patch.setattr(suffix_dedup, "strip_contexts", some, raising=False)
+        suffix_dedup.contexts([text], 200)
+    assert seen == [suffix_dedup.STRIP + 199] * 3

@@ -42,6 +42,8 @@ GRAM = 32
 HOT = 4_096
 #: Bytes of contexts that a task sorts at once, if anchors allow.
 SORT_BYTES = 1 << 19
+#: Bytes whose contexts are found at once; it divides the work and changes no result.
+STRIP = 1 << 20
 #: Depth of the multikey quicksort, in steps of eight bytes.
 SHALLOW = 3
 
@@ -74,7 +76,23 @@ def window_least(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def contexts(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
-    """Text index, anchor hash, first and last window of every context."""
+    """Text index, anchor hash, first and last window of every context.
+
+    More than ``STRIP`` bytes are taken in strips that overlap by ``length - 1``. A context that
+    an end of a strip parts comes as two; each window is in one of them.
+    """
+    if sum(map(len, texts)) <= STRIP:
+        return strip_contexts(texts, length)
+    found = [(np.zeros(0, np.int64),) * 4]
+    for k, text in enumerate(texts):
+        for a in range(0, len(text) - length + 1, STRIP):
+            own, h, lo, hi = strip_contexts([text[a : a + STRIP + length - 1]], length)
+            found.append((own + k, h, lo + a, hi + a))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+def strip_contexts(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
+    """The contexts of texts that are short enough to be taken at once."""
     width = length - GRAM + 1
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.array([len(x) for x in texts])
@@ -83,7 +101,6 @@ def contexts(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     h = gram_hashes(data)
     # the low bits make the first of equal hashes the least
     low = np.uint64((1 << 28) - 1)
-    assert len(h) <= int(low)
     least = window_least((h & ~low) | np.arange(len(h), dtype=np.uint64), width)
     anchor = (least & low).astype(np.int64)
     ends = np.cumsum(sizes)
