@@ -148,3 +148,32 @@ def test_a_text_of_any_length_is_taken():
         patch.setattr(suffix_dedup, "strip_contexts", some, raising=False)
         suffix_dedup.contexts([text], 200)
     assert seen == [suffix_dedup.STRIP + 199] * 3
+
+
+def test_every_context_of_the_sample_is_kept(spark):
+    """Two languages of one three-byte script, with more contexts than 8 192 each."""
+    rng = np.random.default_rng(14)
+    blocks = [np.arange(0x4E00 + 4096 * k, 0x4E00 + 4096 * k + 4000) for k in range(4)]
+    follow = {"a": (1, 2, 3, 0), "b": (2, 3, 0, 1)}
+
+    def draw(lang):
+        out, own = [], 0
+        for _ in range(500):
+            own = follow[lang][own] if rng.random() < 0.5 else int(rng.integers(0, 4))
+            out.append(chr(int(rng.choice(blocks[own]))))
+        return "".join(out)
+
+    rows = [(k, draw("ab"[k % 2]), "ab"[k % 2], "s", 0) for k in range(160)]
+    columns = "doc_id long, text string, lang string, source string, n long"
+    trees = ppm_langid.fit(spark.createDataFrame(rows[:120], columns))
+    counts = Counter()
+    for lang in "ab":
+        for size, grams, n in ppm_langid.count_grams([r[1].encode() for r in rows[:120] if r[2] == lang], 3):
+            counts.update({(lang, size, g): k for g, k in zip(grams.tolist(), n.tolist(), strict=True)})
+    for lang in "ab":
+        assert len({g >> 8 for own, size, g in counts if (own, size) == (lang, 4)}) > 8192
+    texts = [r[1].encode() for r in rows]
+    whole = ppm_langid.grow([(*k, n) for k, n in counts.items()])
+    assert (ppm_langid.code_lengths(texts, trees) == ppm_langid.code_lengths(texts, whole)).all()
+    found = ppm_langid.predict(spark.createDataFrame(rows[120:], columns), trees).collect()
+    assert sum(r["lang_pred"] == "ab"[r["doc_id"] % 2] for r in found) == 40

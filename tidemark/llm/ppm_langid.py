@@ -27,8 +27,6 @@ UNKNOWN = "und"
 #: Labelled rows of a language that the trees are fitted to.
 ROWS_PER_LANG = 2_000
 DRAWS = 1 << 40
-#: Contexts of each length that a language's tree holds, the most frequent first.
-CONTEXTS = 8_192
 ORDER = 3
 UNIT = 65_536
 #: Bytes counted or coded at once; it divides the work and changes no result.
@@ -136,19 +134,48 @@ def bounded_sample(rows: DataFrame, per_lang: int, id_col: str, lang_col: str) -
 
 @dataclass(frozen=True)
 class Trees:
-    """Frozen trees of all languages as one table.
+    """Frozen trees of all languages as tables by length, of what any of them has seen.
 
-    A byte is coded as a class: 0 for bytes never seen, else its place among those seen.
-    ``state[c]`` is the longest known context of the last ``order`` classes ``c``; ``cost[state,
-    class]`` holds the code length of the next byte in each language.
+    ``grams[s]`` holds the known strings of ``s + 1`` bytes in order, ``cost[s]`` the code length
+    of their last byte after the others in each language, escapes included. ``contexts[s]`` holds
+    the known contexts of ``s`` bytes, ``escape[s]`` the cost of leaving them, 0 in a language
+    that does not know them.
     """
 
     langs: list[str]
-    classes: np.ndarray
-    state: np.ndarray
-    cost: np.ndarray
+    grams: list[np.ndarray]
+    cost: list[np.ndarray]
+    contexts: list[np.ndarray]
+    escape: list[np.ndarray]
     order: int
 
+    def costs(self, size: int, gram: np.ndarray) -> np.ndarray:
+        """Cost of the last byte of strings of ``size`` bytes, a column for each language."""
+        if size == 0:
+            return np.full((len(gram), len(self.langs)), 8 * UNIT, np.int32)
+        out = np.zeros((len(gram), len(self.langs)), np.int32)
+        rest = np.ones(len(gram), bool)
+        # the tables of this size are still missing while they are made
+        if size <= len(self.grams):
+            at, known = find(self.grams[size - 1], gram)
+            out[known] = self.cost[size - 1][at[known]]
+            rest = ~known
+        if not rest.any():
+            return out
+        shorter = self.costs(size - 1, gram[rest] & ((1 << 8 * (size - 1)) - 1))
+        at, left = find(self.contexts[size - 1], gram[rest] >> 8)
+        shorter[left] += self.escape[size - 1][at[left]]
+        out[rest] = shorter
+        return out
+
+
+def find(held: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of numbers in a table in order, and whether they are there."""
+    if not len(held):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(held, wanted), len(held) - 1)
+    return at, held[at] == wanted
+
 
 def grow(counts: list[tuple[str, int, int, int]], order: int = ORDER) -> Trees | None:
     """The trees from (language, size, gram, count) rows; None without any."""
@@ -168,54 +195,30 @@ def grow_arrays(
     order: int = ORDER,
 ) -> Trees:
     """The trees from columns; ``lang`` holds places in ``langs``."""
-    seen = np.unique(gram[sizes == 1])
-    classes = np.zeros(256, np.int64)
-    classes[seen] = np.arange(1, len(seen) + 1)
-    width = len(seen) + 1
-    grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-    for size in range(1, order + 2):
-        own = sizes == size
-        code = np.zeros(int(own.sum()), np.int64)
-        for k in range(size - 1, -1, -1):
-            code = code * width + classes[(gram[own] >> (8 * k)) & 255]
-        grams[size] = lang[own], code, n[own]
+    trees = Trees(langs, [], [], [], [], order)
 
     def bits(p: np.ndarray) -> np.ndarray:
         return np.rint(-UNIT * np.log2(p)).astype(np.int32)
 
-    # costs of the empty context, then of longer ones from their suffixes
-    base = np.full((1, width, len(langs)), 8 * UNIT, np.int32)
-    contexts, tables = [np.zeros(1, np.int64)], []
     for size in range(1, order + 2):
-        lang, code, n = grams[size]
-        own, place = np.unique(code // width, return_inverse=True)
-        if size == 1:
-            own, place = np.zeros(1, np.int64), np.zeros(len(code), np.int64)
-            below = base
-        else:
-            contexts.append(own)
-            suffix = own % width ** (size - 2)
-            below = tables[-1][np.searchsorted(contexts[size - 2], suffix)]
-        total = np.zeros((len(own), len(langs)), np.int64)
+        level = sizes == size
+        own, k = lang[level], n[level]
+        grams, at = np.unique(gram[level], return_inverse=True)
+        contexts, place = np.unique(gram[level] >> 8, return_inverse=True)
+        total = np.zeros((len(contexts), len(langs)), np.int64)
         kinds = np.zeros_like(total)
-        np.add.at(total, (place, lang), n)
-        np.add.at(kinds, (place, lang), 1)
+        np.add.at(total, (place, own), k)
+        np.add.at(kinds, (place, own), 1)
         known = kinds > 0
-        escape = np.where(known, bits(np.where(known, kinds / np.maximum(total + kinds, 1), 1)), np.int32(0))
-        table = below + escape[:, None, :]
-        table[place, code % width, lang] = bits(n / (total + kinds)[place, lang])
-        tables.append(table)
-    offsets = np.cumsum([0, *map(len, contexts)])
-    state = np.zeros(width**order, np.int32)
-    every = np.arange(width**order)
-    for size in range(1, order + 1):
-        suffix = every % width**size
-        at = np.minimum(np.searchsorted(contexts[size], suffix), max(0, len(contexts[size]) - 1))
-        if len(contexts[size]):
-            hit = contexts[size][at] == suffix
-            state[hit] = offsets[size] + at[hit]
-    cost = np.concatenate(tables).reshape(-1, len(langs))
-    return Trees(langs, classes, state, cost, order)
+        escape = np.where(known, kinds / np.maximum(total + kinds, 1), 1)
+        trees.contexts.append(contexts)
+        trees.escape.append(bits(escape))
+        # as if no language knew them, then what each knows
+        cost = trees.costs(size, grams)
+        cost[at, own] = bits(k / (total + kinds)[place, own])
+        trees.grams.append(grams)
+        trees.cost.append(cost)
+    return trees
 
 
 def fit(
@@ -224,14 +227,12 @@ def fit(
     text_col: str = "text",
     lang_col: str = "lang",
     rows_per_lang: int = ROWS_PER_LANG,
-    contexts: int = CONTEXTS,
     order: int = ORDER,
 ) -> Trees | None:
     """Trees of the languages found in ``labelled``; rows without language are passed over.
 
-    Two bounds, both parameters: the rows that a language is learned from, and the contexts of
-    each length that its tree keeps. They bound what the driver holds and broadcasts. A context
-    is kept only if its own suffix is.
+    The one bound is the number of rows that a language is learned from, a parameter; every
+    context of these rows is kept. It bounds what the driver holds and broadcasts.
     """
     rows = labelled.where(F.col(lang_col).isNotNull()).select(
         id_col, F.col(text_col).alias("text"), lang_col
@@ -239,47 +240,38 @@ def fit(
     counts = gram_counts(
         bounded_sample(rows, rows_per_lang, id_col, lang_col), order, "text", lang_col
     )
-    counts = counts.withColumn("context", F.shiftright("gram", 8))
-    totals = counts.groupBy("lang", "size", "context").agg(F.sum("n").alias("total"))
-    best = Window.partitionBy("lang", "size").orderBy(F.desc("total"), "context")
-    kept = totals.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= contexts)
-    rows = counts.join(kept, ["lang", "size", "context"]).select("lang", "size", "gram", "n")
-    found = rows.toArrow().combine_chunks()
+    found = counts.toArrow().combine_chunks()
     if not found.num_rows:
         return None
     langs = sorted(found["lang"].unique().to_pylist())
     lang = np.searchsorted(np.array(langs), found["lang"].to_numpy().astype(str))
     size, gram, n = (found[x].to_numpy() for x in ("size", "gram", "n"))
-    # a suffix is at least as frequent, but ties and text starts can part it from its context
-    kept_rows, held = [], np.zeros(1, np.int64)
-    for level in range(1, order + 2):
-        own = np.nonzero(size == level)[0]
-        own = own[np.isin((gram[own] >> 8) & (256 ** max(0, level - 2) - 1), held)]
-        held = np.unique(gram[own] >> 8)
-        kept_rows.append(own)
-    take = np.concatenate(kept_rows)
-    return grow_arrays(langs, lang[take], size[take], gram[take], n[take], order)
+    return grow_arrays(langs, lang, size, gram, n, order)
 
 
 def code_lengths(texts: list[bytes], trees: Trees) -> np.ndarray:
     """Code length of each text in each language, in units of 1/65536 bit."""
-    width, order = int(trees.classes.max()) + 1, trees.order
+    order = trees.order
+    shift = 8 * (order + 1)
     out = np.zeros((len(texts), len(trees.langs)), np.int64)
     for held in strips(texts, order, 0):
         sizes = np.array([n for _, _, n, _ in held])
-        # a text begins in the context of `order` unseen bytes
         joined = b"".join(bytes(order - known) + x for _, known, _, x in held)
-        symbols = trees.classes[np.frombuffer(joined, np.uint8)]
-        starts = np.cumsum(sizes + order) - sizes
-        new = starts[[known < order for _, known, _, _ in held]]
-        for k in range(1, order + 1):
-            symbols[new - k] = 0
+        data = np.frombuffer(joined, np.uint8).astype(np.int64)
         owner = np.repeat(np.arange(len(held)), sizes)
         at = np.arange(len(owner)) + order * (owner + 1)
-        context = np.zeros(len(at), np.int64)
-        for k in range(order, 0, -1):
-            context = context * width + symbols[at - k]
-        cost = trees.cost[trees.state[context].astype(np.int64) * width + symbols[at]]
+        # a text begins without context
+        before = at - (np.cumsum(sizes + order) - sizes)[owner]
+        before += np.array([known for _, known, _, _ in held])[owner]
+        gram = np.minimum(before, order) + 1
+        for k in range(order, -1, -1):
+            gram = gram << 8 | data[at - k]
+        different, place = np.unique(gram, return_inverse=True)
+        cost = np.zeros((len(different), len(trees.langs)), np.int32)
+        for size in range(1, order + 2):
+            own = different >> shift == size
+            cost[own] = trees.costs(size, different[own] & ((1 << shift) - 1))
+        cost = cost[place]
         first = np.cumsum(sizes) - sizes
         lengths = np.add.reduceat(cost, first, axis=0, dtype=np.int64)
         np.add.at(out, [k for k, *_ in held], lengths)
