@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -19,6 +20,8 @@ PIECE_BYTES = 1 << 20
 
 #: Words remembered by a task, and the longest word remembered.
 REMEMBERED, LONG = 400_000, 64
+#: A space between two bytes of ASCII that are not white space.
+BETWEEN = re.compile(rb"[!-~] (?=[!-~])")
 
 ArrowFunction = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
@@ -63,6 +66,22 @@ def pieces(texts: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, lis
         yield first, piece
 
 
+def spaced_strips(text: bytes, limit: int = PIECE_BYTES) -> Iterator[bytes]:
+    """A text in strips of about ``limit`` bytes, cut before single spaces between words.
+
+    A strip after the first begins with that space. A word longer than ``limit`` stays whole.
+    """
+    at = 0
+    while len(text) - at > limit:
+        cut = BETWEEN.search(text, at + limit - 1)
+        if not cut:
+            break
+        yield text[at : cut.start() + 1]
+        at = cut.start() + 1
+    if at or text:
+        yield text[at:]
+
+
 class Memory(dict):
     """A table that computes what it lacks and starts afresh when full."""
 

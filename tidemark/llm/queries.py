@@ -13,6 +13,7 @@ from tidemark.llm import (
     decontaminate,
     forced_bpe,
     host_rules,
+    mixture_packing,
     plane_store,
     ppm_langid,
     preference,
@@ -107,6 +108,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place and checksum of each piece of a document in sequences of 4096 tokens."""
+    found = mixture_packing.pack(table(spark, sf_dir, "documents"), WORD_BPE, end_id=2)
+    return found.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -120,6 +127,7 @@ QUERIES: dict[str, Query] = {
         op8_warc,
         op9_simhash,
         op10_language,
+        op11_packing,
     )
 }
 ORACLE: dict[str, str] = {
