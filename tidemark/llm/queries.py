@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    conversation_repair,
     decontaminate,
     forced_bpe,
     host_rules,
@@ -114,6 +115,12 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired digest of each damaged conversation."""
+    report, _ = conversation_repair.repair(table(spark, sf_dir, "conversations"), damaged=True)
+    return report
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -128,6 +135,7 @@ QUERIES: dict[str, Query] = {
         op9_simhash,
         op10_language,
         op11_packing,
+        op13_repair,
     )
 }
 ORACLE: dict[str, str] = {
