@@ -26,12 +26,17 @@ BETWEEN = re.compile(rb"[!-~] (?=[!-~])")
 ArrowFunction = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
-def arrow_map(df: DataFrame, function: ArrowFunction, schema: StructType | str) -> DataFrame:
-    """``mapInArrow`` with this package importable by the Python workers."""
-    environment = df.sparkSession.sparkContext.environment
+def importable(spark: SparkSession) -> None:
+    """Let the Python workers import this package."""
+    environment = spark.sparkContext.environment
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if ROOT not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
+
+
+def arrow_map(df: DataFrame, function: ArrowFunction, schema: StructType | str) -> DataFrame:
+    """``mapInArrow`` with this package importable by the Python workers."""
+    importable(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 

@@ -20,6 +20,7 @@ from tidemark.llm import (
     preference,
     simhash_vptree,
     suffix_dedup,
+    token_alignment,
     warc,
     weak_quality,
 )
@@ -29,6 +30,7 @@ from tidemark.session import fresh_dir
 Query = Callable[[SparkSession, str], DataFrame]
 #: The vocabularies; the files must be readable on every executor.
 BYTE_BPE = os.environ.get("TIDEMARK_BYTE_BPE", public_tokenizers.path("byte_bpe_50k.json"))
+PIECE_BPE = os.environ.get("TIDEMARK_PIECE_BPE", public_tokenizers.path("piece_bpe_32k.model"))
 WORD_BPE = os.environ.get("TIDEMARK_WORD_BPE", public_tokenizers.path("word_bpe_49k.json"))
 
 
@@ -115,6 +117,11 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("ids", F.crc32("ids")).withColumnRenamed("ids", "ids_crc32")
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Agreement of two tokenizers on each document, weighed by corpus-wide pair counts."""
+    return token_alignment.align(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+
+
 def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cheapest edits and repaired digest of each damaged conversation."""
     report, _ = conversation_repair.repair(table(spark, sf_dir, "conversations"), damaged=True)
@@ -135,6 +142,7 @@ QUERIES: dict[str, Query] = {
         op9_simhash,
         op10_language,
         op11_packing,
+        op12_alignment,
         op13_repair,
     )
 }
