@@ -1,0 +1,107 @@
+"""Reconciliation by digests: the same report, and rows read only where digests differ."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from build import ITEM, rows
+from test_plans import plan
+
+from tidemark import operators as ops
+from tidemark.operators import digest
+from tidemark.schema import TableSpec, record_type
+
+COLUMNS = "id BIGINT, name STRING, bal DOUBLE"
+
+
+def table(spark, n, seed=0):
+    rng = random.Random(seed)
+    names = [None, "", "a", "b"]
+    data = [(k if k else None, rng.choice(names), rng.choice([None, 0.0, 1.5, float("nan")])) for k in range(n)]
+    return spark.createDataFrame(data, COLUMNS)
+
+
+def both(source, latest, **options):
+    want = rows(ops.reconcile([(ITEM, source, latest)]))
+    assert rows(ops.reconcile_digest([(ITEM, source, latest)], **options)) == want
+    return want[0]
+
+
+@pytest.mark.parametrize("options", [{}, {"bits": 3, "few_rows": 0}, {"bits": 2, "levels": 4, "few_rows": 10}])
+def test_equals_the_report_of_rows(spark, options):
+    source = table(spark, 300)
+    assert both(source, source, **options)[0]
+    assert both(source, source.repartition(7), **options)[0]
+    changed = source.selectExpr("id", "IF(id % 37 = 0, 'changed', name) AS name", "bal")
+    assert both(source, changed, **options)[2:4] == (8, 8)
+    assert both(source, source.where("id > 20 OR id IS NULL"), **options)[2:4] == (20, 0)
+    assert both(source, source.where("id < 290"), **options)[2] == 11
+    assert both(source.where("false"), source, **options)[3] == 300
+    assert both(source.where("false"), source.where("false"), **options)[0]
+
+
+def test_copies_are_no_difference(spark):
+    source = table(spark, 50)
+    twice = source.unionAll(source.where("id < 10"))
+    assert both(source, twice)[0] and both(twice, source)[0]
+    # an even number of copies is nothing to an exclusive or
+    assert both(source.unionAll(source), source)[0]
+    assert not both(source, source.where("id > 5").unionAll(source.where("id > 5")))[0]
+
+
+def test_nulls_in_other_places_and_both_zeros(spark):
+    spec = TableSpec("t", record_type(id="long", a="string", b="string", x="double"))
+    schema = "id BIGINT, a STRING, b STRING, x DOUBLE"
+    source = spark.createDataFrame([(1, "v", None, 0.0), (2, None, None, float("nan"))], schema)
+    swapped = spark.createDataFrame([(1, None, "v", 0.0), (2, None, None, float("nan"))], schema)
+    zero = spark.createDataFrame([(1, "v", None, -0.0), (2, None, None, float("nan"))], schema)
+    for latest, agrees in ((swapped, False), (zero, True), (source, True)):
+        found = digest.differing(source, latest, spec)
+        assert (not found.buckets) == agrees
+        assert ops.reconcile_digest([(spec, source, latest)]).first()["result"] == agrees
+
+
+def test_agreeing_tables_shuffle_digests_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    table(spark, 100).write.parquet(path)
+    stored = spark.read.schema(COLUMNS).parquet(path)
+    sides = [digest._with_bucket(t, ITEM, 4) for t in (stored, stored)]
+    text = plan(digest.digests(*sides, ITEM, digest.F.col(digest.BUCKET)))
+    exchanges = re.findall(r"\) Exchange\nInput \[\d+\]: (.*)", text)
+    assert len(exchanges) == 1
+    # what is sent has been added up by bucket
+    assert "sum#" in exchanges[0] and "name" not in exchanges[0] and "h1#" not in exchanges[0]
+    # and the report of an agreeing pair reads no table
+    assert "Scan parquet" not in plan(ops.reconcile_digest([(ITEM, stored, stored)]))
+
+
+def test_a_difference_in_one_bucket_reads_that_bucket(spark, tmp_path):
+    source = table(spark, 400)
+    paths = [str(tmp_path / x) for x in ("source", "latest")]
+    changed = source.selectExpr("id", "IF(id = 77, 'planted', name) AS name", "bal")
+    for t, path in zip((source, changed), paths, strict=True):
+        ops.write_by_bucket(t, ITEM, path, bits=4)
+    sides = [ops.read_by_bucket(spark, path, ITEM, bits=4) for path in paths]
+    found = digest.differing(*sides, ITEM, bits=4)
+    assert len(found.buckets) == 1 and found.total == 400
+    left = ops.rows_to_compare(*sides, ITEM, found, bits=4)
+    for side, path in zip(left, paths, strict=True):
+        text = plan(side)
+        assert re.search(r"PartitionFilters: \[.*digest_bucket4", text)
+        assert "Exchange" not in text
+        files = {r[0] for r in side.selectExpr("input_file_name()").distinct().collect()}
+        assert all(f"digest_bucket4={found.buckets[0]}/" in f for f in files)
+        assert 0 < side.count() < 60
+    assert both(*(s.select("id", "name", "bal") for s in sides))[2:4] == (1, 1)
+
+
+def test_levels_go_on_only_while_many_rows_differ(spark):
+    source = table(spark, 500)
+    changed = source.selectExpr("id", "IF(id % 100 = 1, 'x', name) AS name", "bal")
+    assert digest.differing(source, changed, ITEM, bits=3, levels=3, few_rows=10_000).levels == 1
+    deep = digest.differing(source, changed, ITEM, bits=3, levels=3, few_rows=0)
+    assert deep.levels == 3 and deep.rows <= 40
+    left = ops.rows_to_compare(source, changed, ITEM, deep, bits=3)
+    assert sum(t.count() for t in left) == deep.rows

@@ -11,6 +11,13 @@ from tidemark.operators.delta import (
     newer_than,
     rows_to_replace,
 )
+from tidemark.operators.digest import (
+    differing,
+    read_by_bucket,
+    reconcile_digest,
+    rows_to_compare,
+    write_by_bucket,
+)
 from tidemark.operators.keywise import apply_keywise, keyed_state
 from tidemark.operators.latest import (
     create_latest_view,
@@ -42,6 +49,7 @@ __all__ = [
     "converged",
     "create_latest_view",
     "delete_changed",
+    "differing",
     "high_watermark",
     "insert_changed",
     "keyed_state",
@@ -51,10 +59,14 @@ __all__ = [
     "live_rows",
     "missing",
     "newer_than",
+    "read_by_bucket",
     "reconcile",
+    "reconcile_digest",
+    "rows_to_compare",
     "rows_to_replace",
     "snapshot_events",
     "stale",
     "with_record",
+    "write_by_bucket",
     "write_report",
 ]

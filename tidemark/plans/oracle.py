@@ -234,6 +234,9 @@ ORACLE: dict[str, str] = {
     "missing_count": f"{REFRESH} SELECT count(*) AS n FROM ({_MISSING.format(p='')})",
     "stale_count": f"{REFRESH} SELECT count(*) AS n FROM ({_STALE.format(p='')})",
     "reconcile": _report("result"),
+    "reconcile_digest": _report("result"),
+    "reconcile_digest_levels": _report("result"),
+    "reconcile_digest_agreed": _agreed(EVENTS),
     "report_csv": _report("match"),
     "converge": _agreed(ON_TIME),
 }

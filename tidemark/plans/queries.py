@@ -477,11 +477,16 @@ def late_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _keywise(spark: SparkSession, sf_dir: str, log: LogTable = CUSTOMER) -> DataFrame:
+    """The state of batch 1 after a key-wise refresh by batch 2."""
+    state = ops.keyed_state(logs.change_log(spark, sf_dir, log, BATCH_1), log.spec)
+    return ops.apply_keywise(state, logs.change_log(spark, sf_dir, log, BATCH_2), log.spec)
+
+
 @query
 def latest_keywise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A key-wise refresh misses nothing."""
-    state = ops.keyed_state(_log(spark, sf_dir, BATCH_1), SPEC)
-    return ops.live(ops.apply_keywise(state, _log(spark, sf_dir, BATCH_2), SPEC))
+    return ops.live(_keywise(spark, sf_dir))
 
 
 # The stored table, refreshed in steps and by stream.
@@ -632,6 +637,38 @@ def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def reconcile_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report, comparing only rows that digests of key buckets tell apart."""
+    return ops.reconcile_digest(
+        (log.spec, _truth(spark, sf_dir, log), _refreshed(spark, sf_dir, log))
+        for log in (CUSTOMER, PART)
+    )
+
+
+@query
+def reconcile_digest_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same down a tree of two levels of buckets, from tables laid out by the first."""
+    tables = []
+    for log in (CUSTOMER, PART):
+        sides = []
+        for side in (_truth(spark, sf_dir, log), _refreshed(spark, sf_dir, log)):
+            path = fresh_dir(spark, "by-bucket")
+            ops.write_by_bucket(side, log.spec, path, bits=6)
+            sides.append(ops.read_by_bucket(spark, path, log.spec, bits=6))
+        tables.append((log.spec, *sides))
+    return ops.reconcile_digest(tables, bits=6, few_rows=0)
+
+
+@query
+def reconcile_digest_agreed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of tables in agreement, which compares no rows."""
+    return ops.reconcile_digest(
+        (log.spec, _truth(spark, sf_dir, log), ops.live(_keywise(spark, sf_dir, log)))
+        for log in (CUSTOMER, PART)
+    )
+
+
 @query
 def report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report written as CSV and read back."""

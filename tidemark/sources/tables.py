@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.schema import TableSpec
 
 
-def conform(table: DataFrame, spec: TableSpec) -> DataFrame:
-    """The record columns of ``table``, by name, in record order and type.
+def conform(table: DataFrame, spec: TableSpec, *more: Column) -> DataFrame:
+    """The record columns of ``table``, by name, in record order and type, and any ``more``.
 
     Row comparison is positional and exact, so a source whose driver reports FLOAT for a
     DOUBLE column, or another column order, has to be brought to the record type first.
@@ -21,5 +21,6 @@ def conform(table: DataFrame, spec: TableSpec) -> DataFrame:
             if given.get(f.name) == f.dataType
             else F.col(f.name).cast(f.dataType).alias(f.name)
             for f in spec.record
-        )
+        ),
+        *more,
     )
