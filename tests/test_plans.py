@@ -99,3 +99,20 @@ def test_apply_delta_scans_the_changes_once(spark, landed, no_broadcast):
     latest = spark.createDataFrame([], "id LONG, name STRING, bal DOUBLE, ts TIMESTAMP_NTZ")
     text = plan(ops.apply_delta(latest, landed, ITEM))
     assert len(re.findall(r"^\(\d+\) Scan parquet", text, re.M)) == 1
+
+
+def test_a_stored_state_is_not_shuffled(spark, landed, no_broadcast):
+    spark.sql("CREATE SCHEMA IF NOT EXISTS plans_states")
+    ops.write_keyed_state(ops.keyed_state(landed, ITEM), ITEM, "plans_states.item", buckets=16)
+    more = landed.where("ts_ms > 20")
+    refreshed = ops.apply_keywise(spark.table("plans_states.item"), more, ITEM)
+    text = plan(refreshed)
+    # the changes' own shuffle by key, and their newest to the buckets; the state stays in place
+    shuffled = re.findall(r"\) Exchange\nInput \[\d+\]: (.*)", text)
+    assert shuffled and all("held" not in x for x in shuffled)
+    assert "Bucketed: true" in text
+    # and what comes out is written bucket by bucket
+    ops.write_keyed_state(refreshed, ITEM, "plans_states.next", buckets=16)
+    files = spark.table("plans_states.next").selectExpr("input_file_name()").distinct().count()
+    assert files <= 16
+    assert spark.table("plans_states.next").count() == 50

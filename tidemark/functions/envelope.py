@@ -5,10 +5,12 @@ All of them are built-in expressions, so they stay inside whole-stage code gener
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.schema import TableSpec
 
@@ -43,6 +45,23 @@ def key_columns(spec: TableSpec) -> list[Column]:
     ]
 
 
+def flat_key(spec: TableSpec, parts: Iterable[Column]) -> dict[str, Column]:
+    """Key columns without NULL: a stand-in for each NULL part, and a mask of which parts are.
+
+    Such keys are equal if and only if the parts are, NULLs included, so an ordinary equi-join
+    meets them, and a table can be bucketed by them.
+    """
+    parts = dict(zip(spec.key, parts, strict=True))
+    flat, mask = {}, F.lit(0)
+    for i, (name, part) in enumerate(parts.items()):
+        kind = spec.record[name].dataType
+        dated = isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType))
+        stand_in = F.lit("1970-01-01" if dated else "0").cast(kind)
+        flat[f"__key{i}"] = F.coalesce(part, stand_in)
+        mask = mask + F.when(part.isNull(), 1 << i).otherwise(0)
+    return {**flat, "__nulls": mask}
+
+
 def order_values(spec: TableSpec) -> list[Column]:
     """What decides between changes of one key and one ``ts_ms``, most significant first.
 

@@ -1,6 +1,11 @@
 """Batch operators: plain DataFrame transformations configured by a TableSpec."""
 
-from tidemark.operators.capture import apply_dml, capture_changes, snapshot_events
+from tidemark.operators.capture import (
+    apply_dml,
+    capture_changes,
+    snapshot_events,
+    snapshot_with_changes,
+)
 from tidemark.operators.delta import (
     apply_delta,
     changed_keys,
@@ -18,7 +23,7 @@ from tidemark.operators.digest import (
     rows_to_compare,
     write_by_bucket,
 )
-from tidemark.operators.keywise import apply_keywise, keyed_state
+from tidemark.operators.keywise import apply_keywise, keyed_state, write_keyed_state
 from tidemark.operators.latest import (
     create_latest_view,
     latest_columns,
@@ -65,8 +70,10 @@ __all__ = [
     "rows_to_compare",
     "rows_to_replace",
     "snapshot_events",
+    "snapshot_with_changes",
     "stale",
     "with_record",
     "write_by_bucket",
+    "write_keyed_state",
     "write_report",
 ]

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.envelope import key_columns
 from tidemark.schema import (
     CREATE,
     DELETE,
@@ -43,7 +44,12 @@ def apply_dml(
 
 
 def _envelope(
-    images: DataFrame, spec: TableSpec, ts_ms: int, pos: int | None, snapshot: bool, partitions: int
+    images: DataFrame,
+    spec: TableSpec,
+    ts_ms: int | Column,
+    pos: int | None,
+    snapshot: bool,
+    partitions: int,
 ) -> DataFrame:
     """Complete (``before``, ``after``, ``op``) to the full envelope."""
     known = {
@@ -113,3 +119,50 @@ def capture_changes(
         )
     )
     return _envelope(images, spec, ts_ms, pos, False, partitions)
+
+
+def snapshot_with_changes(
+    chunks: DataFrame,
+    marks: DataFrame,
+    changes: DataFrame,
+    spec: TableSpec,
+    chunk: Column | str,
+    partitions: int = 1,
+) -> DataFrame:
+    """One change log from a snapshot read chunk by chunk and the changes that ran meanwhile.
+
+    A table too large for one consistent read is read in chunks of keys, in any order and over
+    any time. ``chunk`` tells a key's chunk, from columns named as the key. ``marks`` (``chunk,
+    low, high``) holds for each chunk the time in epoch milliseconds just before and just after
+    its rows were read, ``chunks`` the rows, and ``changes`` the log from the first low mark on.
+
+    A row whose key changed between its chunk's marks is passed over: the log has an image of it
+    that is as new or newer, or its delete. Any other row is what the table held at the low mark,
+    so it becomes a read event of that time: older changes of its key come before it, all others
+    after it. A chunk without marks fails the job. A key in a third of all changes is one key
+    still: changed keys are made distinct before they are joined.
+    """
+    chunk = F.expr(chunk) if isinstance(chunk, str) else chunk
+    marks = marks.select(
+        F.col("chunk").alias("__chunk"), F.col("low").alias("__low"), F.col("high").alias("__high")
+    )
+    keys = [c.alias(k) for k, c in zip(spec.key, key_columns(spec), strict=True)]
+    changed = changes.select("ts_ms", *keys).select("ts_ms", *spec.key, chunk.alias("__chunk"))
+    changed = (
+        changed.join(marks, "__chunk")
+        .where(F.col("ts_ms").between(F.col("__low"), F.col("__high")))
+        .select(*(F.col(k).alias(f"__{k}") for k in spec.key))
+        .distinct()
+    )
+    rows = conform(chunks, spec, chunk.alias("__chunk")).join(marks, "__chunk", "left")
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in spec.key]
+    fresh = rows.join(changed, same, "left_anti")
+    lost = F.raise_error(F.concat(F.lit("no marks of chunk "), F.col("__chunk").cast("string")))
+    images = fresh.select(
+        F.lit(None).cast(spec.record).alias("before"),
+        F.struct(*spec.columns).alias("after"),
+        F.lit(SNAPSHOT).alias("op"),
+        F.when(F.col("__low").isNull(), lost.cast("long")).otherwise(F.col("__low")).alias("__low"),
+    )
+    events = _envelope(images, spec, F.col("__low"), None, True, partitions)
+    return changes.unionByName(events)

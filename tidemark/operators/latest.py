@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.envelope import (
@@ -24,21 +26,21 @@ def with_record(changes: DataFrame) -> DataFrame:
     return changes.withColumn("record", change_record())
 
 
-def newest_changes(changes: DataFrame, spec: TableSpec, whole_key: bool = False) -> DataFrame:
+def newest_changes(
+    changes: DataFrame, spec: TableSpec, keys: Mapping[str, Column] | None = None
+) -> DataFrame:
     """The newest change of every key: ``record``, ``op``, ``ts_ms``, its key and its order.
 
-    Key and order columns are ``__key0``.. and ``__seq0``..; with ``whole_key`` the key is one
-    struct ``__key``, which equals itself even with NULL in it. The result stays partitioned
-    by the key, so that a join on it needs no other shuffle.
+    Key and order columns are ``__key0``.. and ``__seq0``..; ``keys`` may give other columns that
+    tell keys apart. The result stays partitioned by them, so that a join on them needs no other
+    shuffle.
 
     ``row_number = 1`` is planned as a group limit before and after the shuffle, so a map
     task sends at most one row per key: a key with a third of the log costs no more to
     shuffle than any other. The record is formed first, so one image is sorted and sent, not
     two; the fields of ``source`` and ``transaction`` that do not decide are not read.
     """
-    keys = {f"__key{i}": c for i, c in enumerate(key_columns(spec))}
-    if whole_key:
-        keys = {"__key": F.struct(*(c.alias(k) for k, c in zip(spec.key, keys.values())))}
+    keys = keys or {f"__key{i}": c for i, c in enumerate(key_columns(spec))}
     seqs = {f"__seq{i}": c for i, c in enumerate(order_values(spec))}
     ranked = changes.select(
         change_record().alias("record"),

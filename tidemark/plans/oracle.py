@@ -172,6 +172,7 @@ ORACLE: dict[str, str] = {
     "snapshot_events": f"SELECT 'r' AS op, CAST({logs.T0} AS BIGINT) AS ts_ms, "
     f"'true' AS snapshot, true AS no_before, {', '.join(_SHOP_COLUMNS)} FROM customer",
     "capture_changes": _CAPTURED,
+    "snapshot_with_changes": f"{LIVE} SELECT id, name, bal FROM live",
     "workload": f"WITH {_MUTATED} SELECT * FROM mutated",
     "change_record": f"{LOG} SELECT op, ts_ms, id, name, bal FROM log",
     "flatten_record": f"{LOG} SELECT id, name, bal, op FROM log",
@@ -219,6 +220,8 @@ ORACLE: dict[str, str] = {
     "SELECT w.id, w.name, w.bal, w.ts FROM whole w, fallen f WHERE w.ts > f.ts AND w.op <> 'd'",
     "late_changes": f"{REFRESH} (SELECT id, ts FROM truth) EXCEPT (SELECT id, ts FROM refreshed)",
     "latest_keywise": _LIVE_ROWS,
+    "latest_stream_state": f"WITH {_log(logs.LATE_DELETE)}, {_state('state', 'log')}, "
+    f"{_live('live', 'state')} SELECT id, name, bal, ts FROM live",
     "bootstrap": _LIVE_ROWS,
     "store_refresh": _REFRESHED,
     "store_refresh_keywise": _LIVE_ROWS,

@@ -272,6 +272,31 @@ def capture_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def snapshot_with_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer table read in chunks at different times, while its changes went on."""
+    return _handover(spark, sf_dir, step=5)
+
+
+def _handover(spark: SparkSession, sf_dir: str, step: int) -> DataFrame:
+    """Live rows of a handover whose chunks are read in an order that ``step`` gives."""
+    chunk = F.floor(F.col("id") / 100)
+    # times of the reads, in the order of the chunks by twelves
+    moment = (F.lit(40_000) + 10_000 * F.pmod(F.col("chunk") * step, F.lit(12))) * logs.STRIDE
+    history = _log(spark, sf_dir)
+    marks = history.where("op = 'r'").select(F.floor(F.col("after.id") / 100).alias("chunk"))
+    marks = marks.distinct().select("chunk", (moment + F.lit(logs.T0)).alias("moment"))
+    # what a read of each chunk saw: the state of its keys at that time
+    seen = history.withColumn("id", fn.key_columns(SPEC)[0]).withColumn("chunk", chunk)
+    seen = seen.join(marks, "chunk").where("ts_ms <= moment").drop("chunk", "id", "moment")
+    rows = ops.latest_columns(ops.live(ops.latest_state(seen, SPEC)), SPEC)
+    around = marks.selectExpr("chunk", f"moment - {logs.STRIDE} AS low", f"moment + {logs.STRIDE} AS high")
+    first = around.agg(F.min("low")).scalar()
+    during = history.where((F.col("op") != "r") & (F.col("ts_ms") >= first))
+    merged = ops.snapshot_with_changes(rows, around, during, SPEC, chunk)
+    return ops.latest_columns(ops.live(ops.latest_state(merged, SPEC)), SPEC)
+
+
 @query
 def workload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run the statements, capture each, all in one millisecond, and derive the live rows.
@@ -485,8 +510,25 @@ def _keywise(spark: SparkSession, sf_dir: str, log: LogTable = CUSTOMER) -> Data
 
 @query
 def latest_keywise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A key-wise refresh misses nothing."""
-    return ops.live(_keywise(spark, sf_dir))
+    """A key-wise refresh, of a state stored in buckets, misses nothing."""
+    table = f"{_namespace(spark, 'states')}.customer"
+    rows = logs.given(spark, sf_dir, "customer").count()
+    state = ops.keyed_state(_log(spark, sf_dir, BATCH_1), SPEC)
+    ops.write_keyed_state(state, SPEC, table, buckets_for(rows))
+    return ops.live(ops.apply_keywise(spark.table(table), _log(spark, sf_dir, BATCH_2), SPEC))
+
+
+@query
+def latest_stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live rows of the streaming state after three batches: deletes come before what they outrank."""
+    path, progress = fresh_dir(spark, "log"), fresh_dir(spark, "progress")
+    for event in logs.LATE_DELETE:
+        sources.write_changes(_log(spark, sf_dir, [event]), path)
+        changes = sources.read_changes(spark, path, SPEC, streaming=True)
+        streaming.latest_stream_state(
+            changes, SPEC, progress, trigger=AVAILABLE_NOW
+        ).awaitTermination()
+    return ops.live(streaming.read_stream_state(spark, progress))
 
 
 # The stored table, refreshed in steps and by stream.
