@@ -5,10 +5,14 @@ from __future__ import annotations
 import re
 
 import pytest
-from build import ITEM, change, log
+from build import ITEM, at, change, log, rows
 
 from tidemark import LatestStore, sources
 from tidemark import operators as ops
+from tidemark.operators.delta import FOOTERS
+from tidemark.session import settings
+
+ROW = "id BIGINT, name STRING, bal DOUBLE"
 
 
 def plan(df):
@@ -116,3 +120,58 @@ def test_a_stored_state_is_not_shuffled(spark, landed, no_broadcast):
     files = spark.table("plans_states.next").selectExpr("input_file_name()").distinct().count()
     assert files <= 16
     assert spark.table("plans_states.next").count() == 50
+
+
+def test_a_log_by_day_opens_days_after_the_mark_only(spark, tmp_path):
+    day = 86_400_000
+    path = str(tmp_path / "days")
+    changes = [change("c", k, (k // 5) * day + k, pos=k) for k in range(50)]
+    changes.append(change("c", 99, None))
+    sources.write_changes(log(spark, changes), path, by_day=True)
+    by_day = sources.read_changes(spark, path, ITEM, by_day=True)
+    latest = spark.createDataFrame([(1, "n", 0.0, at(7 * day + 36))], f"{ROW}, ts TIMESTAMP_NTZ")
+    mark = ops.high_watermark(latest)
+    found = ops.changed_keys(by_day, ITEM, mark)
+    text = plan(found)
+    assert re.search(r"PartitionFilters: \[.*day#\d+ >= .*Subquery", text)
+    assert rows(found) == [(k,) for k in range(37, 50)]
+    kept = ops.newer_than(by_day, mark).selectExpr("input_file_name()").distinct().collect()
+    assert {re.search(r"day=(\d+)", r[0]).group(1) for r in kept} == {"7", "8", "9"}
+    # the state of keys is that of a log in any other layout
+    whole = ops.changed_since(log(spark, changes), ITEM, mark)
+    assert rows(ops.changed_since(by_day, ITEM, mark)) == rows(whole)
+
+
+def test_a_mark_comes_from_footers(spark, tmp_path):
+    path = str(tmp_path / "marked")
+    latest = spark.createDataFrame(
+        [(k, "n", 0.0, at(1000 + k)) for k in range(20)], f"{ROW}, ts TIMESTAMP_NTZ"
+    )
+    ops.write_marked(latest, path)
+    with settings(spark, FOOTERS):
+        text = plan(ops.footer_mark(spark, path))
+    assert "PushedAggregation: [MAX(mark_ms)]" in text
+    assert ops.stored_mark(spark, path) == 1019
+    newer = log(spark, [change("u", 1, 1019), change("u", 2, 1020)])
+    assert rows(ops.changed_keys(newer, ITEM, ops.stored_mark(spark, path))) == [(2,)]
+    nothing = str(tmp_path / "nothing")
+    ops.write_marked(latest.limit(0), nothing)
+    assert ops.changed_keys(newer, ITEM, ops.stored_mark(spark, nothing)).count() == 2
+
+
+def test_few_keys_are_a_bloom_filter_on_the_large_side(spark, landed, tmp_path, no_broadcast):
+    path = str(tmp_path / "latest")
+    ops.live(ops.latest_state(landed, ITEM)).write.parquet(path)
+    latest = spark.read.schema(f"{ROW}, ts TIMESTAMP_NTZ").parquet(path)
+    keys = ops.store_keys(landed, ITEM, 40, str(tmp_path / "keys"))
+    name = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    with settings(spark, {name: "1"}):
+        found = ops.rows_to_replace(latest, keys, ITEM)
+        text = plan(found)
+        assert sorted(r["id"] for r in found.collect()) == list(range(31, 50))
+        left = ops.delete_few(latest, keys, ITEM, str(tmp_path / "gone"))
+        assert sorted(r["id"] for r in left.collect()) == list(range(31))
+    # a filter right on the scan of the latest table, below its shuffle
+    scan, *rest = text.split("\n\n(")[1:4]
+    assert scan.startswith("1) Scan parquet") and "latest" in scan
+    assert any(re.search(r"Condition : .*might_contain\(Subquery.*xxhash64\(id#", x) for x in rest)

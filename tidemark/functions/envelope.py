@@ -120,3 +120,25 @@ def mark_millis(mark: Mark) -> Column:
             raise ValueError("a mark is a UTC wall clock without zone")
         mark = F.lit(mark.isoformat(sep=" ")).cast("timestamp_ntz")
     return epoch_millis(mark)
+
+
+DAY_MS = 86_400_000
+
+
+def change_day(ts_ms: Column | str = "ts_ms") -> Column:
+    """The UTC day of a change, counted from the epoch. Later times never have earlier days."""
+    ts_ms = F.col(ts_ms) if isinstance(ts_ms, str) else ts_ms
+    return F.floor(ts_ms / DAY_MS).cast("int")
+
+
+def after_mark(changes: DataFrame, mark: Mark) -> DataFrame:
+    """Changes strictly later than the mark.
+
+    A log laid out by day is filtered by its ``day`` too, so that folders of earlier days are not
+    opened. The mark may be a query: it runs first, and the folders are chosen by what it gives.
+    """
+    millis = mark_millis(mark)
+    later = changes.where(F.col("ts_ms") > millis)
+    if "day" in changes.columns:
+        later = later.where(F.col("day") >= change_day(millis))
+    return later

@@ -11,10 +11,15 @@ from tidemark.operators.delta import (
     changed_keys,
     changed_since,
     delete_changed,
+    delete_few,
+    footer_mark,
     high_watermark,
     insert_changed,
     newer_than,
     rows_to_replace,
+    store_keys,
+    stored_mark,
+    write_marked,
 )
 from tidemark.operators.digest import (
     differing,
@@ -54,7 +59,9 @@ __all__ = [
     "converged",
     "create_latest_view",
     "delete_changed",
+    "delete_few",
     "differing",
+    "footer_mark",
     "high_watermark",
     "insert_changed",
     "keyed_state",
@@ -72,8 +79,11 @@ __all__ = [
     "snapshot_events",
     "snapshot_with_changes",
     "stale",
+    "store_keys",
+    "stored_mark",
     "with_record",
     "write_by_bucket",
     "write_keyed_state",
+    "write_marked",
     "write_report",
 ]

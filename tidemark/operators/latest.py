@@ -11,10 +11,10 @@ from tidemark.functions.envelope import (
     EPOCH,
     MILLISECOND,
     Mark,
+    after_mark,
     change_record,
     change_ts,
     key_columns,
-    mark_millis,
     order_expressions,
     order_values,
 )
@@ -66,7 +66,7 @@ def latest_state(changes: DataFrame, spec: TableSpec, since: Mark | None = None)
     any change of the key does, and a NULL time fails it either way.
     """
     if since is not None:
-        changes = changes.where(F.col("ts_ms") > mark_millis(since))
+        changes = after_mark(changes, since)
     return newest_changes(changes, spec).select("record", "op", change_ts().alias("ts"))
 
 

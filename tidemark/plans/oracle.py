@@ -163,6 +163,7 @@ ORACLE: dict[str, str] = {
         f"SELECT '{t}' AS name, op, ts_ms, pos, part AS partition, id FROM {t}_log"
         for t in ("customer", "part")
     ),
+    "compact_live_log": f"{LOG} {_LANDED}",
     "decode_envelope": f"{LOG} SELECT op, ts_ms, CASE WHEN has_after THEN id END AS id, "
     "CASE WHEN has_after THEN name END AS name, CASE WHEN has_after THEN bal END AS bal FROM log",
     "decode_envelope_wrapped": f"{LOG} SELECT op, ts_ms, CASE WHEN has_after THEN id END AS id, "
@@ -207,10 +208,15 @@ ORACLE: dict[str, str] = {
     "TIMESTAMP '0001-01-01 00:00:00') < TIMESTAMP '1970-01-01 00:00:00' AS is_floor "
     "FROM log WHERE op = 'd' AND op <> 'd'",
     "changed_since": f"{REFRESH} SELECT id, name, bal, op, ts FROM since",
+    "changed_since_by_day": f"{REFRESH} SELECT id, name, bal, op, ts FROM since",
+    "high_watermark_footers": f"{REFRESH} SELECT ts FROM mark",
     "changed_keys": f"{REFRESH} SELECT id FROM since",
     "rows_to_replace": f"{REFRESH} SELECT id, name, bal, ts FROM latest_1 "
     "WHERE id IN (SELECT id FROM since)",
     "delete_changed": f"{REFRESH} SELECT id, name, bal, ts FROM kept",
+    "rows_to_replace_stored": f"{REFRESH} SELECT id, name, bal, ts FROM latest_1 "
+    "WHERE id IN (SELECT id FROM since)",
+    "delete_few": f"{REFRESH} SELECT id, name, bal, ts FROM kept",
     "insert_changed": f"{REFRESH} SELECT id, name, bal, ts FROM latest_1 "
     "UNION ALL SELECT id, name, bal, ts FROM upserts",
     "apply_delta": _REFRESHED,

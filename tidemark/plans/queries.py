@@ -152,15 +152,13 @@ def land_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream the messages of two tables, each into a folder of its own."""
     path = fresh_dir(spark, "landing")
     specs = [CUSTOMER.spec, PART.spec]
-    running = streaming.land_topics(
+    streaming.land_topics(
         _message_stream(spark, sf_dir),
         specs,
         path,
         fresh_dir(spark, "progress"),
         trigger=AVAILABLE_NOW,
-    )
-    for stream in running.values():
-        stream.awaitTermination()
+    ).awaitTermination()
     landed = [
         (spec.name, sources.read_changes(spark, f"{path}/{spec.name}", spec)) for spec in specs
     ]
@@ -170,6 +168,27 @@ def land_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def compact_live_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log by name, compacted between the batches of its landing job and after them."""
+    path, messages, progress = (fresh_dir(spark, x) for x in ("landing", "messages", "progress"))
+    name = f"{_namespace(spark, 'live')}.customer"
+    live = None
+    for batch in (BATCH_1, BATCH_2[:2], BATCH_2[2:]):
+        arrived = sources.encode_envelope(_log(spark, sf_dir, batch), CUSTOMER.topic)
+        arrived.write.mode("append").parquet(messages)
+        stream = spark.readStream.schema("topic STRING, partition INT, value STRING")
+        streaming.land_changes(
+            stream.parquet(messages), SPEC, path, progress, trigger=AVAILABLE_NOW
+        ).awaitTermination()
+        live = live or sources.LiveLog(spark, name, SPEC, path, fresh_dir(spark, "packed"))
+        if batch is not BATCH_2[2:]:
+            live.compact()
+            live.purge()
+    live.sync()
+    return live.read().select(*_landed_columns())
+
+
 @query
 def decode_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode the log as messages and decode them."""
@@ -442,6 +461,24 @@ def changed_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.changed_since(_log(spark, sf_dir), SPEC, mark).select("record.*", "op", "ts")
 
 
+@query
+def changed_since_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a log laid out by day, of which days before the mark are not opened."""
+    path = fresh_dir(spark, "log")
+    sources.write_changes(_log(spark, sf_dir), path, by_day=True)
+    changes = sources.read_changes(spark, path, SPEC, by_day=True)
+    mark = ops.high_watermark(_latest_1(spark, sf_dir))
+    return ops.changed_since(changes, SPEC, mark).select("record.*", "op", "ts")
+
+
+@query
+def high_watermark_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mark of the stored latest table of batch 1, from the footers of its files."""
+    path = fresh_dir(spark, "marked")
+    ops.write_marked(_latest_1(spark, sf_dir), path)
+    return spark.range(1).select(fn.change_ts(F.lit(ops.stored_mark(spark, path))).alias("ts"))
+
+
 @query
 def changed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The keys that changed after the mark."""
@@ -461,6 +498,24 @@ def delete_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.delete_changed(_latest_1(spark, sf_dir), changed_keys(spark, sf_dir), SPEC)
 
 
+@query
+def rows_to_replace_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by keys that were written first, so that the planner knows how few they are."""
+    latest = _latest_1(spark, sf_dir)
+    mark = ops.high_watermark(latest)
+    keys = ops.store_keys(_log(spark, sf_dir), SPEC, mark, fresh_dir(spark, "keys"))
+    return ops.rows_to_replace(latest, keys, SPEC)
+
+
+@query
+def delete_few(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that a refresh leaves alone, by way of the few that it does not."""
+    latest = _latest_1(spark, sf_dir)
+    mark = ops.high_watermark(latest)
+    keys = ops.store_keys(_log(spark, sf_dir), SPEC, mark, fresh_dir(spark, "keys"))
+    return ops.delete_few(latest, keys, SPEC, fresh_dir(spark, "gone"))
+
+
 @query
 def insert_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest table with the new rows of a refresh, before any are removed."""

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -52,3 +54,43 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, purpose: str) -> str:
     """A new, not yet existing path below the shared folder."""
     return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for as long as a query is planned or started."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
+def _place(spark: SparkSession, path: str):
+    """A path and its file system, whatever that is."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder."""
+    where, files = _place(spark, path)
+    return files.exists(where)
+
+
+def make_dir(spark: SparkSession, path: str) -> None:
+    """Make a folder unless it is there."""
+    where, files = _place(spark, path)
+    files.mkdirs(where)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder and what is in it, if it is there."""
+    where, files = _place(spark, path)
+    files.delete(where, True)

@@ -1,6 +1,7 @@
 """Reading change logs, messages and source tables."""
 
 from tidemark.sources.changes import (
+    LiveLog,
     compact_log,
     create_change_table,
     create_namespace,
@@ -13,6 +14,7 @@ from tidemark.sources.messages import decode_envelope, encode_envelope, kafka_me
 from tidemark.sources.tables import conform
 
 __all__ = [
+    "LiveLog",
     "compact_log",
     "conform",
     "create_change_table",

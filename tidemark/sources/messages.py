@@ -77,8 +77,13 @@ def decode_envelope(
     messages = messages.where(F.col("value").isNotNull())
     value, payload = F.col("value"), payload_schema(spec)
     if fmt == "json":
-        wrapped = T.StructType([*payload.fields, T.StructField("payload", payload)])
-        decoded = F.from_json(value.cast("string"), wrapped, {"mode": "FAILFAST"})
+        text = value.cast("string")
+        bare = F.from_json(text, payload, {"mode": "FAILFAST"})
+        inside = T.StructType([T.StructField("payload", payload)])
+        # only what has no operation by itself is parsed again, as wrapped
+        wrapped = F.from_json(text, inside, {"mode": "FAILFAST"})["payload"]
+        messages = messages.withColumn("bare", bare)
+        decoded = F.when(F.col("bare.op").isNull(), wrapped).otherwise(F.col("bare"))
     elif fmt == "avro":
         from pyspark.sql.avro.functions import from_avro  # needs the spark-avro package
 
@@ -94,11 +99,6 @@ def decode_envelope(
     found = messages.select(
         decoded.alias("m"), F.col("partition").cast("int").alias("partition"), "value"
     )
-    if fmt == "json":
-        bare = F.struct(*(F.col(f"m.{x}").alias(x) for x in payload.names))
-        found = found.withColumn(
-            "m", F.when(F.col("m.payload").isNotNull(), F.col("m.payload")).otherwise(bare)
-        )
     row = F.coalesce("m.after", "m.before")
     broken = F.col("m.op").isNull() | row.isNull()
     if fmt == "json":

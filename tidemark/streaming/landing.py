@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Iterable, Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.schema import TableSpec
+from tidemark.session import exists
+from tidemark.sources.changes import BATCH, write_changes
 from tidemark.sources.messages import decode_envelope
 
 # Topics are named server.database.table; the group is the table.
@@ -17,8 +19,8 @@ TOPIC_PATTERN = r"^[^.]+\.[^.]+\.(.*)$"
 # Start what has arrived and stop, or keep running at an interval.
 AVAILABLE_NOW: Mapping[str, object] = {"availableNow": True}
 EVERY_MINUTE: Mapping[str, object] = {"processingTime": "60 seconds"}
-# Name of the query that reads a stream of all topics, and of its folder.
-ROUTER = "_messages"
+#: Bytes of shuffled envelopes that make one file, about.
+FILE_BYTES = 256 << 20
 
 
 def land_changes(
@@ -26,100 +28,93 @@ def land_changes(
     spec: TableSpec,
     path: str,
     checkpoint: str,
-    topic_pattern: str = TOPIC_PATTERN,
-    max_records: int | None = None,
-    trigger: Mapping[str, object] = EVERY_MINUTE,
-    compression: str = "gzip",
-    fmt: str = "json",
-    avro_schemas: Mapping[int, str] | None = None,
+    **options,
 ) -> StreamingQuery:
-    """Append the changes of one table to ``path`` as ``partition=N`` Parquet files.
+    """Append the changes of one table to ``path`` as ``batch=N/partition=P`` Parquet files.
 
-    ``messages`` is a stream of (``topic``, ``partition``, ``value``). Nothing is shuffled:
-    a task writes what it read, so a busy partition is as parallel as its source splits make
-    it. The file sink commits each batch once, also across restarts. ``max_records`` bounds
-    the rows of a file; the trigger interval bounds how long a change waits.
+    See :func:`land_topics`, which this is for one table.
     """
-    of_table = messages.where(F.regexp_extract("topic", topic_pattern, 1) == spec.name)
-    writer = (
-        decode_envelope(of_table, spec, fmt, avro_schemas)
-        .writeStream.format("parquet")
-        .partitionBy("partition")
-        .option("compression", compression)
-        .option("checkpointLocation", checkpoint)
-    )
-    if max_records:
-        writer = writer.option("maxRecordsPerFile", max_records)
-    return writer.trigger(**trigger).start(path)
+    return _start(messages, {spec: path.rstrip("/")}, checkpoint, **options)
 
 
-def route_topics(
+def land_topics(
     messages: DataFrame,
     specs: Iterable[TableSpec],
     path: str,
     checkpoint: str,
+    **options,
+) -> StreamingQuery:
+    """Land several tables by one query, each below ``path`` by name.
+
+    ``messages`` is a stream of (``topic``, ``partition``, ``value``). Each batch is read once,
+    decoded for one table after the other, and written to a folder ``batch=N`` of each. A batch
+    that is run again after a failure writes its folders anew, but for those that were complete,
+    so that every change lands once and no folder changes once it is complete. A landing folder
+    belongs to one checkpoint: another one would count its batches from 0 again, which is an error.
+
+    Files have sizes rather than counts: the rows of a batch are rebalanced by broker partition,
+    so that small ones are joined and a busy one is parted. Options:
+
+    ``topic_pattern``: its group is the table's name. ``trigger``: when to run. ``file_bytes``:
+    bytes of a file, about, before compression. ``max_records``: rows of a file at most.
+    ``by_day``: parts each batch by day of change too. ``compression``; ``fmt`` and
+    ``avro_schemas``: see :func:`~tidemark.sources.messages.decode_envelope`.
+    """
+    return _start(messages, {s: f"{path.rstrip('/')}/{s.name}" for s in specs}, checkpoint, **options)
+
+
+def _start(
+    messages: DataFrame,
+    targets: Mapping[TableSpec, str],
+    checkpoint: str,
     topic_pattern: str = TOPIC_PATTERN,
     trigger: Mapping[str, object] = EVERY_MINUTE,
+    file_bytes: int = FILE_BYTES,
+    max_records: int | None = None,
+    by_day: bool = False,
+    compression: str = "gzip",
+    fmt: str = "json",
+    avro_schemas: Mapping[int, str] | None = None,
 ) -> StreamingQuery:
-    """Copy the messages of the given tables into ``table=T`` folders, reading them once."""
+    spark = messages.sparkSession
+    if not exists(spark, f"{checkpoint}/metadata"):
+        held = [path for path in targets.values() if exists(spark, f"{path}/{BATCH}=0")]
+        if held:
+            raise ValueError(f"{held} were landed by another checkpoint than {checkpoint}")
     table = F.regexp_extract("topic", topic_pattern, 1)
+    wanted = messages.where(
+        F.col("value").isNotNull() & table.isin([spec.name for spec in targets])
+    ).select("topic", "partition", "value")
+
+    def write(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        # off in streams; it is what makes files by size, and the session is the stream's own
+        session.conf.set("spark.sql.adaptive.enabled", "true")
+        session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes))
+        todo = {s: f"{path}/{BATCH}={number}" for s, path in targets.items()}
+        todo = {s: path for s, path in todo.items() if not exists(session, f"{path}/_SUCCESS")}
+        shared = len(todo) > 1
+        if shared:  # tables share one read of the source
+            batch = batch.persist(StorageLevel.DISK_ONLY)
+        try:
+            for spec, path in todo.items():
+                own = batch.where(table == spec.name)
+                changes = decode_envelope(own, spec, fmt, avro_schemas)
+                write_changes(
+                    changes.hint("rebalance", "partition"),
+                    path,
+                    "overwrite",
+                    by_day=by_day,
+                    compression=compression,
+                    max_records=max_records,
+                )
+        finally:
+            if shared:
+                batch.unpersist()
+
     return (
-        messages.where(F.col("value").isNotNull() & table.isin([spec.name for spec in specs]))
-        .select("topic", "partition", "value", table.alias("table"))
-        .writeStream.format("parquet")
-        .partitionBy("table")
+        wanted.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
-        .start(path)
+        .start()
     )
-
-
-def land_topics(
-    messages: DataFrame | Callable[[TableSpec], DataFrame],
-    specs: Iterable[TableSpec],
-    path: str,
-    checkpoint: str,
-    topic_pattern: str = TOPIC_PATTERN,
-    trigger: Mapping[str, object] = EVERY_MINUTE,
-    **options,
-) -> dict[str, StreamingQuery]:
-    """Land several tables, each below ``path`` by name, with a query of its own.
-
-    Tables have different schemas, so they cannot share a file sink. Pass a function of the
-    spec to read each table's topic only. A single stream of all topics is read once, whatever
-    the number of tables, by a query named ``ROUTER`` here: it parts the messages by table below
-    ``path/_messages``, and each table's query reads its own part. File sinks and their logs
-    make every step exact across restarts; files that all tables have read may be removed.
-    A trigger that stops when all is read waits for the router first.
-    """
-    specs, queries = list(specs), {}
-    if not callable(messages):
-        routed = f"{path}/{ROUTER}"
-        router = route_topics(
-            messages, specs, routed, f"{checkpoint}/{ROUTER}", topic_pattern, trigger
-        )
-        queries[ROUTER] = router
-        if trigger.get("availableNow") or trigger.get("once"):
-            router.awaitTermination()
-        names = ("topic", "partition", "value")
-        schema = T.StructType([messages.schema[x] for x in names]).add("table", "string")
-        spark = messages.sparkSession
-
-        def of_table(spec: TableSpec) -> DataFrame:
-            # a filter on the folder's column, so no other table's files are opened
-            parts = spark.readStream.schema(schema).parquet(routed)
-            return parts.where(F.col("table") == spec.name).drop("table")
-
-    else:
-        of_table = messages
-    for spec in specs:
-        queries[spec.name] = land_changes(
-            of_table(spec),
-            spec,
-            f"{path}/{spec.name}",
-            f"{checkpoint}/{spec.name}",
-            topic_pattern=topic_pattern,
-            trigger=trigger,
-            **options,
-        )
-    return queries

@@ -7,13 +7,13 @@ versions and files are Spark's affair. The state itself can be read as a table a
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
-from contextlib import contextmanager
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark import session
 from tidemark.functions.envelope import (
     change_record,
     change_ts,
@@ -49,22 +49,6 @@ def newest_by_key(changes: DataFrame, spec: TableSpec) -> DataFrame:
     return changed.groupBy(*keys).agg(F.max_by("change", "place").alias("newest"))
 
 
-@contextmanager
-def _settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
-    """Session settings for as long as a query is started; it keeps those it was started with."""
-    before = {name: spark.conf.get(name, None) for name in values}
-    for name, value in values.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
-
-
 def latest_stream_state(
     changes: DataFrame,
     spec: TableSpec,
@@ -91,7 +75,7 @@ def latest_stream_state(
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
     )
-    with _settings(changes.sparkSession, settings):
+    with session.settings(changes.sparkSession, settings):
         if sink is None:
             return writer.format("noop").start()
         return writer.foreachBatch(sink).start()
@@ -111,7 +95,7 @@ def read_stream_state(
     reader = spark.read.format("statestore")
     if batch is not None:
         reader = reader.option("batchId", batch)
-    with _settings(spark, settings):
+    with session.settings(spark, settings):
         held = reader.load(checkpoint)
     # the buffer of max_by: the value, and what it was greatest by
     newest = F.col("value.valueWithExtremumOrdering")
