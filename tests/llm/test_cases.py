@@ -107,3 +107,26 @@ def test_letterless_texts_go_with_or_without_labels(spark, lang):
     found = ppm_langid.known_language(docs, ppm_langid.fit(docs))
     assert found.schema == docs.schema
     assert sorted(r["doc_id"] for r in found.collect()) == [4, 5]
+
+
+@pytest.mark.parametrize("copies", [200, 10_000])
+def test_no_language_is_lost_to_copies(spark, copies):
+    """Four languages with two texts each, in thousands of rows without ids."""
+    texts = {f"L{k}": [chr(97 + 5 * k) * 4 + " " + chr(99 + 5 * k) * 7, chr(98 + 5 * k) * 9] for k in range(4)}
+    rows = [(None, texts[lang][k % 2], lang, "a") for lang in texts for k in range(copies)]
+    docs = documents(spark, rows)
+    sample = ppm_langid.bounded_sample(docs.select("doc_id", "text", "lang"), 2_000, "doc_id", "lang")
+    assert sorted((r["lang"], r["text"]) for r in sample.collect()) == sorted(
+        (lang, t) for lang, own in texts.items() for t in own
+    )
+    trees = ppm_langid.fit(docs)
+    assert trees.langs == sorted(texts)
+    found = ppm_langid.predict(docs.limit(1), trees).collect()
+    assert found[0]["lang_pred"] in texts
+
+
+def test_the_sample_is_bounded_on_both_sides(spark):
+    rows = [(k, f"text {k}", "en", "a") for k in range(900)] + [(k, f"texte {k}", "fr", "a") for k in range(5)]
+    docs = documents(spark, rows).select("doc_id", "text", "lang")
+    found = ppm_langid.bounded_sample(docs, 100, "doc_id", "lang").groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in found} == {"en": 100, "fr": 5}

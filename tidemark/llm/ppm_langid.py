@@ -110,10 +110,12 @@ def count_grams(texts: list[bytes], order: int) -> Iterator[tuple[int, np.ndarra
 
 
 def bounded_sample(rows: DataFrame, per_lang: int, id_col: str, lang_col: str) -> DataFrame:
-    """At most ``per_lang`` rows of each language, the least by a hash of the row.
+    """At most ``per_lang`` different rows of each language, the least by a hash of the row.
 
-    Rows whose hash is too great to be among them are passed over before the shuffle, so that a
-    language with most of the rows moves no more than others.
+    Rows of equal id and text count once, so no language is learned from copies of one text. Rows
+    whose hash is too great to be among them are passed over before the shuffle, and copies are
+    put together before it, so that neither a language nor a text with most of the rows moves
+    more than others.
     """
     private = rows.select(
         F.col(lang_col).alias("lang"),
@@ -121,14 +123,15 @@ def bounded_sample(rows: DataFrame, per_lang: int, id_col: str, lang_col: str) -
         F.col("text"),
         F.pmod(F.xxhash64(F.col(id_col), F.col("text")), F.lit(DRAWS)).alias("draw"),
     )
-    counted = private.groupBy("lang").agg(F.count("*").alias("n")).collect()
-    # twice the share that is wanted, and some more for languages with few rows
-    bound = {r["lang"]: min(DRAWS, (2 * per_lang + 50) * DRAWS // r["n"] + 1) for r in counted}
+    counted = private.groupBy("lang").agg(F.approx_count_distinct("draw", 0.05).alias("n")).collect()
+    # twice the share of the different rows that is wanted, and some more where there are few
+    bound = {r["lang"]: min(DRAWS, (2 * per_lang + 50) * DRAWS // max(1, r["n"]) + 1) for r in counted}
     bounds = F.create_map(*(F.lit(x) for pair in sorted(bound.items()) for x in pair))
     if bound:
         private = private.where(F.col("draw") < bounds[F.col("lang")])
+    different = private.groupBy("lang", "draw", "id", "text").agg(F.count("*"))
     order = Window.partitionBy("lang").orderBy("draw", "id", "text")
-    ranked = private.withColumn("rank", F.row_number().over(order))
+    ranked = different.withColumn("rank", F.row_number().over(order))
     return ranked.where(F.col("rank") <= per_lang).select("lang", "text")
 
 
