@@ -1,0 +1,42 @@
+"""Host verdicts decide which documents stay."""
+
+from __future__ import annotations
+
+import pytest
+from cases import documents
+
+from tidemark.llm import host_rules
+from tidemark.llm.queries import QUERIES
+
+PLAIN = " ".join(f"word{k}" for k in range(60))
+SYMBOLS = PLAIN + " ### $$$ %%% &&& ***"
+LINES = "\n".join([*(" ".join(f"w{k}x{j}" for j in range(12)) for k in range(10)), *["again"] * 10])
+
+
+def kept(spark, rows):
+    docs = documents(spark, [(k, t, "en", host) for k, (t, host) in enumerate(rows)])
+    return {r["doc_id"]: r["kept"] for r in host_rules.judge(docs).collect()}
+
+
+@pytest.mark.parametrize("junk", [SYMBOLS, LINES])
+def test_a_rule_holds_where_it_fails_often(spark, junk):
+    """A lone failure of a large host stands, failures of a host that has many do not."""
+    rows = [(PLAIN + f" {k}", "clean") for k in range(400)] + [(junk, "clean")]
+    rows += [(PLAIN + f" {k}", "mixed") for k in range(60)] + [(junk + f" {k}", "mixed") for k in range(40)]
+    rows += [(PLAIN + f" {k}", "other") for k in range(80)] + [(junk + f" {k}", "other") for k in range(20)]
+    found = kept(spark, rows)
+    for k, (text, host) in enumerate(rows):
+        assert found[k] == (not text.startswith(junk) or host == "clean"), (text, host)
+
+
+def test_a_host_of_junk_goes_whole(spark):
+    rows = [("short", "bad")] * 90 + [(PLAIN, "bad")] * 10
+    rows += [(PLAIN, f"h{k % 5}") for k in range(100)] + [("short", "h1")] * 5
+    found = kept(spark, rows)
+    assert not any(found[k] for k in range(100))
+    assert all(found[k] for k in range(100, 200)) and not any(found[k] for k in range(200, 205))
+
+
+def test_verdicts_change_results_of_the_query(spark, small):
+    found = QUERIES["op4_host_rules"](spark, small).collect()
+    assert any(r["kept"] == r["base_failed"] for r in found)
