@@ -18,6 +18,8 @@ shares of the sources in all tokens, so all queues last to the end.
 
 from __future__ import annotations
 
+import json
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator, Mapping
 from fractions import Fraction
@@ -48,11 +50,29 @@ ENCODED = (
 
 
 class WordIds:
-    """Ids of a text as little-endian 32-bit integers, each distinct word encoded once."""
+    """Ids of a text as little-endian 32-bit integers.
+
+    The vocabulary splits a text into words before merging, so the tokenizers library's model is
+    asked for each distinct word once. Strips that may hold a special token go through it whole.
+    """
 
     def __init__(self, path: str):
+        from tokenizers import models
+
         self.bpe = forced_bpe.load(path)
-        self.known = Memory(lambda word: np.array(self.bpe._word(word), "<u4").tobytes())
+        with open(path, encoding="utf-8") as file:
+            made = json.load(file)["model"]
+        merges = [tuple(x.split(" ") if isinstance(x, str) else x) for x in made["merges"]]
+        # without a cache: words come here once
+        self.model = models.BPE(
+            made["vocab"], merges, cache_capacity=0, end_of_word_suffix=forced_bpe.END
+        )
+        self.known = Memory(self._word)
+
+    def _word(self, word: str) -> bytes:
+        if not (word.isascii() and word.isalpha()):  # letters stand for themselves
+            word = "".join(map(self.bpe.letter.__getitem__, word.encode()))
+        return array("I", [x.id for x in self.model.tokenize(word)]).tobytes()
 
     def __call__(self, text: bytes) -> bytes:
         out = []
