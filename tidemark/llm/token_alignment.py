@@ -54,6 +54,21 @@ class Aligned:
 NOTHING = Aligned(0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
+class Spelling:
+    """Byte strings by number, joined by gathering them from one array."""
+
+    def __init__(self, strings: list[bytes]):
+        self.flat = np.frombuffer(b"".join(strings), np.uint8)
+        self.sizes = np.array(list(map(len, strings)), np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def join(self, numbers: np.ndarray) -> bytes:
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        shift = np.repeat(self.starts[numbers] - (ends - sizes), sizes)
+        return self.flat[np.arange(len(shift)) + shift].tobytes()
+
+
 class Aligner:
     """Both tokenizers, and the bytes of each of their tokens."""
 
@@ -66,30 +81,29 @@ class Aligner:
         self.a.library.encode_special_tokens = True
         byte = {c: b for b, c in enumerate(self.a.letters)}
         vocab = self.a.library.get_vocab(with_added_tokens=False)
-        self.bytes_a = [b""] * (max(vocab.values()) + 1)
+        tokens_a = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
-            self.bytes_a[i] = bytes(byte[c] for c in token)
+            tokens_a[i] = bytes(byte[c] for c in token)
         self.b = sentencepiece.SentencePieceProcessor(model_file=sentences)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
-        self.bytes_b = [
+        tokens_b = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode()
             for i, p in enumerate(pieces)
         ]
         # a text may be cut before a space if no token spans the place
         self.cuttable = not any(SPACE in p.lstrip(SPACE) for p in pieces)
-        self.size_a, self.size_b = (np.array(list(map(len, x))) for x in (self.bytes_a, self.bytes_b))
-        self.decimals = list(map(str, range(max(len(self.bytes_a), len(self.bytes_b)))))
+        self.bytes_a, self.bytes_b = Spelling(tokens_a), Spelling(tokens_b)
+        # each id with every sign that may follow it
+        most = max(len(tokens_a), len(tokens_b))
+        self.shown = Spelling([f"{i}{sign}".encode() for i in range(most) for sign in ",|;"])
 
     def tokens(self, strip: bytes) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of a strip that begins with a space, or None if their bytes are not the strip's."""
         text = strip.decode("utf-8", "replace")
         a = np.frombuffer(self.a(text), "<u4").astype(np.int64)
-        own = self.b.encode(text[1:], out_type=int)
-        if b"".join(map(self.bytes_a.__getitem__, a)) != strip:
-            return None
-        if b"".join(map(self.bytes_b.__getitem__, own)) != strip:
-            return None
-        return a, np.array(own, np.int64)
+        b = np.array(self.b.encode(text[1:], out_type=int), np.int64)
+        same = self.bytes_a.join(a) == strip and self.bytes_b.join(b) == strip
+        return (a, b) if same else None
 
     def align(self, text: bytes) -> Aligned:
         if not text:
@@ -105,8 +119,9 @@ class Aligner:
             if ids is None:
                 return NOTHING
             a, b = ids
-            ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
-            ends = np.union1d(ends_a, ends_b)
+            ends_a, ends_b = np.cumsum(self.bytes_a.sizes[a]), np.cumsum(self.bytes_b.sizes[b])
+            ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+            ends = ends[np.diff(ends, prepend=0) > 0]
             held = a[np.searchsorted(ends_a, ends)] << 32 | b[np.searchsorted(ends_b, ends)]
             found, n = np.unique(held, return_counts=True)
             if len(pairs):
@@ -115,23 +130,25 @@ class Aligner:
             else:
                 pairs, times = found, n
             # tokens of each that end with a token of the other
-            cuts_a = np.nonzero(np.isin(ends_a, ends_b, assume_unique=True))[0] + 1
-            cuts_b = np.nonzero(np.isin(ends_b, ends_a, assume_unique=True))[0] + 1
+            cuts_a = np.nonzero(ends_b[np.searchsorted(ends_b, ends_a)] == ends_a)[0] + 1
+            cuts_b = np.nonzero(ends_a[np.searchsorted(ends_a, ends_b)] == ends_b)[0] + 1
             if n_groups:
                 digest.update(b";")
-            digest.update(self.spelled(a.tolist(), b.tolist(), cuts_a.tolist(), cuts_b.tolist()))
+            digest.update(self.spelled(a, b, cuts_a, cuts_b))
             n_a, n_b, n_groups = n_a + len(a), n_b + len(b), n_groups + len(cuts_a)
         return Aligned(n_a, n_b, n_groups, digest.hexdigest(), pairs, times)
 
-    def spelled(self, a: list[int], b: list[int], cuts_a: list[int], cuts_b: list[int]) -> bytes:
-        """The groups as ``a1,a2|b1;a3|b2,b3``."""
-        shown_a = list(map(self.decimals.__getitem__, a))
-        shown_b = list(map(self.decimals.__getitem__, b))
-        out, i, j = [], 0, 0
-        for k, m in zip(cuts_a, cuts_b, strict=True):
-            out.append(",".join(shown_a[i:k]) + "|" + ",".join(shown_b[j:m]))
-            i, j = k, m
-        return ";".join(out).encode()
+    def spelled(self, a: np.ndarray, b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> bytes:
+        """The groups as ``a1,a2|b1;a3|b2,b3``, all tokens with the sign behind them in one order."""
+        own_a, own_b = 3 * a, 3 * b
+        own_a[cuts_a - 1] += 1
+        own_b[cuts_b - 1] += 2
+        sizes_a, sizes_b = np.diff(cuts_a, prepend=0), np.diff(cuts_b, prepend=0)
+        # a group's tokens of A stand behind all groups before it, those of B behind these too
+        at = np.empty(len(a) + len(b), np.int64)
+        at[np.arange(len(a)) + np.repeat(cuts_b - sizes_b, sizes_a)] = own_a
+        at[np.arange(len(b)) + np.repeat(cuts_a, sizes_b)] = own_b
+        return self.shown.join(at)[:-1]
 
 
 @lru_cache(2)
