@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tidemark.llm import decontaminate, ppm_langid, suffix_dedup
+from tidemark.llm import decontaminate, ppm_langid, simhash_vptree, suffix_dedup
 
 
 def test_strips_count_and_code_alike(monkeypatch):
@@ -177,3 +177,16 @@ def test_every_context_of_the_sample_is_kept(spark):
     assert (ppm_langid.code_lengths(texts, trees) == ppm_langid.code_lengths(texts, whole)).all()
     found = ppm_langid.predict(spark.createDataFrame(rows[120:], columns), trees).collect()
     assert sum(r["lang_pred"] == "ab"[r["doc_id"] % 2] for r in found) == 40
+
+
+def test_stars_join_what_links_join():
+    rng = np.random.default_rng(1)
+    for _ in range(100):
+        n, m = int(rng.integers(1, 30)), int(rng.integers(0, 40))
+        a, b = rng.integers(-n, n, m), rng.integers(-n, n, m)
+        root = {x: x for x in range(-n, n)}
+        for _ in range(2 * n):
+            for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                root[x] = root[y] = min(root[x], root[y])
+        u, v = simhash_vptree.stars(iter([(a[: m // 2], b[: m // 2]), (a[m // 2 :], b[m // 2 :])]))
+        assert dict(zip(u.tolist(), v.tolist(), strict=True)) == {x: c for x, c in root.items() if c != x}

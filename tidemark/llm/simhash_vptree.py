@@ -8,8 +8,9 @@ those boundary fingerprints go to both sides, so every linked pair meets in some
 goes on splitting in the same way and compares what is left exactly. The tree is made from a
 sample, which decides how even the shards are and nothing else.
 
-Shards emit a spanning forest where fingerprints crowd together, so the number of links stays in
-proportion to the number of fingerprints, never to its square. Copies of a text have one
+Where fingerprints crowd together a spanning forest is searched, and a shard hands on one link from
+each fingerprint to the least that it reaches there, so the number of links stays in proportion to
+the number of fingerprints, never to its square. Copies of a text have one
 fingerprint and are joined back to its component at the end.
 """
 
@@ -240,8 +241,35 @@ def links(points: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndar
             todo += parts
 
 
+def stars(links: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """What the links join, as a link from each point to the least that it reaches."""
+    above: dict[int, int] = {}
+
+    def least(x: int) -> int:
+        top = x
+        while above[top] != top:
+            top = above[top]
+        while above[x] != top:
+            above[x], x = top, above[x]
+        return top
+
+    for a, b in links:
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            above.setdefault(x, x)
+            above.setdefault(y, y)
+            x, y = least(x), least(y)
+            if x != y:
+                above[max(x, y)] = min(x, y)
+    members = [x for x in above if least(x) != x]
+    return np.array(members, np.int64), np.array([above[x] for x in members], np.int64)
+
+
 def fingerprint_links(distinct: DataFrame, radius: int = 3) -> DataFrame:
-    """``u, v``: links between distinct fingerprints (column ``fp``) that give all components."""
+    """``u, v``: links between distinct fingerprints (column ``fp``) that give all components.
+
+    A shard hands on what its links join as stars, so that only groups that span shards are left
+    to be put together.
+    """
     spark = distinct.sparkSession
     n = distinct.count()
     shards = -(-n // SHARD)
@@ -266,10 +294,10 @@ def fingerprint_links(distinct: DataFrame, radius: int = 3) -> DataFrame:
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard in whole_shards(batches):
-            for a, b in links(shard.view(np.uint64), radius):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["u", "v"]
-                )
+            found = links(shard.view(np.uint64), radius)
+            u, v = stars((a.view(np.int64), b.view(np.int64)) for a, b in found)
+            if len(u):
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
     dealt = arrow_map(distinct.select("fp"), deal, "shard long, fp long")
     dealt = dealt.repartition("shard").sortWithinPartitions("shard")
