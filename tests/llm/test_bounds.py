@@ -190,3 +190,72 @@ def test_stars_join_what_links_join():
                 root[x] = root[y] = min(root[x], root[y])
         u, v = simhash_vptree.stars(iter([(a[: m // 2], b[: m // 2]), (a[m // 2 :], b[m // 2 :])]))
         assert dict(zip(u.tolist(), v.tolist(), strict=True)) == {x: c for x, c in root.items() if c != x}
+
+
+@pytest.mark.parametrize("shards", [1, 32, 1024])
+def test_copies_of_fingerprints_are_bounded(monkeypatch, shards):
+    """At any size a fingerprint has a copy a block, and every link meets in a shard."""
+    monkeypatch.setattr(simhash_vptree, "SHARD", 64)
+    rng = np.random.default_rng(2)
+    points = rng.integers(0, 1 << 64, 48 * shards, dtype=np.uint64)
+    flips = np.uint64(1) << rng.integers(0, 64, (3, 16 * shards)).astype(np.uint64)
+    near = points[: 16 * shards] ^ np.bitwise_or.reduce(flips)
+    points = np.concatenate([points, near])
+    bits = simhash_vptree.part_bits(len(points), 3)
+    assert bits == (shards - 1).bit_length()
+    naming = simhash_vptree.naming_bits(points, bits, 3)
+    trees = simhash_vptree.part_trees(points, 2 * 64, naming, 3)
+    which, shard = simhash_vptree.to_parts(points, trees, naming, 3)
+    assert np.bincount(which).min() >= 1 and len(which) <= 10 * len(points)
+    assert np.bincount(np.unique(shard, return_inverse=True)[1]).max() <= 4 * 64
+    own = [set() for _ in points]
+    for k, s in zip(which.tolist(), shard.tolist(), strict=True):
+        own[k].add(s)
+    assert all(own[k] & own[48 * shards + k] for k in range(16 * shards))
+
+
+def test_uneven_parts_are_split(monkeypatch):
+    """A few crowds of fingerprints, whose bits hardly part them, among bits that all share."""
+    monkeypatch.setattr(simhash_vptree, "SHARD", 64)
+    rng = np.random.default_rng(3)
+    centres = rng.integers(0, 1 << 64, 6, dtype=np.uint64) & ~np.uint64(0xFF00FF00FF00FF)
+    flips = np.uint64(1) << rng.integers(0, 64, (6, 1800)).astype(np.uint64)
+    flips = np.where(rng.random(flips.shape) < 0.6, flips, np.uint64(0))
+    points = np.unique(centres[rng.integers(0, 6, 1800)] ^ np.bitwise_xor.reduce(flips))
+    naming = simhash_vptree.naming_bits(points[::2], simhash_vptree.part_bits(len(points), 3), 3)
+    trees = simhash_vptree.part_trees(points[::2], 64, naming, 3)
+    assert trees
+    which, shard = simhash_vptree.to_parts(points, trees, naming, 3)
+    order = np.argsort(shard, kind="stable")
+    groups = np.split(order, np.nonzero(np.diff(shard[order]))[0] + 1)
+    assert max(map(len, groups)) < len(points) / 2
+    root = {x: x for x in points.tolist()}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for group in groups:
+        for a, b in simhash_vptree.links(points[which[group]], 3):
+            assert (np.bitwise_count(a ^ b) <= 3).all()
+            for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                root[top(x)] = top(y)
+    for x in points:
+        for y in points[np.bitwise_count(points ^ x) <= 3].tolist():
+            assert top(int(x)) == top(y)
+
+
+@pytest.mark.parametrize("n", [0, 1, 40, 500])
+def test_long_texts_have_all_shingles(monkeypatch, n):
+    rng = np.random.default_rng(4)
+    gaps = [" ", "  ", "\n", "\t \x0b", "\u00a0"]
+    text = "".join(f"W{rng.integers(0, 90)}{gaps[rng.integers(0, 5)]}" for _ in range(n)).encode()
+    text = b" " * 9 + text + b" " * 300
+    whole = [simhash_vptree.shingles(text, k) for k in (1, 3, 700)]
+    prints = simhash_vptree.simhashes([text, b"a b", text], 3, 42)
+    for strip in (1, 7, 64):
+        monkeypatch.setattr(simhash_vptree, "STRIP", strip)
+        for k, want in zip((1, 3, 700), whole, strict=True):
+            assert [x for run in simhash_vptree.shingle_runs(text, k) for x in run] == want
+        assert (simhash_vptree.simhashes([text, b"a b", text], 3, 42) == prints).all()

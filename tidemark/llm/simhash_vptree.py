@@ -1,12 +1,15 @@
 """SimHash near-duplicates, joined exactly through vantage-point trees.
 
 Fingerprints within ``radius`` bits are linked; linked fingerprints, over any number of links,
-form a component. A tree of vantage points splits the distinct fingerprints by their Hamming
-distance to a vantage point. By the triangle inequality two fingerprints within the radius can
-only be parted by a split at distance ``cut`` if the farther one lies in ``[cut, cut + radius)``;
-those boundary fingerprints go to both sides, so every linked pair meets in some shard. Each shard
-goes on splitting in the same way and compares what is left exactly. The tree is made from a
-sample, which decides how even the shards are and nothing else.
+form a component. Two fingerprints within the radius agree in one of ``radius + 1`` blocks of bits,
+so a fingerprint goes to one part for each block, named by some of the block's bits. Their number
+grows with the table: parts keep their size, and a fingerprint has ``radius + 1`` copies however
+many there are. A tree of vantage points splits a part by the distance to a vantage point. By the
+triangle inequality two fingerprints within the radius can only be parted by a split at distance
+``cut`` if the farther one lies in ``[cut, cut + radius)``; those boundary fingerprints go to both
+sides, so every linked pair meets in some leaf, where it is compared exactly. Parts that are much
+larger than the others are split that way into shards before they are shuffled. These trees are
+made from a sample, which decides how even the shards are and nothing else.
 
 Where fingerprints crowd together a spanning forest is searched, and a shard hands on one link from
 each fingerprint to the least that it reaches there, so the number of links stays in proportion to
@@ -16,6 +19,7 @@ fingerprint and are joined back to its component at the end.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Mapping
 
 import numpy as np
@@ -24,15 +28,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_map, stage, utf8
+from tidemark.llm.common import arrow_map, pieces, stage, utf8
 
-#: Members of a shard aimed at, and the size up to which a task compares all with all.
-SHARD, BUCKET = 32_768, 1024
+#: Members of a part aimed at, and the size up to which a task compares all with all.
+SHARD, BUCKET = 65_536, 1024
+#: Times that size, from which a part is split into shards before it is shuffled.
+UNEVEN = 2
 GROWTH = 1.7
-#: Fingerprints from which the tree of shards is made: this many per shard, and at most.
+#: Fingerprints from which the trees of shards are made: this many per part, and at most.
 SAMPLE_PER_SHARD, SAMPLE_MOST = 64, 1_000_000
 #: Hashes that a task turns into bits at once.
 HASHES = 32_768
+#: Bytes of a text whose words are taken at once.
+STRIP = 1 << 18
+SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
 def _bit_counts(hashes: list[int], starts: list[int]) -> np.ndarray:
@@ -55,6 +64,24 @@ def shingles(text: bytes, length: int) -> list[bytes]:
     return list(map(b" ".join, zip(*(words[k:] for k in range(length)), strict=False)))
 
 
+def shingle_runs(text: bytes, length: int) -> Iterator[list[bytes]]:
+    """The shingles of a text in runs, so that a long one is never held as words."""
+    if len(text) <= STRIP:
+        yield shingles(text, length)
+        return
+    at, held, many = 0, [], False
+    while at < len(text):
+        gap = SPACE.search(text, at + STRIP)
+        end = gap.start() if gap else len(text)
+        held += text[at:end].lower().split()
+        if len(held) >= length:
+            yield list(map(b" ".join, zip(*(held[k:] for k in range(length)), strict=False)))
+            many, held = True, held[len(held) - length + 1 :]
+        at = end
+    if not many and held:
+        yield [b" ".join(held)]
+
+
 def simhashes(texts: list[bytes], length: int, seed: int) -> np.ndarray:
     """SimHash of each text over XXH64 of its shingles; 0 for a text without words."""
     digest = xxhash.xxh64_intdigest
@@ -72,13 +99,14 @@ def simhashes(texts: list[bytes], length: int, seed: int) -> np.ndarray:
             hashes.clear()
 
     for row, text in enumerate(texts):
-        parts = shingles(text, length)
-        if len(parts) > HASHES:
-            count = np.zeros((1, 64), dtype=np.int64)
-            for k in range(0, len(parts), HASHES):
-                count += _bit_counts([digest(x, seed) for x in parts[k : k + HASHES]], [0])
-            out[row] = _pack(count, np.array([len(parts)]))[0]
-        elif parts:
+        if len(text) > STRIP:
+            count, total = np.zeros((1, 64), dtype=np.int64), 0
+            for parts in shingle_runs(text, length):
+                for k in range(0, len(parts), HASHES):
+                    count += _bit_counts([digest(x, seed) for x in parts[k : k + HASHES]], [0])
+                total += len(parts)
+            out[row] = _pack(count, np.array([total]))[0]
+        elif parts := shingles(text, length):
             rows.append(row)
             starts.append(len(hashes))
             hashes += [digest(x, seed) for x in parts]
@@ -104,7 +132,8 @@ def fingerprints(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = simhashes(batch.column(1).to_pylist(), length, seed)
+            fps = [simhashes(texts, length, seed) for _, texts in pieces(batch.column(1))]
+            fps = np.concatenate(fps or [np.zeros(0, np.int64)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(fps), *batch.columns[2:]], ["doc_id", "fp", *names]
             )
@@ -190,6 +219,72 @@ def to_shards(
     return tuple(np.concatenate(x) for x in zip(*done, strict=True))
 
 
+def part_bits(n: int, radius: int) -> int:
+    """Bits that tell the parts of one block from each other; 0 where one part holds all."""
+    return min(64 // (radius + 1), (-(-n // SHARD) - 1).bit_length() if n else 0)
+
+
+def naming_bits(sample: np.ndarray, bits: int, radius: int) -> np.ndarray:
+    """The bits of every block that name its parts: those nearest to being set in half."""
+    width = 64 // (radius + 1)
+    places = np.arange(width * (radius + 1), dtype=np.uint64)
+    share = [float(np.mean(sample >> k & np.uint64(1))) if len(sample) else 0.5 for k in places]
+    far = np.abs(np.array(share) - 0.5).reshape(radius + 1, width)
+    first = np.argsort(far, axis=1, kind="stable")[:, :bits]
+    return first.astype(np.uint64) + np.arange(radius + 1, dtype=np.uint64)[:, None] * np.uint64(width)
+
+
+def part_keys(points: np.ndarray, naming: np.ndarray) -> Iterator[np.ndarray]:
+    """The part of each point in one block after the other."""
+    for block, places in enumerate(naming):
+        keys = np.full(len(points), block, np.uint64)
+        for k in places:
+            keys = keys << np.uint64(1) | points >> k & np.uint64(1)
+        yield keys.view(np.int64)
+        if not len(places):
+            break
+
+
+def by_key(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each key and the places where it stands."""
+    order = np.argsort(keys, kind="stable")
+    cuts = np.nonzero(np.diff(keys[order]))[0] + 1
+    for own in np.split(order, cuts) if len(order) else ():
+        yield int(keys[own[0]]), own
+
+
+def part_trees(
+    sample: np.ndarray, members: int, naming: np.ndarray, radius: int
+) -> dict[int, list[tuple[int, int, int, int]]]:
+    """The trees of the parts that hold more than ``members`` of the sample."""
+    trees = {}
+    for keys in part_keys(sample, naming):
+        for key, own in by_key(keys):
+            if nodes := shard_tree(sample[own], members, radius):
+                trees[key] = nodes
+    return trees
+
+
+def to_parts(
+    points: np.ndarray,
+    trees: dict[int, list[tuple[int, int, int, int]]],
+    naming: np.ndarray,
+    radius: int,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Index of a point and shard, for every shard of every part that the point belongs to."""
+    split = np.array(list(trees), np.int64)
+    done = [(np.zeros(0, np.int64),) * 2]
+    for keys in part_keys(points, naming):
+        uneven = np.isin(keys, split)
+        even = np.nonzero(~uneven)[0]
+        done.append((even, keys[even] << 32))
+        rest = np.nonzero(uneven)[0]
+        for key, at in by_key(keys[rest]):
+            which, shard = to_shards(points[rest[at]], trees[key], radius)
+            done.append((rest[at][which], (key << 32) + shard))
+    return tuple(np.concatenate(x) for x in zip(*done, strict=True))
+
+
 def _crowd(points: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """A spanning forest by search from point to point over those not yet reached."""
     left = points
@@ -272,21 +367,22 @@ def fingerprint_links(distinct: DataFrame, radius: int = 3) -> DataFrame:
     """
     spark = distinct.sparkSession
     n = distinct.count()
-    shards = -(-n // SHARD)
-    size = min(SAMPLE_MOST, SAMPLE_PER_SHARD * shards)
-    nodes: list[tuple[int, int, int, int]] = []
-    if shards > 1:
+    bits = part_bits(n, radius)
+    sample = np.zeros(0, np.uint64)
+    if bits:
+        size = min(SAMPLE_MOST, SAMPLE_PER_SHARD * -(-n // SHARD))
         drawn = distinct.select("fp").where(
-            F.pmod(F.xxhash64("fp"), F.lit(1_000_000)) <= int(1_000_000 * size / n) + 1
+            F.pmod(F.xxhash64("fp"), F.lit(1_000_000_000)) <= int(1_000_000_000 * size / n) + 1
         )
-        sample = np.array([r["fp"] for r in drawn.collect()], dtype=np.int64).view(np.uint64)
-        nodes = shard_tree(sample, max(8, len(sample) * SHARD // n), radius)
-    tree = spark.sparkContext.broadcast(nodes)
+        sample = drawn.toArrow().column("fp").to_numpy().view(np.uint64)
+    naming = naming_bits(sample, bits, radius)
+    members = max(8, UNEVEN * len(sample) * SHARD // max(n, 1))
+    trees = spark.sparkContext.broadcast(part_trees(sample, members, naming, radius))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             points = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            which, shard = to_shards(points, tree.value, radius)
+            which, shard = to_parts(points, trees.value, naming, radius)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(shard, pa.int64()), pa.array(points[which].view(np.int64))],
                 ["shard", "fp"],
