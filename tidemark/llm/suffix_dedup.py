@@ -393,6 +393,8 @@ def dealt_spans(bodies: DataFrame, length: int) -> DataFrame:
         bodies.select("rid", "lo", "n", "body"), run, "w binary, rid long, lo int, n long"
     )
     repeated = windows.groupBy("w").agg(F.sum("n").alias("all")).where("all > 1").select("w")
+    # written, so that the join has plain shuffles on both sides and a hot window can be split
+    repeated = stage(repeated, "windows")
     found = windows.where("n = 1").join(repeated, "w", "left_semi")
     return found.select("rid", "lo", (F.col("lo") + length).cast("int").alias("hi"))
 
