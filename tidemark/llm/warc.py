@@ -16,10 +16,12 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,6 +117,68 @@ def plain_text(page: str) -> str:
     return "\n".join(x for x in lines if x)
 
 
+def codings(http: list[str], name: str) -> list[str]:
+    """The codings that a head's field names, in the order they were applied."""
+    lines = (x.partition(":") for x in http[1:])
+    told = (v for k, _, v in lines if k.strip().lower() == name)
+    return [y for x in told for y in (z.strip().lower() for z in x.split(",")) if y != "identity" and y]
+
+
+def unchunked(data: bytes) -> bytes | None:
+    """A body without its chunk lines, as far as it goes; None if it has none."""
+    out, at = [], 0
+    while at < len(data):
+        end = data.find(b"\r\n", at)
+        told = data[at:end].partition(b";")[0].strip() if end >= 0 else b""
+        if not re.fullmatch(rb"[0-9a-fA-F]{1,12}", told):
+            return None
+        size = int(told, 16)
+        out.append(data[end + 2 : end + 2 + size])
+        at = end + 2 + size
+        if not size:
+            break
+        if data[at : at + 2] not in (b"\r\n", b"\r", b""):
+            return None
+        at += 2
+    return b"".join(out) if out else None
+
+
+def inflated(data: bytes, coding: str) -> bytes | None:
+    """A body without one content coding; None if that can't be undone.
+
+    A body that lacks the mark of its coding was stored decoded, as crawlers do, and stays.
+    """
+    try:
+        if coding in ("gzip", "x-gzip"):
+            out, rest = [], data
+            while rest[:2] == b"\x1f\x8b":
+                member = zlib.decompressobj(31)
+                out.append(member.decompress(rest))
+                rest = member.unused_data
+            return b"".join(out) if out else data
+        if coding == "deflate":
+            zlibbed = len(data) > 1 and data[0] & 15 == 8 and int.from_bytes(data[:2], "big") % 31 == 0
+            return zlib.decompressobj(15 if zlibbed else -15).decompress(data)
+        if coding == "zstd":
+            marked = data[:4] == b"\x28\xb5\x2f\xfd"
+            return zstandard.ZstdDecompressor().decompressobj().decompress(data) if marked else data
+    except (zlib.error, zstandard.ZstdError):
+        pass
+    return None
+
+
+def entity(source: Record) -> tuple[bytes, bytes | None]:
+    """The payload without its transfer coding, and also without its content codings."""
+    body = source.payload
+    if "chunked" in codings(source.http, "transfer-encoding"):
+        plain = unchunked(body)
+        body = body if plain is None else plain
+    page: bytes | None = body
+    for coding in reversed(codings(source.http, "content-encoding")):
+        page = inflated(page, coding) if page else page
+    return body, page
+
+
 def charset_of(http: list[str]) -> str:
     for line in http[1:]:
         if line.lower().startswith("content-type:") and (m := CHARSET.search(line)):
@@ -142,15 +206,18 @@ COLUMNS = {
 
 
 def derive(raw: bytes) -> tuple | None:
-    """``COLUMNS`` of a response record; None for other records and for what is no record."""
+    """``COLUMNS`` of a response record; None for others, for what is none and for unknown codings."""
     source = parse(raw)
     if source is None or source.fields.get("warc-type", "").lower() != "response":
         return None
     fields = source.fields
     own, uri = fields.get("warc-record-id", ""), fields.get("warc-target-uri")
+    body, page = entity(source)
+    if page is None:
+        return None
     date, digest = fields.get("warc-date", DATE), sha1(source.payload)
     told = fields.get("warc-payload-digest")
-    text = plain_text(source.payload.decode(charset_of(source.http), "replace"))
+    text = plain_text(page.decode(charset_of(source.http), "replace"))
     text = text.encode("utf-8", "replace").decode()
     link = [
         ("WARC-Date", date),
@@ -159,8 +226,7 @@ def derive(raw: bytes) -> tuple | None:
         ("WARC-Refers-To-Target-URI", uri),
         ("WARC-Refers-To-Date", date),
     ]
-    body = text.encode()
-    conversion, text_digest = record_id("conversion", own), sha1(body)
+    conversion, text_digest = record_id("conversion", own), sha1(text.encode())
     records = []
     lines = [
         f"conversion: {conversion}",
@@ -190,7 +256,7 @@ def derive(raw: bytes) -> tuple | None:
         own,
         uri,
         told or digest,
-        told is None or told == digest,
+        told in (None, digest) or told == sha1(body),
         metadata,
         block_digest,
         conversion,
@@ -207,9 +273,12 @@ def _kind(name: str) -> pa.DataType:
 def derivatives(records: DataFrame, id_col: str = "page_id", record_col: str = "record") -> DataFrame:
     """``page_id`` and ``COLUMNS`` for each response record, given as bytes.
 
-    Other records, null and broken ones derive nothing and give no row. Payloads are read in the
-    character set of their HTTP head, else as UTF-8, with replacement characters for what cannot
-    be read. Null ids are passed on; equal rows give equal records.
+    Other records, null and broken ones derive nothing and give no row. Chunks and the content
+    codings gzip, deflate and zstd are undone, truncated bodies as far as they go; a response in
+    another coding, or damaged inside, gives no row. ``digest_ok`` holds if the payload's digest
+    is that of the body as stored or of the body without chunks. Pages are read in the character
+    set of their HTTP head, else as UTF-8, with replacement characters for what cannot be read.
+    Null ids are passed on; equal rows give equal records; an empty table gives none.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
