@@ -70,7 +70,8 @@ def partner_pairs(own: DataFrame) -> DataFrame:
 
     A conversation up to its last answer is chosen; rejected is the same with the last answer of
     its partner, the conversation whose number differs in the last bit, or with none where there
-    is no such answer.
+    is no such answer. ``conv_id`` must be a whole number and stands once; null ids have no
+    partner. An empty table gives no pairs; other columns are not read.
     """
     cut = answered(own)
     other = cut.select(
