@@ -78,39 +78,117 @@ def test_copies_within_a_text_are_combined():
     assert all(len(x) == 0 for x in suffix_dedup.combine_copies(*(empty,) * 5, 200)[:2])
 
 
-def test_cut_items_are_found():
-    """Items cut at one end to a similarity of just 0.8, many of them far off in bits."""
+def lookups(item, text):
+    """Leaks of one item in a text."""
+    return list(decontaminate.Finder(decontaminate.prepare([(1, " ".join(item))])).find(" ".join(text).encode()))
+
+
+def test_least_similar_leaks_are_found():
+    """Items cut at an end, altered, or with parts moved, to a similarity of just 0.8."""
     rng = np.random.default_rng(11)
-    far = 0
-    for _ in range(1500):
-        n = int(rng.integers(22, 60))
+    far = []
+    for trial in range(400):
+        n = int(rng.integers(22, 120))
         own = [f"w{x}" for x in rng.integers(0, 3000, n)]
-        cut = n - 4 - decontaminate.least_shared(n, n, 5, 0.8)
+        spare = n - 4 - decontaminate.least_shared(n, n, 5, 0.8)  # shingles that may be lost
         filler = [f"f{x}" for x in rng.integers(0, 3000, 100)]
-        item = decontaminate.Finder(decontaminate.prepare([(1, " ".join(own))]))
-        # the window that is shifted by the words cut off is the best
-        for text in (filler[:50] + own[cut:] + filler[50:], filler[:50] + own[: n - cut] + filler[50:]):
-            found = list(item.find(" ".join(text).encode()))
-            assert len(found) == 1 and found[0][4] >= 0.8
-            far += found[0][3] > 16
-    assert far > 0
+        texts = [own[spare:], own[: n - spare]]  # the window shifted by the words cut off is the best
+        if spare >= 4:
+            at = int(rng.integers(4, n - 4))
+            texts.append(own[at:] + own[:at])  # four shingles at the seam
+        if spare >= 5:
+            altered = list(own)
+            for k in rng.choice(np.arange(4, n - 4, 5), spare // 5, replace=False).tolist():
+                altered[k] = f"changed{k}"
+            texts.append(altered)
+        for kept in texts:
+            found = lookups(own, filler[:50] + kept + filler[50:])
+            assert len(found) == 1 and found[0][4] >= 0.8, (trial, n)
+            far.append(found[0][3])
+    assert max(far) > decontaminate.BITS // decontaminate.block_bits_for(0.8) and len(far) > 1200
+
+
+def test_fingerprints_tell_items_apart():
+    """The index proposes few of the items that a window is not like, the radius none."""
+    rng = np.random.default_rng(14)
+    made = [[f"w{x}" for x in rng.integers(0, 300, 40)] for _ in range(400)]
+    items = decontaminate.prepare([(k, " ".join(x)) for k, x in enumerate(made)])
+    radius, width = decontaminate.radius_for(0.8), decontaminate.block_bits_for(0.8)
+    index = decontaminate.MultiIndex(items.fps, radius, width)
+    assert sorted((w, k) for w, k, _ in index.within(items.fps)) == [(k, k) for k in range(400)]
+    values = index.values(items.fps)
+    shared = [int((values[k + 1 :] == values[k]).any(axis=1).sum()) for k in range(400)]
+    assert sum(shared) < 0.04 * 400 * 399 / 2
+
+
+def test_index_is_certain_below_its_blocks():
+    """Every pair that differs in fewer bits than there are blocks, and no pair beyond the radius."""
+    rng = np.random.default_rng(15)
+    fps = rng.integers(0, 1 << 63, (300, decontaminate.BITS // 64)).astype("<u8")
+    blocks = decontaminate.BITS // 12
+    for radius, k in ((blocks - 1, blocks - 1), (blocks - 1, 1), (3, 3), (2, 3)):
+        moved = np.unpackbits(fps.view(np.uint8), axis=1, bitorder="little")
+        for row in moved:
+            row[rng.choice(decontaminate.BITS, k, replace=False)] ^= 1
+        moved = np.packbits(moved, axis=1, bitorder="little").view("<u8")
+        found = list(decontaminate.MultiIndex(fps, radius, 12).within(moved))
+        assert sorted(found) == ([(x, x, k) for x in range(300)] if k <= radius else [])
+
+
+def test_windows_that_turn_are_fingerprints():
+    rng = np.random.default_rng(16)
+    for top in (3, 1000):
+        keys = rng.integers(0, top, 90).astype(np.uint64)
+        for width in (1, 7, 90):
+            found = decontaminate.window_fingerprints(keys, width)
+            want = [decontaminate.fingerprint(keys[k : k + width]) for k in range(91 - width)]
+            assert (found == np.array(want)).all()
+
+
+def test_chance_of_a_bit_is_bounded():
+    """Exactly, for windows of any number of shingles that are just alike."""
+    from math import comb
+
+    def sums(n):
+        return [(2 * k - n, comb(n, k) / 2**n) for k in range(n + 1)]
+
+    for similarity in (0.5, 0.8, 0.95):
+        for n in range(1, 70):
+            shared = decontaminate.least_shared(n + 4, n + 4, 5, similarity)
+            over = [(p, sum(q for b, q in sums(n - shared) if a + b > 0)) for a, p in sums(shared)]
+            assert sum(2 * p * up * (1 - up) for p, up in over) <= decontaminate.bit_chance(similarity) + 1e-9
+
+
+def test_repeated_items_and_texts():
+    """Lines repeated in items and texts count as often as they stand there."""
+    line = [f"w{k}" for k in range(12)]
+    assert [x[0] for x in lookups(line * 5, line * 40)] == [1]
+    assert lookups(line * 5, line * 3) == []
+    assert lookups(line, ["x"] * 9 + line * 3)[0][1:] == (9, 12, 0, 1.0)
+
+
+def test_blocks_of_items_find_alike(spark, monkeypatch):
+    """Many blocks give the leaks of one, and take as many Python stages side by side, none chained."""
+    rng = np.random.default_rng(17)
+    made = [" ".join(f"w{x}" for x in rng.integers(0, 500, 30)) for _ in range(40)]
+    items = spark.createDataFrame(list(enumerate(made)), "item_id long, text string")
+    rows = [(k if k % 5 else None, f"so {made[k]} it is" if k % 2 else "nothing of it", k) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, at long")
+    whole = sorted(map(str, decontaminate.leaks(docs, items).collect()))
+    kept = sorted(map(str, decontaminate.without_leaks(docs, items).collect()))
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 9)
+    assert sorted(map(str, decontaminate.leaks(docs, items).collect())) == whole and len(whole) == 20
+    assert sorted(map(str, decontaminate.without_leaks(docs, items).collect())) == kept and len(kept) == 20
 
 
 def test_windows_are_proposed_by_count():
     rng = np.random.default_rng(12)
     for _ in range(200):
-        own = [f"w{x}" for x in rng.integers(0, 40, int(rng.integers(1, 14)))]
-        finder = decontaminate.Finder(decontaminate.prepare([(1, " ".join(own))]))
-        n = int(rng.integers(1, 60))
-        size, length = min(n, len(own)), min(5, len(own))
-        if n < length:
-            continue
-        places = sorted(rng.choice(n - length + 1, int(rng.integers(1, n - length + 2)), replace=False).tolist())
-        want = [
-            s for s in range(n - size + 1)
-            if sum(s <= p <= s + size - length for p in places) >= finder.shared(0, size)
-        ]
-        assert finder.proposed(0, places, size, n).tolist() == want
+        n, width, least = (int(rng.integers(1, x)) for x in (60, 12, 6))
+        held = n + width - 1
+        places = np.sort(rng.choice(held, int(rng.integers(1, held + 1)), replace=False))
+        want = [s for s in range(n) if ((places >= s) & (places < s + width)).sum() >= least]
+        assert decontaminate.proposed(places, least, width, n).tolist() == want
 
 
 def test_long_texts_in_strips(spark, monkeypatch):
