@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from dataclasses import dataclass, field
 from pathlib import Path
 
 import pyarrow as pa
@@ -12,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.session import fresh_dir
+from tidemark.session import fresh_dir, remove
 
 ROOT = str(Path(__file__).resolve().parents[2])
 #: Bytes of text that a task turns into arrays at once; a longer text is a piece of its own.
@@ -40,9 +43,56 @@ def arrow_map(df: DataFrame, function: ArrowFunction, schema: StructType | str)
     return df.mapInArrow(function, schema)
 
 
+@dataclass
+class Scratch:
+    """Folders and catalog tables staged for one result."""
+
+    folders: list[str] = field(default_factory=list)
+    tables: list[str] = field(default_factory=list)
+
+
+_scratch: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """What operators stage inside is removed at the end, also after a failure.
+
+    Results are lazy and read what was staged, so they must be written inside. Where scopes are
+    nested, each removes its own. Without one, staged folders and tables stay.
+    """
+    own = Scratch()
+    token = _scratch.set(own)
+    try:
+        yield own
+    finally:
+        _scratch.reset(token)
+        for name in own.tables:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        for path in own.folders:
+            remove(spark, path)
+
+
+def scratch_dir(spark: SparkSession, purpose: str) -> str:
+    """A new path below the shared folder, removed with the scope that it is made in."""
+    path = fresh_dir(spark, purpose)
+    if own := _scratch.get():
+        own.folders.append(path)
+    return path
+
+
+def scratch_table(spark: SparkSession, purpose: str) -> tuple[str, str]:
+    """A new table's name and path; the table is dropped with the scope that it is made in."""
+    path = scratch_dir(spark, purpose)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    if own := _scratch.get():
+        own.tables.append(name)
+    return name, path
+
+
 def stage(df: DataFrame, purpose: str) -> DataFrame:
     """Write a table to the shared folder and read it: cuts lineage, survives lost executors."""
-    path = fresh_dir(df.sparkSession, purpose)
+    path = scratch_dir(df.sparkSession, purpose)
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)

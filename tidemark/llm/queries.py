@@ -24,8 +24,7 @@ from tidemark.llm import (
     warc,
     weak_quality,
 )
-from tidemark.llm.common import table
-from tidemark.session import fresh_dir
+from tidemark.llm.common import scratch_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: The vocabularies; the files must be readable on every executor.
@@ -43,7 +42,7 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place, size and checksum of each document's ids, from a store written and read back."""
-    folder = fresh_dir(spark, "token-planes")
+    folder = scratch_dir(spark, "token-planes")
     plane_store.write(table(spark, sf_dir, "documents"), folder, BYTE_BPE)
     return plane_store.digests(spark, folder)
 

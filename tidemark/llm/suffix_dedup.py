@@ -32,8 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_map, pieces, stage
-from tidemark.session import fresh_dir
+from tidemark.llm.common import arrow_map, pieces, scratch_table, stage
 
 LENGTH = 200
 #: Bytes of an anchor's string.
@@ -125,8 +124,7 @@ def keep_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``rid, doc, id, text``: a table bucketed by a row number of its own."""
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = fresh_dir(spark, "rows")
-    name = path.rsplit("/", 1)[1].replace("-", "_")
+    name, path = scratch_table(spark, "rows")
     rows = docs.select(
         F.monotonically_increasing_id().alias("rid"),
         F.struct(*(x for x in docs.columns if x != text_col)).alias("doc"),
