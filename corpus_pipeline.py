@@ -9,9 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import decontaminate, forced_bpe, ppm_langid, simhash_vptree, suffix_dedup
-from tidemark.llm.common import table
+from tidemark.llm.common import scratch, table
 from tidemark.llm.queries import WORD_BPE
-from tidemark.session import fresh_dir
+from tidemark.session import fresh_dir, remove
 
 
 def tell_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,11 +52,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole pipeline over ``documents``; each stage is written as Parquet and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """The whole pipeline over ``documents``; each stage is written as Parquet and read again.
+
+    What a stage has staged is removed once it is written, what it has written once the next is.
+    The last stage's folder stays: the result reads it.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = fresh_dir(spark, name.replace(" ", "-"))
-        found = stage(spark, docs, sf_dir)
-        found.write.parquet(path)
+        with scratch(spark):
+            found = stage(spark, docs, sf_dir)
+            found.write.parquet(path)
         docs = spark.read.schema(found.schema).parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs
