@@ -32,6 +32,30 @@ def test_strips_count_and_code_alike(monkeypatch):
     assert (ppm_langid.code_lengths(texts, trees) == lengths).all()
 
 
+def test_many_languages_take_what_they_know(monkeypatch):
+    """Tables grow with the known (string, language) pairs, not with strings times languages."""
+    import pickle
+
+    rng = np.random.default_rng(18)
+
+    def held(n):
+        rows = []
+        for k in range(n):  # two bytes of its own for each language
+            text = bytes(rng.integers(2 * (k % 100), 2 * (k % 100) + 2, 400).astype(np.uint8))
+            for size, grams, counts in ppm_langid.count_grams([text], 3):
+                rows += [(f"l{k:03}", size, *x) for x in zip(grams.tolist(), counts.tolist(), strict=True)]
+        return ppm_langid.grow(rows), len(rows)
+
+    (few, few_pairs), (many, many_pairs) = held(10), held(100)
+    bytes_a_pair = [len(pickle.dumps(x)) / n for x, n in ((few, few_pairs), (many, many_pairs))]
+    assert bytes_a_pair[1] < 1.2 * bytes_a_pair[0]
+    texts = [bytes(rng.integers(2 * k, 2 * k + 2, 300).astype(np.uint8)) for k in (0, 5, 99)] + [b""]
+    lengths = ppm_langid.code_lengths(texts, many)
+    assert lengths[:3].argmin(axis=1).tolist() == [0, 5, 99]
+    monkeypatch.setattr(ppm_langid, "STEP", 7)
+    assert (ppm_langid.code_lengths(texts, many) == lengths).all()
+
+
 def test_windows_in_ranges(monkeypatch):
     own = [f"w{k}" for k in range(60)]
     text = " ".join(["x"] * 40 + own * 3 + ["y"] * 40).encode()

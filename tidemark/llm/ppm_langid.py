@@ -31,6 +31,8 @@ ORDER = 3
 UNIT = 65_536
 #: Bytes counted or coded at once; it divides the work and changes no result.
 STEP = 1 << 19
+#: Costs by byte and language held at once, about: strips are shorter for many languages.
+CELLS = 1 << 22
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -72,19 +74,21 @@ def gram_counts(
     return counted.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
 
 
-def strips(texts: list[bytes], before: int, after: int) -> Iterator[list[tuple[int, int, int, bytes]]]:
-    """The texts in strips of at most ``STEP`` bytes, some at once that are about as long together.
+def strips(
+    texts: list[bytes], before: int, after: int, step: int
+) -> Iterator[list[tuple[int, int, int, bytes]]]:
+    """The texts in strips of at most ``step`` bytes, some at once that are about as long together.
 
     A strip is: the place of its text, how many bytes before it are at hand (0 or ``before``), its
     length, and its bytes with those and up to ``after`` more behind it.
     """
     held, size = [], 0
     for k, text in enumerate(texts):
-        for a in range(0, len(text), STEP):
+        for a in range(0, len(text), step):
             known = before if a else 0
-            held.append((k, known, min(STEP, len(text) - a), text[a - known : a + STEP + after]))
+            held.append((k, known, min(step, len(text) - a), text[a - known : a + step + after]))
             size += len(held[-1][3])
-            if size >= STEP:
+            if size >= step:
                 yield held
                 held, size = [], 0
     if held:
@@ -93,7 +97,7 @@ def strips(texts: list[bytes], before: int, after: int) -> Iterator[list[tuple[i
 
 def count_grams(texts: list[bytes], order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Size, byte strings as numbers, and counts; a string may come several times."""
-    for held in strips(texts, 0, order):
+    for held in strips(texts, 0, order, STEP):
         sizes = [len(x) for *_, x in held]
         data = np.frombuffer(b"".join(x for *_, x in held), np.uint8).astype(np.int64)
         room = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(data))
@@ -135,40 +139,59 @@ def bounded_sample(rows: DataFrame, per_lang: int, id_col: str, lang_col: str) -
     return ranked.where(F.col("rank") <= per_lang).select("lang", "text")
 
 
+@dataclass(frozen=True)
+class Known:
+    """Values of (string, language) pairs, of those that are known only.
+
+    The pairs of ``keys[k]`` are ``langs`` and ``values`` from ``starts[k]`` to ``starts[k + 1]``.
+    """
+
+    keys: np.ndarray
+    starts: np.ndarray
+    langs: np.ndarray
+    values: np.ndarray
+
+    @classmethod
+    def of(cls, keys: np.ndarray, langs: np.ndarray, values: np.ndarray) -> Known:
+        """From pairs in any order."""
+        order = np.lexsort((langs, keys))
+        different, starts = np.unique(keys[order], return_index=True)
+        starts = np.append(starts, len(keys)).astype(np.int64)
+        return cls(different, starts, langs[order].astype(np.int32), values[order])
+
+    def pairs(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Place in ``wanted``, language and value of each known pair."""
+        at, known = find(self.keys, wanted)
+        row = np.nonzero(known)[0]
+        first, last = self.starts[at[row]], self.starts[at[row] + 1]
+        n = last - first
+        place = np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+        return np.repeat(row, n), self.langs[place], self.values[place]
+
+
 @dataclass(frozen=True)
 class Trees:
-    """Frozen trees of all languages as tables by length, of what any of them has seen.
+    """Frozen trees of all languages by length of string, as large as what each has seen.
 
-    ``grams[s]`` holds the known strings of ``s + 1`` bytes in order, ``cost[s]`` the code length
-    of their last byte after the others in each language, escapes included. ``contexts[s]`` holds
-    the known contexts of ``s`` bytes, ``escape[s]`` the cost of leaving them, 0 in a language
-    that does not know them.
+    ``grams[s]`` holds for strings of ``s + 1`` bytes the code length of their last byte after the
+    others, ``escapes[s]`` for contexts of ``s`` bytes the cost of leaving them.
     """
 
     langs: list[str]
-    grams: list[np.ndarray]
-    cost: list[np.ndarray]
-    contexts: list[np.ndarray]
-    escape: list[np.ndarray]
+    grams: list[Known]
+    escapes: list[Known]
     order: int
 
     def costs(self, size: int, gram: np.ndarray) -> np.ndarray:
         """Cost of the last byte of strings of ``size`` bytes, a column for each language."""
         if size == 0:
             return np.full((len(gram), len(self.langs)), 8 * UNIT, np.int32)
-        out = np.zeros((len(gram), len(self.langs)), np.int32)
-        rest = np.ones(len(gram), bool)
-        # the tables of this size are still missing while they are made
-        if size <= len(self.grams):
-            at, known = find(self.grams[size - 1], gram)
-            out[known] = self.cost[size - 1][at[known]]
-            rest = ~known
-        if not rest.any():
-            return out
-        shorter = self.costs(size - 1, gram[rest] & ((1 << 8 * (size - 1)) - 1))
-        at, left = find(self.contexts[size - 1], gram[rest] >> 8)
-        shorter[left] += self.escape[size - 1][at[left]]
-        out[rest] = shorter
+        # as if no language knew the strings, then what each knows
+        out = self.costs(size - 1, gram & ((1 << 8 * (size - 1)) - 1))
+        row, lang, escape = self.escapes[size - 1].pairs(gram >> 8)
+        out[row, lang] += escape
+        row, lang, cost = self.grams[size - 1].pairs(gram)
+        out[row, lang] = cost
         return out
 
 
@@ -198,29 +221,22 @@ def grow_arrays(
     order: int = ORDER,
 ) -> Trees:
     """The trees from columns; ``lang`` holds places in ``langs``."""
-    trees = Trees(langs, [], [], [], [], order)
+    trees = Trees(langs, [], [], order)
 
     def bits(p: np.ndarray) -> np.ndarray:
         return np.rint(-UNIT * np.log2(p)).astype(np.int32)
 
     for size in range(1, order + 2):
         level = sizes == size
-        own, k = lang[level], n[level]
-        grams, at = np.unique(gram[level], return_inverse=True)
-        contexts, place = np.unique(gram[level] >> 8, return_inverse=True)
-        total = np.zeros((len(contexts), len(langs)), np.int64)
-        kinds = np.zeros_like(total)
-        np.add.at(total, (place, own), k)
-        np.add.at(kinds, (place, own), 1)
-        known = kinds > 0
-        escape = np.where(known, kinds / np.maximum(total + kinds, 1), 1)
-        trees.contexts.append(contexts)
-        trees.escape.append(bits(escape))
-        # as if no language knew them, then what each knows
-        cost = trees.costs(size, grams)
-        cost[at, own] = bits(k / (total + kinds)[place, own])
-        trees.grams.append(grams)
-        trees.cost.append(cost)
+        grams, own, k = gram[level], lang[level].astype(np.int64), n[level]
+        contexts, place = np.unique(grams >> 8, return_inverse=True)
+        # what follows a context in a language: how often anything, how many different bytes
+        seen, pair, kinds = np.unique(place * len(langs) + own, return_inverse=True, return_counts=True)
+        total = np.zeros(len(seen), np.int64)
+        np.add.at(total, pair, k)
+        escape = bits(kinds / (total + kinds))
+        trees.escapes.append(Known.of(contexts[seen // len(langs)], seen % len(langs), escape))
+        trees.grams.append(Known.of(grams, own, bits(k / (total + kinds)[pair])))
     return trees
 
 
@@ -257,7 +273,8 @@ def code_lengths(texts: list[bytes], trees: Trees) -> np.ndarray:
     order = trees.order
     shift = 8 * (order + 1)
     out = np.zeros((len(texts), len(trees.langs)), np.int64)
-    for held in strips(texts, order, 0):
+    step = min(STEP, max(1 << 12, CELLS // len(trees.langs)))
+    for held in strips(texts, order, 0, step):
         sizes = np.array([n for _, _, n, _ in held])
         joined = b"".join(bytes(order - known) + x for _, known, _, x in held)
         data = np.frombuffer(joined, np.uint8).astype(np.int64)
