@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,6 +11,7 @@ import pytest
 from cases import TEXTS, documents
 from tokenizers import Tokenizer
 
+from tidemark.llm import forced_bpe
 from tidemark.llm import mixture_packing as mix
 from tidemark.llm.common import spaced_strips
 from tidemark.llm.queries import QUERIES, WORD_BPE
@@ -181,3 +183,45 @@ def test_strips():
         assert b"".join(own) == text
         assert all(x.startswith(b" ") and x[1:2] != b" " for x in own[1:])
     assert list(spaced_strips(b"")) == []
+
+
+def latin_texts():
+    """Texts of all characters up to U+017F, rich in apostrophes and contractions."""
+    rng = random.Random(11)
+    pool = [chr(c) for c in range(0x180) if chr(c) != "<"]
+    pool += [*"'stmdrevl" * 20, *" \n\t" * 5, *"Il0'" * 10]
+    made = ["".join(rng.choices(pool, k=rng.randint(0, 60))) for _ in range(3000)]
+    return [*made, "", "'", "''", "'s", "''s", "'l", "a'r", "5's", "\xa0'ves", "\u0130'S", "&'re&", "\xbd\xbd"]
+
+
+def test_latin_words():
+    texts = [x.lower() for x in latin_texts()]
+    raw = mix.STOP.join([*(x.encode() for x in texts), b""])
+    found = mix.latin_words(raw).to_pylist()
+    want = [[*(w.encode() for w in forced_bpe.LATIN.findall(x)), mix.STOP] for x in texts]
+    assert found == [w for own in want for w in own]
+
+
+@pytest.mark.parametrize("limit", [1, 500, 1 << 20])
+def test_word_ids(limit):
+    texts = latin_texts()[::4]
+    # other letters, special tokens and long texts in between
+    texts[5:5] = ["a <|endoftext|> b", "<|no", "\u65e5\u672c it's", "\u201cdon\u2019t\u201d 'tis", "it's two words " * 90_000]
+    found = mix.load(WORD_BPE)([x.encode() for x in texts], limit)
+    want = library_ids(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in found] == [x[:-1] for x in want]
+
+
+def test_words_of_many_texts_are_looked_up_once():
+    made = mix.WordIds(WORD_BPE)
+    asked = Counter()
+
+    class Asked(dict):
+        def __getitem__(self, word):
+            asked[word] += 1
+            return made._word(word)
+
+    made.known = Asked()
+    found = made([b"one two, Two three"] * 50)
+    assert len(set(found)) == 1 and len(found[0]) == 4 * 5
+    assert asked == dict.fromkeys([b"one", b"two", b",", b"three", mix.STOP], 1)

@@ -42,18 +42,39 @@ SLACK = 64
 MIN_SHARE = 1 / 256
 #: Ids of a row of the encoded table; longer documents have several rows.
 CHUNK = 16_384
+#: Bytes of text whose words are told apart at once.
+ENCODE_BYTES = 4 << 20
+#: Ends a strip: no byte of UTF-8.
+STOP = b"\xff"
 
 ENCODED = (
     "at long, source string, doc_id long, start long, n long, doc_tokens long, before long, "
     "ids binary"
 )
 
+#: Kinds of characters: white space, of words, signs in a row, words of their own.
+SPACE, LETTER, SIGN, ALONE = range(4)
+
+
+def kind(c: str) -> int:
+    """A character's kind as ``forced_bpe.LATIN`` has it."""
+    match = forced_bpe.LATIN.fullmatch
+    if not match(c):
+        return SPACE
+    return LETTER if match("a" + c) else SIGN if match(c + c) else ALONE
+
+
+#: Kinds of all characters of at most two bytes.
+KINDS = np.array([kind(chr(c)) for c in range(0x800)], np.uint8)
+
 
 class WordIds:
-    """Ids of a text as little-endian 32-bit integers.
+    """Ids of texts as little-endian 32-bit integers.
 
     The vocabulary splits a text into words before merging, so the tokenizers library's model is
-    asked for each distinct word once. Strips that may hold a special token go through it whole.
+    asked for each distinct word once. Words of Latin letters are found and told apart by arrays,
+    many texts at once; strips with other characters are split by the library, and those that may
+    hold a special token go through it whole.
     """
 
     def __init__(self, path: str):
@@ -69,20 +90,96 @@ class WordIds:
         )
         self.known = Memory(self._word)
 
-    def _word(self, word: str) -> bytes:
-        if not (word.isascii() and word.isalpha()):  # letters stand for themselves
-            word = "".join(map(self.bpe.letter.__getitem__, word.encode()))
-        return array("I", [x.id for x in self.model.tokenize(word)]).tobytes()
-
-    def __call__(self, text: bytes) -> bytes:
-        out = []
-        for strip in spaced_strips(text):
-            s = strip.decode("utf-8", "replace")
-            if "<|" in s:  # perhaps a special token
-                out.append(np.array(self.bpe.encode(s), "<u4").tobytes())
-            else:
-                out += map(self.known.__getitem__, self.bpe._words(s))
-        return b"".join(out)
+    def _word(self, word: bytes) -> bytes:
+        if word == STOP:
+            return b""
+        if word.isalpha():  # ASCII letters stand for themselves
+            letters = word.decode()
+        else:
+            letters = "".join(map(self.bpe.letter.__getitem__, word))
+        return array("I", [x.id for x in self.model.tokenize(letters)]).tobytes()
+
+    def __call__(self, texts: list[bytes], limit: int = ENCODE_BYTES) -> list[bytes]:
+        """The ids of each text; arrays are made for strips of about ``limit`` bytes in all."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        latin, places, size = [], [], 0
+        for own, text in zip(out, texts, strict=True):
+            for strip in spaced_strips(text):
+                s = strip.decode("utf-8", "replace")
+                if "<|" in s:  # perhaps a special token
+                    own.append(np.array(self.bpe.encode(s), "<u4").tobytes())
+                elif forced_bpe.BEYOND.search(s):
+                    words = (x.encode() for x in self.bpe._words(s))
+                    own.append(b"".join(map(self.known.__getitem__, words)))
+                else:
+                    latin.append(s.lower().encode())
+                    places.append((own, len(own)))
+                    own.append(b"")
+                    size += len(strip)
+                    if size >= limit:
+                        self._fill(places, latin)
+                        latin, places, size = [], [], 0
+        self._fill(places, latin)
+        return [b"".join(own) for own in out]
+
+    def _fill(self, places: list[tuple[list[bytes], int]], latin: list[bytes]) -> None:
+        """Put the ids of lower-cased strips of Latin letters into their places."""
+        if not latin:
+            return
+        found = latin_words(STOP.join([*latin, b""])).dictionary_encode()
+        # ids of each distinct word, then of one word after the other
+        words = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.known.__getitem__, words))
+        table = np.frombuffer(b"".join(ids), "<u4")
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        codes = found.indices.to_numpy()
+        n = sizes[codes]
+        ends = np.cumsum(n)
+        at = np.repeat((np.cumsum(sizes) - sizes)[codes] - (ends - n), n)
+        at += np.arange(len(at))
+        raw = table[at].tobytes()
+        stops = 4 * ends[codes == words.index(STOP)]
+        first = 0
+        for (own, k), end in zip(places, stops.tolist(), strict=True):
+            own[k] = raw[first:end]
+            first = end
+
+
+def latin_words(text: bytes) -> pa.Array:
+    """The matches of ``forced_bpe.LATIN`` in lower-cased text, and each ``STOP`` in it.
+
+    The text ends with ``STOP``; its characters have one or two bytes.
+    """
+    data = np.frombuffer(text, np.uint8)
+    kinds = KINDS[data]
+    pair = np.flatnonzero((data >= 0xC2) & (data < 0xE0))
+    kinds[pair] = kinds[pair + 1] = KINDS[
+        ((data[pair] & 0x1F).astype(np.int64) << 6) | (data[pair + 1] & 0x3F)
+    ]
+    kinds[data == STOP[0]] = ALONE
+    first = kinds == ALONE
+    first[1:] |= kinds[1:] != kinds[:-1]
+    first[0] = True
+    first[pair + 1] = False
+    # an apostrophe that no other sign stands before takes its letters, which end there
+    quote = np.flatnonzero(first & (data == ord("'")))
+    one = data[quote + 1]
+    two = data[np.minimum(quote + 2, len(data) - 1)]
+    long = np.zeros(len(quote), bool)
+    for a, b in (b"re", b"ve", b"ll"):
+        long |= (one == a) & (two == b)
+    short = np.isin(one, list(b"stmd"))
+    first[quote[short | long] + 1] = False
+    first[quote[short] + 2] = True
+    first[quote[long] + 3] = True
+
+    kept = kinds != SPACE
+    starts = np.flatnonzero(first[kept])
+    body = data[kept]
+    offsets = np.append(starts, len(body)).astype(np.int32)
+    return pa.Array.from_buffers(
+        pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(body)]
+    )
 
 
 @lru_cache(2)
@@ -113,10 +210,10 @@ def encode(
         seen: dict[str, int] = {}
         for batch in batches:
             doc_ids, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for first, texts in pieces(batch.column(2)):
+            for first, texts in pieces(batch.column(2), ENCODE_BYTES):
                 rows = []
-                for k, text in enumerate(texts, first):
-                    raw, source = ids_of(text) + end, sources[k]
+                for k, ids in enumerate(ids_of(texts), first):
+                    raw, source = ids + end, sources[k]
                     total = len(raw) // 4
                     for start in range(0, total, CHUNK):
                         own = raw[4 * start : 4 * (start + CHUNK)]
